@@ -1,18 +1,26 @@
 """Tokens, similar lines and document ids."""
 
 from collections import Counter
+from functools import reduce
+from operator import add, or_
 
 from pyspark.sql import Column, SparkSession, functions as F
 
 from loglens import schema as S
 from loglens.functions.paths import _col
 
-# A single character that separates two words: anything but letters, marks, digits and "_", unless it
-# stands between two letters (. : ' ...) or between two digits (. , ; ' ...).
-_DELIMITER = (r"(?!(?<=[\p{L}\p{M}])[.:'’·](?=[\p{L}\p{M}]))"
-              r"(?!(?<=\p{N})[.,;'’](?=\p{N}))"
-              r"[^\p{L}\p{M}\p{N}_]")
+# A single character, not a blank, that separates two words: anything but letters, marks, digits and "_",
+# unless it stands between two letters (. : ' ...) or between two digits (. , ; ' ...). No part of these
+# patterns repeats a group, so no input, however long, makes the matcher recurse.
+_DELIMITER = (r"[^\p{L}\p{M}\p{N}_ ]"
+              r"(?<![\p{L}\p{M}][.:'’·](?=[\p{L}\p{M}]))"
+              r"(?<!\p{N}[.,;'’](?=\p{N}))")
 _IDEOGRAPH = r"([\p{IsHan}\p{IsHiragana}])"
+# A run of word characters without a letter or digit. An ideograph is a word of its own, so it ends a run.
+_IN_WORD = r"[\p{L}\p{M}\p{N}_&&[^\p{IsHan}\p{IsHiragana}]]"
+_HOLLOW = rf"[_\p{{M}}](?<!{_IN_WORD}[_\p{{M}}])[_\p{{M}}]*+(?!{_IN_WORD})"
+# May hold a word that has to be cut.
+_LONG = r"(?:^|\s)\S{256}"
 # More substring tests than this per line cost more than splitting the line.
 _MAX_PROBES = 24
 
@@ -25,15 +33,20 @@ def tokenize(text) -> Column:
     are cut into pieces of 255.
     """
     text = _col(text)
-    plain = F.octet_length(text) == F.char_length(text)
-    spaced = F.when(plain, text).otherwise(F.regexp_replace(text, _IDEOGRAPH, " $1 "))
-    words = F.filter(F.split(F.lower(spaced), _DELIMITER, -1), lambda w: w.rlike(r"[\p{L}\p{N}]"))
+    ascii_only = F.octet_length(text) == F.char_length(text)
+    apart = F.when(ascii_only, text).otherwise(F.regexp_replace(text, _IDEOGRAPH, " $1 "))
+    blanked = F.regexp_replace(F.lower(apart), _DELIMITER, " ")
+    # Splitting on a blank needs no pattern; split() would compile one for every row.
+    words = F.array_remove(F.split(blanked, " ", -1), "")
+    real = F.filter(words, lambda w: w.rlike(r"[\p{L}\p{N}]"))
     pieces = F.flatten(F.transform(
-        words,
+        real,
         lambda w: F.when(F.char_length(w) <= S.LONGEST_TOKEN, F.array(w)).otherwise(
             F.transform(F.sequence(F.lit(0), F.floor((F.char_length(w) - 1) / S.LONGEST_TOKEN).cast("int")),
                         lambda i: F.substr(w, i * S.LONGEST_TOKEN + 1, F.lit(S.LONGEST_TOKEN))))))
-    return F.when(F.char_length(text) <= S.LONGEST_TOKEN, words).otherwise(pieces)
+    unusual = (((~ascii_only | text.contains("_")) & text.rlike(_HOLLOW))
+               | ((F.octet_length(text) > S.LONGEST_TOKEN) & text.rlike(_LONG)))
+    return F.when(unusual, pieces).otherwise(words)
 
 
 def snippet_tokens(spark: SparkSession, text: str) -> list[str]:
@@ -78,21 +91,20 @@ def similar_to(spark: SparkSession, text: str, pct: int = S.MATCH_PERCENT,
 
     if tokens is not None:
         return matches(_col(tokens))
-    # A similar line misses at most n - need tokens, so it holds one of any set weighing more than that.
+    # A similar line holds enough of the words as substrings, and one of any set of words that together
+    # weigh more than the n - need it may miss. Both are cheap to test before the line is split.
+    if len(counted) > _MAX_PROBES:
+        return matches(tokenize(message))
     probes, weight = [], 0
     for word in sorted(counted, key=lambda w: (-len(w), w)):
         probes.append(word)
         weight += counted[word]
         if weight > n - need:
             break
-    exact = matches(tokenize(message))
-    if len(probes) > _MAX_PROBES:
-        return exact
     lowered = F.lower(_col(message))
-    possible = F.lit(False)
-    for word in probes:
-        possible = possible | lowered.contains(word)
-    return F.when(possible, exact).otherwise(False)
+    possible = reduce(or_, (lowered.contains(word) for word in probes))
+    present = reduce(add, (F.when(lowered.contains(w), F.lit(k)).otherwise(0) for w, k in counted.items()))
+    return F.when(possible & (present >= need), matches(tokenize(message))).otherwise(False)
 
 
 def doc_id(relpath, line_no) -> Column:

@@ -96,8 +96,8 @@ class Ledger:
     def pending_cases(self, input_dir: str, cases: list[str]) -> list[str]:
         """Cases the current window has not committed yet, in scan order."""
         records = self.records(input_dir)
-        complete = records.where(is_complete()).agg(F.coalesce(F.max("seq"), F.lit(0)).alias("upto"))
-        done = records.join(F.broadcast(complete), F.col("seq") > F.col("upto")).where(F.col("case") != "")
+        upto = records.where(is_complete()).agg(F.max("seq").alias("seq")).first()["seq"] or 0
+        done = records.where((F.col("seq") > upto) & (F.col("case") != ""))
         entries = self.spark.createDataFrame([(c,) for c in cases], "`case` string")
         return sorted((r["case"] for r in pending(entries, done, "case").collect()), reverse=True)
 

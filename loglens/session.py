@@ -46,6 +46,12 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared folder. For tables that are small next to the data."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 class Staging:
     """Parquet tables under the shared folder that cut lineage and survive lost executors."""
 
