@@ -99,7 +99,9 @@ def ingest_batch(spark: SparkSession, store: LogTable, root: str, cases: list[st
     # Candidate files and what their lines say about them
     fresh = F.unix_seconds(F.col("_metadata.file_modification_time"))
     wanted = is_log_name(F.col("_metadata.file_name")) & (fresh >= start) & (fresh < stop)
-    raw = scan_text(text if text_paths is None else open_text(spark, text_paths), wanted)
+    if text_paths is not None:
+        text, wanted = (open_text(spark, text_paths), wanted) if text_paths else (text, F.lit(False))
+    raw = scan_text(text, wanted)
     splits = staging.table(place_splits(split_stats(raw)).withColumn("relpath", rel_path("uri", base)), "splits")
     files = current.where(~F.col("is_archive") & is_log_name()).select("relpath", F.lit("").alias("archive"))
     seen = splits.groupBy(F.lit("").alias("archive"), "relpath").agg(
@@ -107,7 +109,7 @@ def ingest_batch(spark: SparkSession, store: LogTable, root: str, cases: list[st
     if members is not None:
         named = members.where(is_log_name())
         files = files.unionByName(in_archives.where(is_log_name()).select("relpath", "archive"))
-        seen = seen.unionByName(_member_stats(named))
+        seen = seen.unionByName(member_stats(named))
     files = staging.table(files, "files")
     dirs = files.select(dir_name("relpath").alias("dir")).distinct()
     file_fields = (files.withColumn("dir", dir_name("relpath"))
@@ -160,7 +162,7 @@ def _unpack(staging: Staging, listed: DataFrame, current: DataFrame):
     return members, archive_errors(expanded)
 
 
-def _member_stats(members: DataFrame) -> DataFrame:
+def member_stats(members: DataFrame) -> DataFrame:
     """Per member: how many of its lines count, and whether one of them mentions the product."""
     lines = member_lines(members, "archive")
     valid, line_no = F.is_valid_utf8("value"), F.col("line_no")

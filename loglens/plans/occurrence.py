@@ -197,7 +197,7 @@ def probe_words(snippets: DataFrame, frequencies: DataFrame) -> DataFrame:
     weighed = snippets.select("query_id", (F.col("n") - F.col("need")).alias("slack"),
                               F.explode("weights").alias("word", "weight"))
     rarity = F.coalesce("lines", F.lit(0))
-    rarest = Window.partitionBy("query_id").orderBy(rarity, "word")
+    rarest = Window.partitionBy("query_id").orderBy(rarity, -F.char_length("word"), "word")
     before = F.coalesce(F.sum("weight").over(rarest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return (weighed.join(frequencies, "word", "left").withColumn("before", before)
             .where(F.col("before") <= F.col("slack"))

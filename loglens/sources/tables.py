@@ -45,9 +45,10 @@ def ingest_report(lines: DataFrame, files: DataFrame) -> DataFrame:
             .select(*[F.col(f"`{n}`") for n in S.INGEST_REPORT.names]))
 
 
-def find_lines(lines: DataFrame, field: str, value, limit: int = S.PAGE_SIZE) -> DataFrame:
-    """A page of lines whose field has a value."""
-    return lines.where(_col(f"`{field}`") == F.lit(value)).limit(limit)
+def find_lines(lines: DataFrame, field: str, value, limit: int = S.PAGE_SIZE,
+               order: tuple[str, ...] = ("relpath", "line_no")) -> DataFrame:
+    """A page of lines whose field has a value: the first ones in file order."""
+    return lines.where(_col(f"`{field}`") == F.lit(value)).orderBy(*order).limit(limit)
 
 
 def table_stats(lines: DataFrame, path: str | None = None) -> DataFrame:
