@@ -31,18 +31,24 @@ def category_of(path) -> Column:
 
     The whole path is never tested, so a single name has no category of its own.
     """
-    parts = F.split(F.replace(_col(path), F.lit("\\"), F.lit("/")), "/")
+    split = F.split(F.replace(_col(path), F.lit("\\"), F.lit("/")), "/")
 
-    def of_suffix(i):
-        suffix = F.array_join(F.slice(parts, -i, i), "/")
+    # Lambda variables hold the parts and each suffix, so that neither is worked out once per pattern.
+    def suffixes(parts):
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))),
+                           lambda i: F.array_join(F.slice(parts, -i, i), "/"))
+
+    def of_suffix(suffix):
         hit = F.lit(None).cast("string")
         for name, pattern in reversed(S.CATEGORY_PATTERNS.items()):
-            hit = F.when(suffix.rlike(pattern), F.lit(name)).otherwise(hit)
+            # A search finds the pattern anywhere; leading and trailing ".*" only make it quadratic.
+            core = pattern.removeprefix(".*").removesuffix(".*")
+            hit = F.when(suffix.rlike(core), F.lit(name)).otherwise(hit)
         return hit
 
-    per_suffix = F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))), of_suffix)
+    per_suffix = F.transform(F.flatten(F.transform(F.array(split), suffixes)), of_suffix)
     first = F.try_element_at(F.filter(per_suffix, lambda c: c.isNotNull()), F.lit(1))
-    return F.when(F.size(parts) > 1, F.coalesce(first, F.lit(S.MISSING_CATEGORY))).otherwise(
+    return F.when(F.size(split) > 1, F.coalesce(first, F.lit(S.MISSING_CATEGORY))).otherwise(
         S.MISSING_CATEGORY)
 
 

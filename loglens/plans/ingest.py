@@ -76,7 +76,7 @@ def ingest_batch(spark: SparkSession, store: LogTable, root: str, cases: list[st
     batch = f"{millis}-{uuid.uuid4().hex[:8]}"
     staging, base = Staging(spark), root_path(spark, root)
     paths = case_paths(root, cases)
-    listed = list_files(spark, root, paths)
+    listed = staging.table(list_files(spark, root, paths), "listed")
     current = listed.where(in_window(start, stop))
     if only is not None:
         current = current.join(F.broadcast(only) if is_small(only) else only, "uri", "left_semi")
