@@ -87,7 +87,12 @@ def ancestors(dir_col, include_self: bool = True) -> Column:
 def uri_path(uri) -> Column:
     """Path part of a file URI as file metadata shows it (percent-escapes resolved)."""
     bare = F.regexp_replace(_col(uri), "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
-    return F.url_decode(F.replace(bare, F.lit("+"), F.lit("%2B")))
+    return plain_uri(bare)
+
+
+def plain_uri(uri) -> Column:
+    """File URI with percent-escapes resolved, as a store names the file."""
+    return F.url_decode(F.replace(_col(uri), F.lit("+"), F.lit("%2B")))
 
 
 def rel_path(uri, root_path: str) -> Column:

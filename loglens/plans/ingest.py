@@ -24,7 +24,8 @@ from loglens.session import SALTS, Staging, every_salt, is_small
 from loglens.sources.archives import (archive_errors, expand_archives, good_members, member_lines,
                                       skip_unpacked, spread_archives)
 from loglens.sources.lines import attach_splits, open_text, place_splits, scan_text, split_stats
-from loglens.sources.listing import (case_paths, existing_paths, list_cases, list_files, qualify, root_path)
+from loglens.sources.listing import (case_paths, drop_if_there, empty_markers, existing_paths, list_cases,
+                                     list_files, qualify, root_path)
 from loglens.sources.tables import LogTable, ingest_report
 
 _DOC_FIELDS = CARRIED  # what a line takes over from its file
@@ -81,14 +82,14 @@ def ingest_batch(spark: SparkSession, store: LogTable, root: str, cases: list[st
     if only is not None:
         current = current.join(F.broadcast(only) if is_small(only) else only, "uri", "left_semi")
 
-    members, errors = _unpack(staging, listed, current)
+    members, errors = _unpack(staging, root, listed, current)
     in_archives = members.select("relpath", "archive").distinct() if members is not None else None
     text = open_text(spark, paths)
 
     # Scopes
     sidecars = scan_text(text, F.col("_metadata.file_path").rlike(SIDECAR_PATTERN)).select(
         rel_path("uri", base).alias("relpath"), "block", "mid", "value")
-    everything = listed.select("relpath")
+    everything = listed.select("relpath").union(empty_markers(listed, root))
     if members is not None:
         inside = member_lines(members.where(F.col("relpath").rlike(SIDECAR_PATTERN)))
         sidecars = sidecars.unionByName(inside.select(
@@ -141,12 +142,13 @@ def ingest_batch(spark: SparkSession, store: LogTable, root: str, cases: list[st
     return batch
 
 
-def _unpack(staging: Staging, listed: DataFrame, current: DataFrame):
+def _unpack(staging: Staging, root: str, listed: DataFrame, current: DataFrame):
     """Members and errors of the archives of a batch, expanded once; ``None, None`` without archives."""
     found = current.where("is_archive")
     if found.isEmpty():
         return None, None
-    archives = staging.table(skip_unpacked(found, existing_paths(listed)), "archives")
+    archives = drop_if_there(skip_unpacked(found, existing_paths(listed)), root)
+    archives = staging.table(archives, "archives")
     expanded = staging.table(expand_archives(spread_archives(archives)), "members")
     members = good_members(expanded)
     # Two archives may hold the same path; the one later in scan order is the one that stays.

@@ -7,7 +7,6 @@ out readable, because an unreadable archive must leave nothing behind but its er
 
 import gzip
 import io
-import re
 import shutil
 import tarfile
 import zipfile
@@ -19,8 +18,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from loglens import schema as S
-from loglens.functions.paths import strip_all_archive_exts
+from loglens.functions.paths import plain_uri, strip_all_archive_exts
 from loglens.session import ship_package
+from loglens.sources.listing import open_store
 
 CHUNK_BYTES = 8 << 20
 SPOOL_BYTES = 64 << 20
@@ -43,8 +43,8 @@ def expand_archives(archives: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> Data
     ``error`` stand for unreadable archives. Members carry the time of the outermost archive.
     """
     ship_package(archives.sparkSession)
-    source = "content" if "content" in archives.columns else "uri"
-    return (archives.select("relpath", "mtime", F.col(source).alias("source"))
+    source = F.col("content") if "content" in archives.columns else plain_uri("uri")
+    return (archives.select("relpath", "mtime", source.alias("source"))
             .mapInPandas(partial(_expand_batches, chunk_bytes=chunk_bytes), S.MEMBERS))
 
 
@@ -61,8 +61,8 @@ def good_members(expanded: DataFrame) -> DataFrame:
 
 
 def archive_errors(expanded: DataFrame) -> DataFrame:
-    """Archives that could not be read, with the reason."""
-    return expanded.where(F.col("error").isNotNull()).select("archive", "error")
+    """Archives, outer or nested, that could not be read, with the reason."""
+    return expanded.where(F.col("error").isNotNull()).select(F.col("relpath").alias("archive"), "error")
 
 
 def member_lines(members: DataFrame, *carry: str) -> DataFrame:
@@ -90,10 +90,8 @@ class Unreadable(Exception):
 def _open(source):
     if isinstance(source, (bytes, bytearray, memoryview)):
         return io.BytesIO(source)
-    from pyarrow import fs
-    uri = re.sub("^file:/(?!/)", "file:///", re.sub("^s3[an]:", "s3:", source))
-    filesystem, path = fs.FileSystem.from_uri(uri)
-    return filesystem.open_input_file(path)
+    store, path = open_store(source)
+    return store.open_input_file(path)
 
 
 def _clean(name: str) -> str:

@@ -1,12 +1,14 @@
 """Files of an input directory as a table of paths, times and sizes."""
 
 import re
-from urllib.parse import unquote
+from functools import partial
+from urllib.parse import quote, urlsplit
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from loglens import schema as S
-from loglens.functions.paths import dir_name, ancestors, is_archive, rel_path
+from loglens.functions.paths import ancestors, base_name, dir_name, is_archive, rel_path, strip_all_archive_exts
+from loglens.session import ship_package
 
 CASE_GLOB = "[0-9]" * 10
 
@@ -70,3 +72,44 @@ def existing_paths(files: DataFrame) -> DataFrame:
     """Paths of all files and of all directories above them."""
     above = directories(files).select(F.explode(ancestors("dir")).alias("path"))
     return files.select(F.col("relpath").alias("path")).union(above).distinct()
+
+
+# --- what Spark's listing leaves out: empty files, empty directories, hidden names ------------------------
+
+
+def open_store(uri: str):
+    """``(filesystem, path)`` of a file URI or plain path. Runs inside tasks."""
+    from pyarrow import fs
+    if urlsplit(uri).scheme in ("", "file"):
+        return fs.LocalFileSystem(), re.sub("^file:(//[^/]*)?", "", uri)
+    scheme, rest = uri.split(":", 1)
+    return fs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}:{quote(rest, safe='/:@=+,~%')}")
+
+
+def _probe(batches, root, column):
+    store, base = open_store(root)
+    for batch in batches:
+        infos = store.get_file_info([f"{base.rstrip('/')}/{p}" for p in batch[column]])
+        yield batch[[i.type.name != "NotFound" for i in infos]]
+
+
+def really_there(paths: DataFrame, root: str, column: str = "relpath") -> DataFrame:
+    """Rows whose path below ``root`` exists. Tasks ask the store, one question per row."""
+    ship_package(paths.sparkSession)
+    probe = partial(_probe, root=qualify(paths.sparkSession, root), column=column)
+    return paths.mapInPandas(probe, paths.schema)
+
+
+def empty_markers(files: DataFrame, root: str) -> DataFrame:
+    """Marker files (``relpath``) that are empty and so not listed. Every directory above a file is asked."""
+    seen = files.where(base_name("relpath") == S.MARKER_FILE).select(dir_name("relpath").alias("dir"))
+    dirs = directories(files).select(F.explode(ancestors("dir")).alias("dir")).distinct()
+    asked = dirs.join(seen, "dir", "left_anti").select(F.concat_ws("/", "dir", F.lit(S.MARKER_FILE)).alias("relpath"))
+    return really_there(asked, root)
+
+
+def drop_if_there(archives: DataFrame, root: str) -> DataFrame:
+    """Drop archives next to which an empty or hidden thing of their stripped name already exists."""
+    stripped = archives.withColumn("stripped", strip_all_archive_exts("relpath"))
+    there = really_there(stripped.select("stripped"), root, "stripped").distinct()
+    return stripped.join(there, "stripped", "left_anti").drop("stripped")
