@@ -638,7 +638,8 @@ met AS (SELECT query_id, doc_id, line_no, node_name, sum(weight) AS met FROM lw
 SELECT query_id, CAST(count(DISTINCT node_name) AS BIGINT) AS nodes FROM met JOIN w USING (query_id)
 WHERE met.met >= greatest(1, len(words) * 75 // 100) GROUP BY query_id""")
 def occurrence_stream(spark, sf_dir):
-    lines = spark.sql(DOC_FILES.format(documents="{documents}"), documents=_stream(spark, sf_dir, "documents")).select(
+    documents = spread(_stream(spark, sf_dir, "documents"), spark, sf_dir, "documents")
+    lines = spark.sql(DOC_FILES.format(documents="{documents}"), documents=documents).select(
         "node_name", "platform", "major_version", "minor_version", F.explode(F.split("text", "\n", -1)).alias("message"))
     counts = stream_occurrences(lines, saved_snippets(view(spark, sf_dir, _STREAMED)))
     where = Staging(spark).path

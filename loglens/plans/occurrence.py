@@ -4,6 +4,8 @@ One scan answers everything: lines are reduced map-side to cells ``(node, versio
 cells are shuffled. A hot node, version or platform is therefore one row per task.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from loglens import schema as S
@@ -165,19 +167,24 @@ def _held_platforms() -> Column:
 
 
 def snippet_table(requests: DataFrame, pct: int = S.MATCH_PERCENT) -> DataFrame:
-    """Per request: its distinct words with their weights, how many must be met, and its filters."""
+    """Per request: its distinct words with their weights, how many must be met, and its filters.
+
+    ``snippet`` is the same for requests that ask the same, so that those are matched once.
+    """
     tokens = F.col("tokens")
-    words = F.array_distinct(tokens)
-    weights = F.map_from_arrays(words, F.transform(
-        words, lambda w: F.size(F.filter(tokens, lambda t: t == w))))
+    words = F.array_sort(F.array_distinct(tokens))
+    weights = F.transform(F.col("words"), lambda w: F.size(F.filter(tokens, lambda t: t == w)))
     platform = F.coalesce(platform_alias("platform"), F.lit(S.ALL_PLATFORMS))
-    return (requests.withColumn("tokens", tokenize("log_text"))
-            .select("query_id", words.alias("words"), weights.alias("weights"),
-                    F.size(tokens).alias("n"), required_matches_col(F.size(tokens), pct).alias("need"),
-                    _asked_version(F.col("version")).alias("asked_version"),
-                    platform.alias("asked_platform"),
-                    F.coalesce(F.col("version") == S.ALL_VERSIONS, F.lit(False)).alias("version_chart"),
-                    F.coalesce(F.col("platform") == S.ALL_PLATFORMS, F.lit(False)).alias("platform_chart")))
+    asked = (requests.withColumn("tokens", tokenize("log_text")).withColumn("words", words)
+             .select("query_id", "words", weights.alias("counts"), F.size(tokens).alias("n"),
+                     required_matches_col(F.size(tokens), pct).alias("need"),
+                     _asked_version(F.col("version")).alias("asked_version"), platform.alias("asked_platform"),
+                     F.coalesce(F.col("version") == S.ALL_VERSIONS, F.lit(False)).alias("version_chart"),
+                     F.coalesce(F.col("platform") == S.ALL_PLATFORMS, F.lit(False)).alias("platform_chart")))
+    same = F.sha2(F.to_json(F.struct("words", "counts", "asked_version", "asked_platform",
+                                     "version_chart", "platform_chart")), 256)
+    return (asked.withColumn("snippet", same)
+            .withColumn("weights", F.map_from_arrays("words", "counts")).drop("counts"))
 
 
 def word_frequencies(lines: DataFrame, words: DataFrame) -> DataFrame:
@@ -189,39 +196,54 @@ def word_frequencies(lines: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def probe_words(snippets: DataFrame, frequencies: DataFrame) -> DataFrame:
-    """``(query_id, probes)``: rarest words of each snippet that a similar line cannot all do without.
+    """``(snippet, probes)``: rarest words of each snippet that a similar line cannot all do without.
 
     A similar line misses tokens of weight at most ``n - need``; of words that together weigh more, it
     holds one. That is exact whatever the frequencies are; they only decide how few lines are looked at.
     """
-    weighed = snippets.select("query_id", (F.col("n") - F.col("need")).alias("slack"),
+    weighed = snippets.select("snippet", (F.col("n") - F.col("need")).alias("slack"),
                               F.explode("weights").alias("word", "weight"))
     rarity = F.coalesce("lines", F.lit(0))
-    rarest = Window.partitionBy("query_id").orderBy(rarity, -F.char_length("word"), "word")
+    rarest = Window.partitionBy("snippet").orderBy(rarity, -F.char_length("word"), "word")
     before = F.coalesce(F.sum("weight").over(rarest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return (weighed.join(frequencies, "word", "left").withColumn("before", before)
             .where(F.col("before") <= F.col("slack"))
-            .groupBy("query_id").agg(F.collect_list("word").alias("probes")))
+            .groupBy("snippet").agg(F.collect_list("word").alias("probes")))
+
+
+def prepare_snippets(requests: DataFrame, frequencies: DataFrame | Callable[[DataFrame], DataFrame],
+                     pct: int = S.MATCH_PERCENT) -> tuple[DataFrame, DataFrame]:
+    """``(asked, snippets)``: which snippet each request asks for, and the distinct snippets with probes.
+
+    ``frequencies`` is a table ``(word, lines)``, or makes it from the table of words asked for.
+    """
+    asked = cut(snippet_table(requests, pct))
+    snippets = asked.drop("query_id").dropDuplicates(["snippet"])
+    if callable(frequencies):
+        frequencies = frequencies(snippets.select(F.explode("words").alias("word")))
+    return asked, cut(snippets.join(probe_words(snippets, frequencies), "snippet", "left"))
 
 
 def match_lines(lines: DataFrame, snippets: DataFrame) -> DataFrame:
     """Every similar (line, snippet) pair once: the line's columns with the snippet's.
 
-    Lines meet snippets through probe words only, and are then checked in full. ``snippets`` is
-    ``snippet_table`` joined with ``probe_words``. Snippets are broadcast if they were counted and are few;
-    otherwise both sides are shuffled by probe word, salted, as one word may be in very many lines.
+    Lines meet snippets (see ``prepare_snippets``) through probe words only, and are then checked in full.
+    Snippets are broadcast if they were counted and are few; otherwise both sides are shuffled by probe
+    word, salted, as one word may be in very many lines.
     """
-    probes = snippets.select("query_id", F.explode("probes").alias("word"))
+    probes = snippets.select("snippet", F.explode("probes").alias("word"))
     # Outer, because an inner explode adds a not-null filter that would cut every line into words twice.
     words = lines.withColumn("word", F.explode_outer(F.array_distinct("tokens")))
     if is_small(snippets, BROADCAST_SNIPPETS) and is_small(probes):
-        met = words.join(F.broadcast(probes), "word").join(F.broadcast(snippets), "query_id")
+        met = words.join(F.broadcast(probes), "word").join(F.broadcast(snippets), "snippet")
     else:
         met = (words.withColumn("salt", salt_of("message"))
-               .join(probes.join(snippets, "query_id").withColumn("salt", every_salt()), ["word", "salt"]))
+               .join(probes.join(snippets, "snippet").withColumn("salt", every_salt()), ["word", "salt"]))
     # A line that holds several probe words of a snippet counts for the smallest of them only.
     first = F.array_min(F.array_intersect("probes", "tokens")) == F.col("word")
-    enough = weighted_hits(F.col("tokens"), F.col("words"), F.col("weights")) >= F.col("need")
+    weighted = weighted_hits(F.col("tokens"), F.col("words"), F.col("weights")) >= F.col("need")
+    plain = F.size(F.array_intersect("words", "tokens")) >= F.col("need")
+    enough = F.when(F.size("words") == F.col("n"), plain).otherwise(weighted)
     asked = (F.array_contains(_held_versions(), F.col("asked_version"))
              & F.array_contains(_held_platforms(), F.col("asked_platform")))
     return met.where(first).where(asked & enough)
@@ -233,21 +255,20 @@ def occurrences_batch(lines: DataFrame, requests: DataFrame, *, pct: int = S.MAT
     """``occurrences`` for a table of requests: ``(query_id, chart, label, value, docs)``."""
     if "tokens" not in lines.columns:
         lines = lines.withColumn("tokens", tokenize("message"))
-    snippets = snippet_table(requests, pct)
     if frequencies is None:
-        frequencies = word_frequencies(lines, snippets.select(F.explode("words").alias("word")))
-    # Read several times below; one row per request.
-    snippets = cut(snippets.join(probe_words(snippets, frequencies), "query_id", "left"))
+        frequencies = lambda words: word_frequencies(lines, words)
+    asked, snippets = prepare_snippets(requests, frequencies, pct)
     cells = (match_lines(lines, snippets)
-             .groupBy("query_id", "version_chart", "platform_chart", "node_name",
+             .groupBy("snippet", "version_chart", "platform_chart", "node_name",
                       version_key(by).alias("version"), "platform")
              .agg(F.lit(True).alias("hit"), F.count(F.lit(1)).alias("docs")))
-    return fold_charts(cells, ["query_id"], F.col("version_chart"), F.col("platform_chart"),
-                       nodes_under(lines, snippets), node_cap, bucket_cap, hits_only=True)
+    charts = fold_charts(cells, ["snippet"], F.col("version_chart"), F.col("platform_chart"),
+                         nodes_under(lines, snippets), node_cap, bucket_cap, hits_only=True)
+    return asked.select("query_id", "snippet").join(charts, "snippet").drop("snippet")
 
 
 def nodes_under(lines: DataFrame, snippets: DataFrame) -> DataFrame:
-    """``(query_id, nodes)``: nodes with lines under the filters of each request.
+    """``(snippet, nodes)``: nodes with lines under the filters of each snippet.
 
     A node answers to few filters, so they are joined by equality, not every node with every request.
     """
@@ -256,4 +277,4 @@ def nodes_under(lines: DataFrame, snippets: DataFrame) -> DataFrame:
             .select("node_name", "asked_version", F.explode("p").alias("asked_platform")).distinct()
             .groupBy("asked_version", "asked_platform").agg(F.count(F.lit(1)).alias("nodes")))
     return (snippets.join(held, ["asked_version", "asked_platform"], "left")
-            .select("query_id", F.coalesce("nodes", F.lit(0)).alias("nodes")))
+            .select("snippet", F.coalesce("nodes", F.lit(0)).alias("nodes")))

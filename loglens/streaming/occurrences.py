@@ -4,20 +4,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loglens import schema as S
 from loglens.functions.text import tokenize
-from loglens.plans.occurrence import match_lines, probe_words, snippet_table
-from loglens.session import cut
+from loglens.plans.occurrence import match_lines, prepare_snippets
 
 
 def saved_snippets(requests: DataFrame, frequencies: DataFrame | None = None,
-                   pct: int = S.MATCH_PERCENT) -> DataFrame:
+                   pct: int = S.MATCH_PERCENT) -> tuple[DataFrame, DataFrame]:
     """Requests prepared for matching against a stream.
 
     ``frequencies`` (``word, lines``) of lines seen so far makes matching faster, not different.
     """
-    snippets = snippet_table(requests, pct)
     if frequencies is None:
         frequencies = requests.sparkSession.createDataFrame([], "word string, lines bigint")
-    return cut(snippets.join(probe_words(snippets, frequencies), "query_id", "left"))
+    return prepare_snippets(requests, frequencies, pct)
 
 
 def stream_lines(spark: SparkSession, table: str) -> DataFrame:
@@ -27,15 +25,21 @@ def stream_lines(spark: SparkSession, table: str) -> DataFrame:
 
 
 def stream_hits(lines: DataFrame, snippets: DataFrame) -> DataFrame:
-    """Distinct ``(query_id, node_name)`` of a stream of lines.
+    """Distinct ``(snippet, node_name)`` of a stream of lines.
 
     The state is one row per snippet and node with a similar line, however many lines there are.
     """
     if "tokens" not in lines.columns:
         lines = lines.withColumn("tokens", tokenize("message"))
-    return match_lines(lines, snippets).select("query_id", "node_name").dropDuplicates()
+    return match_lines(lines, snippets).select("snippet", "node_name").dropDuplicates()
 
 
-def stream_occurrences(lines: DataFrame, snippets: DataFrame) -> DataFrame:
-    """Number of nodes with a similar line per snippet so far. Write it in ``complete`` mode."""
-    return stream_hits(lines, snippets).groupBy("query_id").agg(F.count(F.lit(1)).alias("nodes"))
+def stream_occurrences(lines: DataFrame, saved: tuple[DataFrame, DataFrame]) -> DataFrame:
+    """Number of nodes with a similar line per request so far. Write it in ``complete`` or ``update`` mode.
+
+    Lines of a table being written also come from batches that are never committed; as those are ingested
+    again, they change no count of distinct nodes.
+    """
+    asked, snippets = saved
+    counts = stream_hits(lines, snippets).groupBy("snippet").agg(F.count(F.lit(1)).alias("nodes"))
+    return counts.join(asked.select("query_id", "snippet"), "snippet").select("query_id", "nodes")
