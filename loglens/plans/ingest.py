@@ -2,14 +2,15 @@
 
 A run works through batches of cases. Each batch is one Spark plan over all files of its cases, commits by
 one ledger append, and is skipped when a later run resumes the same window. Small tables (listing, scopes,
-splits, file fields) are staged in the shared folder between the passes; text is read twice and shuffled
-never, unless a batch has more file splits than may be broadcast.
+splits) are staged in the shared folder between the passes. Files up to ``WHOLE_BYTES`` are read once, larger
+ones twice; no text is shuffled, unless a batch has more directories or splits than may be broadcast.
 """
 
 import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -20,10 +21,11 @@ from loglens.functions.predicates import in_window, is_log_name
 from loglens.operators.documents import CARRIED, as_documents, with_ingest_time
 from loglens.operators.relevance import is_relevant
 from loglens.operators.scope import SIDECAR_PATTERN, node_scopes, resolve_scope
-from loglens.session import SALTS, Staging, every_salt, is_small
+from loglens.session import Staging, is_small, join_salted
 from loglens.sources.archives import (archive_errors, expand_archives, good_members, member_lines,
                                       skip_unpacked, spread_archives)
-from loglens.sources.lines import attach_splits, open_text, place_splits, scan_text, split_stats
+from loglens.sources.lines import (WHOLE_BYTES, attach_splits, open_text, open_whole, place_splits, scan_text,
+                                   scan_whole, split_stats, with_facts)
 from loglens.sources.listing import (case_paths, drop_if_there, empty_markers, existing_paths, list_cases,
                                      list_files, qualify, root_path)
 from loglens.sources.tables import LogTable, ingest_report
@@ -84,58 +86,81 @@ def ingest_batch(spark: SparkSession, store: LogTable, root: str, cases: list[st
 
     members, errors = _unpack(staging, root, listed, current)
     in_archives = members.select("relpath", "archive").distinct() if members is not None else None
-    text = open_text(spark, paths)
+    fields = [f"`{c}`" for c in _DOC_FIELDS]
+    carried = ["relpath", "line_no", "message", *fields]
+    plain = current.where(~F.col("is_archive") & is_log_name())
+    is_large = F.col("length") > WHOLE_BYTES
+    sidecar = F.col("relpath").rlike(SIDECAR_PATTERN)
+    any_large = not listed.where(is_large & (sidecar | is_log_name())).isEmpty()
+    large = F.col("_metadata.file_size") > WHOLE_BYTES
 
     # Scopes
-    sidecars = scan_text(text, F.col("_metadata.file_path").rlike(SIDECAR_PATTERN)).select(
-        rel_path("uri", base).alias("relpath"), "block", "mid", "value")
+    is_sidecar = F.col("_metadata.file_path").rlike(SIDECAR_PATTERN)
+    whole = open_whole(spark, paths)
+    inside = scan_whole(whole, is_sidecar).select(rel_path("uri", base).alias("relpath"), "first_line", "content")
     everything = listed.select("relpath").union(empty_markers(listed, root))
     if members is not None:
-        inside = member_lines(members.where(F.col("relpath").rlike(SIDECAR_PATTERN)))
-        sidecars = sidecars.unionByName(inside.select(
-            "relpath", F.lit(0).cast("bigint").alias("block"), F.col("line_no").alias("mid"), "value"))
+        inside = inside.unionByName(members.where(sidecar).select("relpath", "first_line", "content"))
         everything = everything.union(in_archives.select("relpath"))
+    sidecars = member_lines(inside).select(
+        "relpath", F.lit(0).cast("bigint").alias("block"), F.col("line_no").alias("mid"), "value")
+    if any_large:
+        sidecars = sidecars.unionByName(scan_text(open_text(spark, paths), is_sidecar & large).select(
+            rel_path("uri", base).alias("relpath"), "block", "mid", "value"))
     scopes = staging.table(node_scopes(everything, sidecars, base), "scopes")
+    considered = plain.select("relpath", is_large.alias("counted"))
+    if members is not None:
+        considered = considered.unionByName(
+            in_archives.where(is_log_name()).select("relpath", F.lit(True).alias("counted")))
+    considered = staging.table(considered, "considered")
+    dirs = considered.select(dir_name("relpath").alias("dir")).distinct()
+    scoped = staging.table(resolve_scope(dirs, scopes), "scoped")
+
+    def with_scope(files: DataFrame) -> DataFrame:
+        return (join_salted(files.withColumn("dir", dir_name("relpath")), scoped, ["dir"], "relpath")
+                .withColumn("case", case_number(F.substring_index("relpath", "/", 1))))
 
-    # Candidate files and what their lines say about them
+    # Small files: one pass
     fresh = F.unix_seconds(F.col("_metadata.file_modification_time"))
     wanted = is_log_name(F.col("_metadata.file_name")) & (fresh >= start) & (fresh < stop)
     if text_paths is not None:
-        text, wanted = (open_text(spark, text_paths), wanted) if text_paths else (text, F.lit(False))
-    raw = scan_text(text, wanted)
-    splits = staging.table(place_splits(split_stats(raw)).withColumn("relpath", rel_path("uri", base)), "splits")
-    files = current.where(~F.col("is_archive") & is_log_name()).select("relpath", F.lit("").alias("archive"))
-    seen = splits.groupBy(F.lit("").alias("archive"), "relpath").agg(
-        F.max("last_line").alias("expected"), F.max("mentions").alias("mentions"))
+        whole, wanted = (open_whole(spark, text_paths), wanted) if text_paths else (whole, F.lit(False))
+    found = with_scope(with_facts(scan_whole(whole, wanted).withColumn("relpath", rel_path("uri", base))))
+    in_time = F.col("bad").isNull() | (F.col("token") < F.col("bad"))
+    found = found.where(is_relevant(F.col("token").isNotNull() & in_time))
+    lines = (member_lines(found, "bad", *fields).where(F.col("bad").isNull() | (F.col("line_no") < F.col("bad")))
+             .withColumn("message", F.col("value")).select(*carried))
+    expected = []
+
+    # Large files: one pass over the splits, one over the lines
+    if any_large and text_paths != []:
+        raw = scan_text(open_text(spark, paths if text_paths is None else text_paths), wanted & large)
+        splits = place_splits(split_stats(raw)).withColumn("relpath", rel_path("uri", base))
+        placed = with_scope(splits).where(is_relevant(F.col("mentions")))
+        placed = staging.table(placed.select("uri", "block", "base", "last_line", "relpath", *fields), "placed")
+        lines = lines.unionByName(attach_splits(raw, placed, "relpath", *_DOC_FIELDS)
+                                  .withColumn("message", F.col("value")).select(*carried))
+        expected.append(placed.groupBy("relpath").agg(F.max("last_line").alias("expected")))
+
+    # Members of archives: staged once, so a pass over their chunks, one over their lines
     if members is not None:
         named = members.where(is_log_name())
-        files = files.unionByName(in_archives.where(is_log_name()).select("relpath", "archive"))
-        seen = seen.unionByName(member_stats(named))
-    files = staging.table(files, "files")
-    dirs = files.select(dir_name("relpath").alias("dir")).distinct()
-    file_fields = (files.withColumn("dir", dir_name("relpath"))
-                   .join(resolve_scope(dirs, scopes), "dir")
-                   .join(seen, ["archive", "relpath"], "left")
-                   .where(is_relevant(F.col("mentions")))
-                   .withColumn("case", case_number(F.substring_index("relpath", "/", 1)))
-                   .withColumn("expected", F.coalesce("expected", F.lit(0)).cast("bigint")))
-    file_fields = staging.table(file_fields.select("archive", "relpath", "expected",
-                                                   *[f"`{c}`" for c in _DOC_FIELDS]), "file_fields")
-
-    # Documents
-    plain_fields = file_fields.where(F.col("archive") == "").drop("archive", "expected")
-    placed = staging.table(splits.drop("mentions").join(plain_fields, "relpath"), "placed")
-    lines = attach_splits(raw, placed, "relpath", *_DOC_FIELDS).withColumn("message", F.col("value"))
-    carried = ["relpath", "line_no", "message", *[f"`{c}`" for c in _DOC_FIELDS]]
-    lines = lines.select(*carried)
-    if members is not None:
-        fields = file_fields.where(F.col("archive") != "")
-        unpacked = member_lines(_attach_fields(named, fields), "expected", *[f"`{c}`" for c in _DOC_FIELDS])
-        lines = lines.unionByName(unpacked.where(F.col("line_no") <= F.col("expected"))
-                                  .withColumn("message", F.col("value")).select(*carried))
+        about = with_scope(member_stats(named)).where(is_relevant(F.col("mentions")))
+        about = staging.table(about.select("archive", "relpath", "expected", *fields), "about")
+        chunks = join_salted(named, about, ["archive", "relpath"], "chunk_no")
+        unpacked = member_lines(chunks, "expected", *fields).where(F.col("line_no") <= F.col("expected"))
+        lines = lines.unionByName(unpacked.withColumn("message", F.col("value")).select(*carried))
+        expected.append(about.select("relpath", "expected"))
+
     store.write("lines", batch, as_documents(with_ingest_time(lines, millis)))
     written = spark.read.schema(S.LOG_LINES).parquet(store.batch_path("lines", batch))
-    store.write("report", batch, ingest_report(written, with_ingest_time(file_fields, millis)))
+    files = considered.withColumn("expected", F.lit(None).cast("bigint"))
+    if expected:
+        counts = reduce(DataFrame.unionByName, expected)
+        files = (considered.join(counts, "relpath", "left")
+                 .withColumn("expected", F.when(F.col("counted"), F.coalesce("expected", F.lit(0)))))
+    files = files.withColumn("case", case_number(F.substring_index("relpath", "/", 1)))
+    store.write("report", batch, ingest_report(written, with_ingest_time(files, millis)))
     store.write("errors", batch, errors if errors is not None
                 else spark.createDataFrame([], S.ARCHIVE_ERRORS).coalesce(1))
     staging.drop()
@@ -166,21 +191,8 @@ def _unpack(staging: Staging, root: str, listed: DataFrame, current: DataFrame):
 
 def member_stats(members: DataFrame) -> DataFrame:
     """Per member: how many of its lines count, and whether one of them mentions the product."""
-    lines = member_lines(members, "archive")
-    valid, line_no = F.is_valid_utf8("value"), F.col("line_no")
-    stats = lines.groupBy("archive", "relpath").agg(
-        F.max(line_no).alias("total"),
-        F.min(F.when(~valid, line_no)).alias("bad"),
-        F.min(F.when(valid & F.col("value").contains(S.PRODUCT_TOKEN), line_no)).alias("token"))
-    expected = F.coalesce(F.col("bad") - 1, F.col("total"))
-    return stats.select("archive", "relpath", expected.alias("expected"),
-                        F.coalesce(F.col("token") <= expected, F.lit(False)).alias("mentions"))
-
-
-def _attach_fields(members: DataFrame, fields: DataFrame) -> DataFrame:
-    """Chunks with the fields of their file. Joined before chunks become lines, and salted by chunk if
-    the fields are too many to broadcast, since one member may have very many chunks."""
-    if is_small(fields):
-        return members.join(F.broadcast(fields), ["archive", "relpath"])
-    return (members.withColumn("salt", F.pmod("chunk_no", F.lit(SALTS)))
-            .join(fields.withColumn("salt", every_salt()), ["archive", "relpath", "salt"]))
+    stats = with_facts(members).groupBy("archive", "relpath").agg(
+        F.max("last").alias("last"), F.min("bad").alias("bad"), F.min("token").alias("token"))
+    counted = F.coalesce(F.col("bad") - 1, F.col("last"))
+    return stats.select("archive", "relpath", counted.alias("expected"),
+                        F.coalesce(F.col("token") <= counted, F.lit(False)).alias("mentions"))

@@ -93,3 +93,14 @@ def salt_of(*cols, salts: int = SALTS) -> Column:
 
 def every_salt(salts: int = SALTS) -> Column:
     return F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+
+
+def join_salted(big: DataFrame, side: DataFrame, on: list[str], by: str, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Join where one key may hold very many rows of ``big``.
+
+    ``side`` is broadcast if it was counted and is small; otherwise every key is spread by column ``by``.
+    """
+    if is_small(side, rows):
+        return big.join(F.broadcast(side), on)
+    return (big.withColumn("_salt", salt_of(by)).join(side.withColumn("_salt", every_salt()), [*on, "_salt"])
+            .drop("_salt"))

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 from loglens import schema as S
 from loglens.functions.paths import plain_uri, strip_all_archive_exts
 from loglens.session import ship_package
+from loglens.sources.lines import content_lines
 from loglens.sources.listing import open_store
 
 CHUNK_BYTES = 8 << 20
@@ -67,16 +68,8 @@ def archive_errors(expanded: DataFrame) -> DataFrame:
 
 def member_lines(members: DataFrame, *carry: str) -> DataFrame:
     """``(..carry, relpath, line_no, value)`` of member chunks. Undecodable bytes stay as they are."""
-    text = F.col("content").cast("string")
-    # Splitting goes through Unicode; one byte per character keeps invalid UTF-8 intact.
-    by_bytes = F.transform(F.split(F.decode("content", "ISO-8859-1"), "\n", -1),
-                           lambda x: F.encode(x, "ISO-8859-1").cast("string"))
-    pieces = F.when(F.is_valid_utf8(text), F.split(text, "\n", -1)).otherwise(by_bytes)
-    # A chunk that ends with a line end leaves an empty piece behind it.
-    ended = F.substring(F.col("content"), -1, 1) == F.lit(b"\n")
-    lines = (F.when(F.octet_length("content") == 0, F.array().cast("array<string>"))
-             .when(ended, F.slice(pieces, F.lit(1), F.size(pieces) - 1)).otherwise(pieces))
-    return (members.select(*carry, "relpath", "first_line", F.posexplode(lines).alias("pos", "value"))
+    return (members.select(*carry, "relpath", "first_line",
+                           F.posexplode(content_lines(F.col("content"))).alias("pos", "value"))
             .withColumn("line_no", F.col("first_line") + F.col("pos")).drop("first_line", "pos"))
 
 

@@ -1,12 +1,13 @@
 """Text files as numbered lines.
 
-Spark splits large files, so a line's number is not known where the line is read. One pass counts the
-lines of each split (and notes the first undecodable line and the first mention of the product token),
-which is a tiny table; a second pass adds the split's offset to the position within the split. The text
-itself is never shuffled to be numbered.
+A file up to ``WHOLE_BYTES`` is read whole, as one row, so that its lines are numbered, checked and searched
+in one pass. Larger files are split by Spark, and a line's number is not known where the line is read: one
+pass counts the lines of each split (and notes the first undecodable line and the first mention of the
+product token), which is a tiny table; a second pass adds the split's offset to the position within the
+split. Text is never shuffled to be numbered.
 """
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from loglens import schema as S
 from loglens.functions.paths import rel_path
@@ -14,8 +15,54 @@ from loglens.session import Staging, is_small
 from loglens.sources.listing import glob_escape, root_path
 
 
+WHOLE_BYTES = 32 << 20
+
+
+def content_lines(content: Column) -> Column:
+    """Lines of binary content, as strings that keep undecodable bytes as they are."""
+    text = content.cast("string")
+    # Splitting goes through Unicode; one byte per character keeps invalid UTF-8 intact.
+    by_bytes = F.transform(F.split(F.decode(content, "ISO-8859-1"), "\n", -1),
+                           lambda x: F.encode(x, "ISO-8859-1").cast("string"))
+    pieces = F.when(F.is_valid_utf8(text), F.split(text, "\n", -1)).otherwise(by_bytes)
+    # Content that ends with a line end leaves an empty piece behind it.
+    ended = F.substring(content, -1, 1) == F.lit(b"\n")
+    return (F.when(F.octet_length(content) == 0, F.array().cast("array<string>"))
+            .when(ended, F.slice(pieces, F.lit(1), F.size(pieces) - 1)).otherwise(pieces))
+
+
+def with_facts(chunks: DataFrame) -> DataFrame:
+    """Add to ``(first_line, content)`` rows the ``bad`` first undecodable line, the first line with the
+    product ``token``, and the ``last`` line, without taking the content apart where it has neither."""
+    first, content = F.col("first_line"), F.col("content")
+    text = content.cast("string")
+
+    def line_where(test):
+        return first + F.array_position(F.transform(content_lines(content), test), F.lit(True)) - 1
+
+    return (chunks
+            .withColumn("bad", F.when(~F.is_valid_utf8(text), line_where(lambda x: ~F.is_valid_utf8(x))))
+            .withColumn("token", F.when(text.contains(S.PRODUCT_TOKEN),
+                                        line_where(lambda x: x.contains(S.PRODUCT_TOKEN))))
+            .withColumn("last", first + F.size(content_lines(content)) - 1))
+
+
+def open_whole(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """All text files below ``paths``, one row each. Take small ones only."""
+    return (spark.read.format("text").option("wholetext", True).option("recursiveFileLookup", True)
+            .load(paths))
+
+
+def scan_whole(raw: DataFrame, where) -> DataFrame:
+    """``(uri, first_line, content)`` of the opened files that pass ``where`` and are small."""
+    small = F.col("_metadata.file_size") <= WHOLE_BYTES
+    return raw.where(where & small).select(
+        F.col("_metadata.file_path").alias("uri"), F.lit(1).cast("bigint").alias("first_line"),
+        F.col("value").cast("binary").alias("content"))
+
+
 def open_text(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """All text files below ``paths``, listed once however many scans are derived from it."""
+    """All text files below ``paths``, line by line; listed once however many scans are derived from it."""
     return (spark.read.format("text").option("lineSep", "\n").option("recursiveFileLookup", True)
             .load(paths))
 

@@ -37,10 +37,14 @@ def superseded_files(report: DataFrame) -> DataFrame:
 
 
 def ingest_report(lines: DataFrame, files: DataFrame) -> DataFrame:
-    """Outcome per file: ``ok`` if every line that should be there is there."""
+    """Outcome per file: ``ok`` if every line that should be there is there.
+
+    Files read in one pass come without ``expected`` lines; all of theirs are there.
+    """
     counted = lines.groupBy("relpath").agg(F.count(F.lit(1)).alias("lines"))
     return (files.join(counted, "relpath", "left")
             .withColumn("lines", F.coalesce("lines", F.lit(0)))
+            .withColumn("expected", F.coalesce("expected", "lines"))
             .withColumn("ok", F.col("lines") == F.col("expected"))
             .select(*[F.col(f"`{n}`") for n in S.INGEST_REPORT.names]))
 
