@@ -18,11 +18,11 @@ def test_case_and_span(evaluate):
 
 
 def test_category(evaluate):
-    cases = {"950284/vhamemimmgws01/20130713153017-20130713160517/mandatory_files/bycast.log": "bycast",
-             "vhairoimmsn02/20140520230753-20140520234253/mandatory_files/servermanager.log": "server_manager",
-             "vhairoimmsn02/20140520230753-20140520234253/system_commands": "system_commands",
-             "950194/vhairoimmsn02/20140520215500-20140520231300": "other", "asdf123.log": "other",
-             "vhanflimmcn10/20140717025500-20140717040000/mandatory_files/messages": "messages",
+    cases = {"case/node/20130713-20130714/mandatory_files/bycast.log": "bycast",
+             "node/20140520-20140521/mandatory_files/servermanager.log": "server_manager",
+             "node/20140520-20140521/system_commands": "system_commands",
+             "case/node/20140520-20140521": "other", "asdf123.log": "other",
+             "node/20140717-20140718/mandatory_files/messages": "messages",
              "bycast.log": "other", "x/server/manager": "server_manager", "x\\server\\manager": "server_manager",
              "upgrade/audit.log": "audit", "x/base_os/some_command": "base_os_commands"}
     assert dict(zip(cases, evaluate(FF.category_of, cases))) == cases
