@@ -152,7 +152,9 @@ def ingest_batch(spark: SparkSession, store: LogTable, root: str, cases: list[st
         lines = lines.unionByName(unpacked.withColumn("message", F.col("value")).select(*carried))
         expected.append(about.select("relpath", "expected"))
 
-    store.write("lines", batch, as_documents(with_ingest_time(lines, millis)))
+    # Scans of many small files have many small tasks; written as they are, each would leave a small file.
+    documents = as_documents(with_ingest_time(lines, millis)).coalesce(_output_tasks(current))
+    store.write("lines", batch, documents)
     written = spark.read.schema(S.LOG_LINES).parquet(store.batch_path("lines", batch))
     files = considered.withColumn("expected", F.lit(None).cast("bigint"))
     if expected:
@@ -167,6 +169,13 @@ def ingest_batch(spark: SparkSession, store: LogTable, root: str, cases: list[st
     return batch
 
 
+def _output_tasks(files: DataFrame, target_bytes: int = 128 << 20, unpacked: int = 8) -> int:
+    """Tasks that each write documents of about ``target_bytes`` of text, but enough to keep all cores busy."""
+    size = F.when(F.col("is_archive"), F.col("length") * unpacked).otherwise(F.col("length"))
+    total = files.agg(F.sum(size).alias("bytes")).first()["bytes"] or 0
+    return max(4 * files.sparkSession.sparkContext.defaultParallelism, total // target_bytes + 1)
+
+
 def _unpack(staging: Staging, root: str, listed: DataFrame, current: DataFrame):
     """Members and errors of the archives of a batch, expanded once; ``None, None`` without archives."""
     found = current.where("is_archive")

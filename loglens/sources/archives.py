@@ -41,7 +41,8 @@ def expand_archives(archives: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> Data
     ``archives`` has ``relpath`` and ``mtime`` and either ``content`` (the bytes) or ``uri`` (opened by
     the task, so that archives of any size stream through). Result: see ``schema.MEMBERS``. A member
     comes as chunks that end at line ends; ``first_line`` numbers a chunk's first line. Rows with
-    ``error`` stand for unreadable archives. Members carry the time of the outermost archive.
+    ``error`` stand for unreadable archives. Members carry the time of the outermost archive. To do
+    something with every member, ``transform`` the result.
     """
     ship_package(archives.sparkSession)
     source = F.col("content") if "content" in archives.columns else plain_uri("uri")

@@ -189,3 +189,22 @@ def test_stream_picks_up_new_files(spark, tree, tmp_path):
     late = [r for r in LogTable(spark, table).current_lines().collect() if "late" in r.relpath]
     assert [(r.message, r.node_name, r.major_version) for r in late] == [("late", "node_name_paris", 100)]
     assert len(contents(spark, table)) == 9 and len(LogTable(spark, table).ledger.batches()) == 2
+
+
+def test_split_files_are_numbered_in_ingest(spark, tree, monkeypatch):
+    root, table, add = tree
+    monkeypatch.setattr("loglens.sources.lines.WHOLE_BYTES", 5000)
+    monkeypatch.setattr("loglens.plans.ingest.WHOLE_BYTES", 5000)
+    for name, n in {"a": 3000, "b": 1500, "small": 20}.items():
+        add(f"1234567890/bycast_{name}.log", "".join(f"line {i}\n" for i in range(1, n + 1)))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "500")      # more splits than output tasks
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        ingest(spark, root, table, now=LATER)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    lines = LogTable(spark, table).current_lines()
+    assert lines.count() == 4520 == lines.select("doc_id").distinct().count()
+    assert lines.where(F.col("message") != F.concat(F.lit("line "), F.col("line_no").cast("string"))).count() == 0
