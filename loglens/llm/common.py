@@ -37,8 +37,10 @@ def runs(batches: Iterator[pd.DataFrame], text: str = "text", chars: int = RUN_C
 
 
 def lower_ascii(text) -> Column:
-    """``text`` with A-Z lower-cased and nothing else."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    """``text`` with A-Z lower-cased and nothing else; pure ASCII takes the faster way."""
+    text = F.col(text) if isinstance(text, str) else text
+    translated = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(translated)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

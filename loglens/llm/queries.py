@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loglens.llm import packing
+from loglens.llm import decontaminate, neardup, packing, quality, secret_scan
 from loglens.llm.common import read
 
 QUERIES: dict = {}
@@ -20,3 +20,52 @@ def query(function):
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 4096 tokens."""
     return packing.pack_documents(read(spark, sf_dir, "documents"))
+
+
+@query
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of two-word shingles are similar."""
+    return neardup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of documents that lie in ten-word windows of benchmark items."""
+    return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in documents."""
+    return secret_scan.scan(read(spark, sf_dir, "documents"))
+
+
+@query
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of documents under a model of the trusted ones, and which of them to keep."""
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+_WORDS = r"""list_filter(string_split_regex(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                         '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+
+SQL["op5_benchmark_decontamination"] = rf"""
+WITH d AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+i AS (SELECT item_id, {_WORDS.format("coalesce(text, '')")} AS w FROM benchmark),
+windows AS (
+    SELECT DISTINCT item_id, n, array_to_string(w[s + 1:s + n], ' ') AS words
+    FROM (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(greatest(len(w) - 10, 0) + 1)) AS s FROM i WHERE len(w) > 0)),
+starts AS (
+    SELECT doc_id, n, s, array_to_string(w[s + 1:s + n], ' ') AS words
+    FROM (SELECT doc_id, w, n, unnest(range(len(w) - n + 1)) AS s
+          FROM d, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+hits AS (SELECT doc_id, item_id, s, n FROM starts JOIN windows USING (n, words)),
+places AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+           FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hits) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN places USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
