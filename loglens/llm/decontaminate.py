@@ -100,3 +100,12 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> Data
                     F.size(listed).cast("long").alias("n_items"),
                     F.sha2(F.array_join(listed, ","), 256).alias("items_sha256"),
                     (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated")))
+
+
+def clean(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
+    """Those of ``docs`` (doc_id, text, others) without a hit. Only keys of what goes are joined to the texts."""
+    key = F.xxhash64(F.coalesce("text", F.lit("")))
+    cut = docs.select(F.col("doc_id").alias("_id"), key.alias("_hash"), words("text").alias("w"))
+    hit = Staging(docs.sparkSession).table(window_hits(cut, items, size).select("_id", "_hash").distinct(), "hit")
+    hit = F.broadcast(hit) if is_small(hit) else hit
+    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_id")) & (key == F.col("_hash")), "left_anti")

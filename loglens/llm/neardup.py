@@ -235,3 +235,13 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILAR_PERCENT) -> DataFram
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce(F.when(F.col("n_shingles") > 0, F.col("component_id")), F.col("doc_id")))
     return result.select("doc_id", "n_shingles", component.alias("component_id"),
                          (component.isNull() | (F.col("doc_id") == component)).alias("kept"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """Those of ``docs`` (doc_id, text, others) that no component of smaller doc_id takes in. Rows of a repeated doc_id go
+    together, if any of them goes.
+
+    Only the ids of what goes are joined to the texts.
+    """
+    gone = near_duplicates(docs.select("doc_id", "text")).where(~F.col("kept")).select("doc_id").distinct()
+    return join_checked(docs, gone, "doc_id", "left_anti")

@@ -238,11 +238,11 @@ def judged(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, order
     held_out = staging.table(
         with_bits(trusted.where(held), model, staging, order, shard_rows, "_held").select("lang", "_held", chars.alias("chars")), "held-out")
     mean = F.sum("_held") / F.sum("chars")
-    means = held_out.groupBy("lang").agg(mean.alias("mean"))
+    means = held_out.groupBy(F.col("lang").alias("_lang")).agg(mean.alias("mean"))
     overall = held_out.agg(mean.alias("mean")).first()["mean"]
     overall = overall if overall is not None else 0.0
-    entropies = held_out.join(means, held_out["lang"].eqNullSafe(means["lang"]), "left").select(
-        held_out["lang"], _shrunk("_held", "chars", F.coalesce("mean", F.lit(overall))).alias("h"), "mean")
+    entropies = held_out.join(means, F.col("lang") == F.col("_lang"), "left").select(
+        "lang", _shrunk("_held", "chars", F.coalesce("mean", F.lit(overall))).alias("h"), "mean")
     cut = F.percentile_approx("h", F.lit(quantile), F.lit(10_000))
     limits = staging.table(entropies.where("lang is not null").groupBy(F.col("lang").alias("_lang")).agg(
         cut.alias("_limit"), F.first("mean").alias("_mean")), "limits")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loglens.llm import decontaminate, neardup, packing, quality, secret_scan
+from loglens.llm import decontaminate, langid, neardup, packing, pii, quality, secret_scan, urls
 from loglens.llm.common import read
 
 QUERIES: dict = {}
@@ -28,12 +28,30 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+@query
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in documents."""
+    return pii.personal_data(read(spark, sf_dir, "documents"))
+
+
 @query
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of documents that lie in ten-word windows of benchmark items."""
     return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+@query
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict for the URL of every page."""
+    return urls.judge(read(spark, sf_dir, "pages"))
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of documents, learned from two thirds of them."""
+    return langid.identify(read(spark, sf_dir, "documents"))
+
+
 @query
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of secrets in documents."""
@@ -69,3 +87,48 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN places USING (doc_id) LEFT JOIN found USING (doc_id)
 """
+
+_PII_KINDS = [                              # kind, plain pattern, check of a match f, score, context, least score
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true", 70, "mail|contact|write to|reach", 0),
+    ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+     "len(list_filter(string_split(f, '.'), lambda p: length(ltrim(p, '0')) > 3 OR coalesce(TRY_CAST(ltrim(p, '0') AS INT), 0) > 255)) = 0",
+     50, r"\bip\b|address|server|host", 0),
+    ("card", r"[0-9]([\x20-]?[0-9])+",
+     "length(d) BETWEEN 16 AND 19 AND list_sum(list_transform(range(1, length(d) + 1), lambda i: "
+     "CAST(d[length(d) - i + 1] AS INT) * (2 - i % 2) - CASE WHEN CAST(d[length(d) - i + 1] AS INT) * (2 - i % 2) > 9 THEN 9 ELSE 0 END)) % 10 = 0",
+     65, "card|visa|credit|payment", 0),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "length(d) BETWEEN 8 AND 15", 50, "phone|call|mobile|fax", 0),
+    ("iban", r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}\b",
+     "length(replace(f, ' ', '')) BETWEEN 15 AND 34 AND list_reduce(list_transform(string_split(replace(f, ' ', '')[5:] || f[1:4], ''), "
+     "lambda c: instr('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ', c) - 1), lambda a, v: (CASE WHEN v > 9 THEN a * 100 + v ELSE a * 10 + v END) % 97) = 1",
+     65, "iban|account|bank", 60),
+    ("idnum", r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b", "true", 35, r"\bssn\b|social security|identity", 60),
+]
+
+
+def _pii_sql() -> str:
+    found = " UNION ALL ".join(f"""
+        SELECT doc_id, {k} AS k, '{name}' AS kind, s, e, score FROM (
+            SELECT doc_id, s, s + length(f) AS e, {score} + CASE WHEN regexp_matches(
+                substring(t, greatest(s - 40, 0) + 1, least(s, 40)), '(?i){context}') THEN 30 ELSE 0 END AS score
+            FROM (SELECT doc_id, t, f, regexp_replace(f, '[^0-9]', '', 'g') AS d,
+                         CAST(list_sum(list_transform(g[1:i + 1], lambda y: length(y))) AS BIGINT)
+                         + coalesce(CAST(list_sum(list_transform(m[1:i], lambda y: length(y))) AS BIGINT), 0) AS s
+                  FROM (SELECT doc_id, t, m, g, i, m[i + 1] AS f
+                        FROM (SELECT doc_id, t, regexp_extract_all(t, '{pattern}') AS m, string_split_regex(t, '{pattern}') AS g FROM texts),
+                             unnest(range(len(m))) AS places(i)))
+            WHERE {check}) WHERE score >= {least}""" for k, (name, pattern, check, score, context, least) in enumerate(_PII_KINDS))
+    counts = ", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in ("email", "ip", "card", "phone"))
+    listed = "string_agg(kind || ':' || s || ':' || e, ',' ORDER BY k, s)"
+    return f"""
+    WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+    found AS ({found}),
+    per_doc AS (SELECT doc_id, {counts}, {listed} FILTER (k < 4) AS base, {listed} AS spans,
+                       string_agg(CAST(score AS VARCHAR), ',' ORDER BY k, s) AS scores FROM found GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+           coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+           coalesce(scores, '') AS scores
+    FROM texts LEFT JOIN per_doc USING (doc_id)"""
+
+
+SQL["op4_pii"] = _pii_sql()
