@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loglens.llm import decontaminate, langid, neardup, packing, pii, quality, secret_scan, urls
+from loglens.llm import decontaminate, fingerprints, langid, neardup, packing, pii, quality, secret_scan, urls
 from loglens.llm.common import read
 
 QUERIES: dict = {}
@@ -22,6 +22,12 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"))
 
 
+@query
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of documents and of their edited texts."""
+    return fingerprints.fingerprint(read(spark, sf_dir, "documents"))
+
+
 @query
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of two-word shingles are similar."""
