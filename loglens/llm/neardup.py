@@ -39,7 +39,7 @@ ROWS = 2
 SAMPLES = 32
 MOST_DIFFERING = 17
 # A round compares with so many times as many members of a bucket as the one before.
-WIDER = 8
+WIDER = 32
 CACHED_WORDS = 500_000
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loglens.llm import decontaminate, fingerprints, langid, neardup, packing, pii, quality, secret_scan, urls
+from loglens.llm import decontaminate, fingerprints, langid, licenses, neardup, packing, pii, quality, secret_scan, urls
 from loglens.llm.common import read
 
 QUERIES: dict = {}
@@ -46,6 +46,12 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+@query
+def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses of documents, their own or that of a directory above."""
+    return licenses.scan_documents(read(spark, sf_dir, "documents"))
+
+
 @query
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule and verdict for the URL of every page."""
