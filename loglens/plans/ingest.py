@@ -2,8 +2,9 @@
 
 A run works through batches of cases. Each batch is one Spark plan over all files of its cases, commits by
 one ledger append, and is skipped when a later run resumes the same window. Small tables (listing, scopes,
-splits) are staged in the shared folder between the passes. Files up to ``WHOLE_BYTES`` are read once, larger
-ones twice; no text is shuffled, unless a batch has more directories or splits than may be broadcast.
+splits) are staged in the shared folder between the passes. A first pass notes of each file whether it counts and
+how many lines it must have, a second reads the lines of those that do; no text is shuffled, unless a batch has more
+directories or splits than may be broadcast.
 """
 
 import time
@@ -16,18 +17,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loglens import schema as S
 from loglens.functions.fields import case_number
-from loglens.functions.paths import dir_name, rel_path
+from loglens.functions.paths import dir_name, is_archive, rel_path
 from loglens.functions.predicates import in_window, is_log_name
 from loglens.operators.documents import CARRIED, as_documents, with_ingest_time
 from loglens.operators.relevance import is_relevant
 from loglens.operators.scope import SIDECAR_PATTERN, node_scopes, resolve_scope
-from loglens.session import Staging, is_small, join_salted
-from loglens.sources.archives import (archive_errors, expand_archives, good_members, member_lines,
+from loglens.session import Staging, is_small, join_checked, join_salted
+from loglens.sources.archives import (archive_errors, direct_rows, expand_archives, good_members, member_lines,
                                       skip_unpacked, spread_archives)
 from loglens.sources.lines import (WHOLE_BYTES, attach_splits, open_text, open_whole, place_splits, scan_text,
                                    scan_whole, split_stats, with_facts)
-from loglens.sources.listing import (case_paths, drop_if_there, empty_markers, existing_paths, list_cases,
-                                     list_files, qualify, root_path)
+from loglens.sources.listing import case_paths, list_cases, list_tree, qualify, read_directly, root_path
 from loglens.sources.tables import LogTable, ingest_report
 
 _DOC_FIELDS = CARRIED  # what a line takes over from its file
@@ -72,35 +72,60 @@ def ingest_batch(spark: SparkSession, store: LogTable, root: str, cases: list[st
                  only: DataFrame | None = None, text_paths: list[str] | None = None) -> str:
     """Write one batch, without committing it, and return its id.
 
-    ``only`` (``uri``) limits it to some files, whose paths ``text_paths`` must cover; the listing of the
+    ``only`` (``relpath``) limits it to some files, whose paths ``text_paths`` must cover; the listing of the
     whole cases still decides which scopes they are in.
     """
     millis = int(round(time.time() * 1000))
     batch = f"{millis}-{uuid.uuid4().hex[:8]}"
-    staging, base = Staging(spark), root_path(spark, root)
-    paths = case_paths(root, cases)
-    listed = staging.table(list_files(spark, root, paths), "listed")
+    staging = Staging(spark)
+    try:
+        _write_batch(spark, store, staging, root, cases, start, stop, millis, batch, only, text_paths)
+    finally:
+        staging.drop()
+    return batch
+
+
+def _write_batch(spark: SparkSession, store: LogTable, staging: Staging, root: str, cases: list[str], start: int, stop: int,
+                 millis: int, batch: str, only: DataFrame | None, text_paths: list[str] | None) -> None:
+    base, paths = root_path(spark, root), case_paths(root, cases)
+    tree = staging.table(list_tree(spark, root, cases), "listed")
+    listed = tree.where(~F.col("is_dir"))
     current = listed.where(in_window(start, stop))
     if only is not None:
-        current = current.join(F.broadcast(only) if is_small(only) else only, "uri", "left_semi")
-
-    members, errors = _unpack(staging, root, listed, current)
-    in_archives = members.select("relpath", "archive").distinct() if members is not None else None
+        current = join_checked(current, only, "relpath", "left_semi")
     fields = [f"`{c}`" for c in _DOC_FIELDS]
     carried = ["relpath", "line_no", "message", *fields]
-    plain = current.where(~F.col("is_archive") & is_log_name())
-    is_large = F.col("length") > WHOLE_BYTES
     sidecar = F.col("relpath").rlike(SIDECAR_PATTERN)
-    any_large = not listed.where(is_large & (sidecar | is_log_name())).isEmpty()
-    large = F.col("_metadata.file_size") > WHOLE_BYTES
+    direct = read_directly() | (F.col("length") == 0)
+    is_large = F.col("length") > WHOLE_BYTES
+
+    # Members: those of archives, and files that Spark's readers would leave out or decode
+    members, errors = _unpack(staging, tree, current)
+    in_archives = members.select("relpath", "archive").distinct() if members is not None else None
+    own = current.where(~F.col("is_archive") & is_log_name())
+    by_tasks = listed.where(~F.col("is_archive") & direct & sidecar).unionByName(own.where(direct & ~sidecar))
+    if not by_tasks.isEmpty():
+        read = staging.table(direct_rows(by_tasks), "direct")
+        members = read if members is None else members.unionByName(read)
+        own_direct = own.where(direct).select("relpath", F.col("relpath").alias("archive"))
+        logs = own_direct if in_archives is None else in_archives.where(is_log_name()).unionByName(own_direct)
+    else:
+        logs = in_archives.where(is_log_name()) if in_archives is not None else None
+    plain = own.where(~direct).select("relpath", F.unix_seconds("mtime").alias("seconds"), is_large.alias("large"))
+    plain = staging.table(plain, "plain")
+    any_large = not listed.where(is_large & (sidecar | is_log_name()) & ~direct & ~F.col("is_archive")).isEmpty()
 
     # Scopes
-    is_sidecar = F.col("_metadata.file_path").rlike(SIDECAR_PATTERN)
+    of_file = F.col("_metadata.file_path")
+    as_text = ~is_archive(of_file) & ~read_directly("_metadata.file_name")
+    large = F.col("_metadata.file_size") > WHOLE_BYTES
+    is_sidecar = of_file.rlike(SIDECAR_PATTERN) & as_text
     whole = open_whole(spark, paths)
     inside = scan_whole(whole, is_sidecar).select(rel_path("uri", base).alias("relpath"), "first_line", "content")
-    everything = listed.select("relpath").union(empty_markers(listed, root))
+    everything = listed.select("relpath")
     if members is not None:
         inside = inside.unionByName(members.where(sidecar).select("relpath", "first_line", "content"))
+    if in_archives is not None:
         everything = everything.union(in_archives.select("relpath"))
     sidecars = member_lines(inside).select(
         "relpath", F.lit(0).cast("bigint").alias("block"), F.col("line_no").alias("mid"), "value")
@@ -108,65 +133,67 @@ def ingest_batch(spark: SparkSession, store: LogTable, root: str, cases: list[st
         sidecars = sidecars.unionByName(scan_text(open_text(spark, paths), is_sidecar & large).select(
             rel_path("uri", base).alias("relpath"), "block", "mid", "value"))
     scopes = staging.table(node_scopes(everything, sidecars, base), "scopes")
-    considered = plain.select("relpath", is_large.alias("counted"))
-    if members is not None:
-        considered = considered.unionByName(
-            in_archives.where(is_log_name()).select("relpath", F.lit(True).alias("counted")))
-    considered = staging.table(considered, "considered")
-    dirs = considered.select(dir_name("relpath").alias("dir")).distinct()
+    named = plain.select("relpath") if logs is None else plain.select("relpath").union(logs.select("relpath"))
+    dirs = named.select(dir_name("relpath").alias("dir")).distinct()
     scoped = staging.table(resolve_scope(dirs, scopes), "scoped")
 
     def with_scope(files: DataFrame) -> DataFrame:
         return (join_salted(files.withColumn("dir", dir_name("relpath")), scoped, ["dir"], "relpath")
                 .withColumn("case", case_number(F.substring_index("relpath", "/", 1))))
 
-    # Small files: one pass
+    def as_listed(files: DataFrame) -> DataFrame:
+        """Files that are listed and have not changed since: others are left to the next run."""
+        seen = files.withColumn("relpath", rel_path("uri", base)).withColumn("seconds", F.unix_seconds("mtime"))
+        return join_checked(seen, plain.select("relpath", "seconds"), ["relpath", "seconds"], "left_semi")
+
+    # Small files: one pass for the facts of each, one over the lines of those that count
     fresh = F.unix_seconds(F.col("_metadata.file_modification_time"))
-    wanted = is_log_name(F.col("_metadata.file_name")) & (fresh >= start) & (fresh < stop)
+    wanted = is_log_name(F.col("_metadata.file_name")) & as_text & (fresh >= start) & (fresh < stop)
     if text_paths is not None:
         whole, wanted = (open_whole(spark, text_paths), wanted) if text_paths else (whole, F.lit(False))
-    found = with_scope(with_facts(scan_whole(whole, wanted).withColumn("relpath", rel_path("uri", base))))
-    in_time = F.col("bad").isNull() | (F.col("token") < F.col("bad"))
-    found = found.where(is_relevant(F.col("token").isNotNull() & in_time))
-    lines = (member_lines(found, "bad", *fields).where(F.col("bad").isNull() | (F.col("line_no") < F.col("bad")))
+    small = as_listed(scan_whole(whole, wanted))
+    counted = F.coalesce(F.col("bad") - 1, F.col("last"))
+    facts = staging.table(with_facts(small).select(
+        "relpath", "seconds", counted.alias("expected"), F.coalesce(F.col("token") <= counted, F.lit(False)).alias("mentions")), "facts")
+    placed = with_scope(facts).where(is_relevant(F.col("mentions")))
+    placed = staging.table(placed.select("relpath", "seconds", "expected", *fields), "small")
+    found = join_salted(small, placed, ["relpath", "seconds"], "relpath")
+    lines = (member_lines(found, "expected", *fields).where(F.col("line_no") <= F.col("expected"))
              .withColumn("message", F.col("value")).select(*carried))
-    expected = []
+    considered, expected = facts.select("relpath"), [placed.select("relpath", "expected")]
 
     # Large files: one pass over the splits, one over the lines
     if any_large and text_paths != []:
         raw = scan_text(open_text(spark, paths if text_paths is None else text_paths), wanted & large)
-        splits = place_splits(split_stats(raw)).withColumn("relpath", rel_path("uri", base))
+        splits = as_listed(staging.table(place_splits(split_stats(raw)), "splits"))
+        considered = considered.union(splits.select("relpath").distinct())
         placed = with_scope(splits).where(is_relevant(F.col("mentions")))
         placed = staging.table(placed.select("uri", "block", "base", "last_line", "relpath", *fields), "placed")
         lines = lines.unionByName(attach_splits(raw, placed, "relpath", *_DOC_FIELDS)
                                   .withColumn("message", F.col("value")).select(*carried))
         expected.append(placed.groupBy("relpath").agg(F.max("last_line").alias("expected")))
 
-    # Members of archives: staged once, so a pass over their chunks, one over their lines
-    if members is not None:
-        named = members.where(is_log_name())
+    # Members: staged once, so a pass over their chunks, one over their lines
+    if logs is not None:
+        named = join_checked(members, staging.table(logs, "logs"), ["relpath", "archive"], "left_semi")
         about = with_scope(member_stats(named)).where(is_relevant(F.col("mentions")))
         about = staging.table(about.select("archive", "relpath", "expected", *fields), "about")
         chunks = join_salted(named, about, ["archive", "relpath"], "chunk_no")
         unpacked = member_lines(chunks, "expected", *fields).where(F.col("line_no") <= F.col("expected"))
         lines = lines.unionByName(unpacked.withColumn("message", F.col("value")).select(*carried))
+        considered = considered.union(logs.select("relpath"))
         expected.append(about.select("relpath", "expected"))
 
     # Scans of many small files have many small tasks; written as they are, each would leave a small file.
     documents = as_documents(with_ingest_time(lines, millis)).coalesce(_output_tasks(current))
     store.write("lines", batch, documents)
     written = spark.read.schema(S.LOG_LINES).parquet(store.batch_path("lines", batch))
-    files = considered.withColumn("expected", F.lit(None).cast("bigint"))
-    if expected:
-        counts = reduce(DataFrame.unionByName, expected)
-        files = (considered.join(counts, "relpath", "left")
-                 .withColumn("expected", F.when(F.col("counted"), F.coalesce("expected", F.lit(0)))))
-    files = files.withColumn("case", case_number(F.substring_index("relpath", "/", 1)))
+    counts = reduce(DataFrame.unionByName, expected)
+    files = (considered.join(counts, "relpath", "left").withColumn("expected", F.coalesce("expected", F.lit(0)))
+             .withColumn("case", case_number(F.substring_index("relpath", "/", 1))))
     store.write("report", batch, ingest_report(written, with_ingest_time(files, millis)))
     store.write("errors", batch, errors if errors is not None
                 else spark.createDataFrame([], S.ARCHIVE_ERRORS).coalesce(1))
-    staging.drop()
-    return batch
 
 
 def _output_tasks(files: DataFrame, target_bytes: int = 128 << 20, unpacked: int = 8) -> int:
@@ -176,13 +203,12 @@ def _output_tasks(files: DataFrame, target_bytes: int = 128 << 20, unpacked: int
     return max(4 * files.sparkSession.sparkContext.defaultParallelism, total // target_bytes + 1)
 
 
-def _unpack(staging: Staging, root: str, listed: DataFrame, current: DataFrame):
+def _unpack(staging: Staging, tree: DataFrame, current: DataFrame):
     """Members and errors of the archives of a batch, expanded once; ``None, None`` without archives."""
     found = current.where("is_archive")
     if found.isEmpty():
         return None, None
-    archives = drop_if_there(skip_unpacked(found, existing_paths(listed)), root)
-    archives = staging.table(archives, "archives")
+    archives = staging.table(skip_unpacked(found, tree.select(F.col("relpath").alias("path"))), "archives")
     expanded = staging.table(expand_archives(spread_archives(archives)), "members")
     members = good_members(expanded)
     # Two archives may hold the same path; the one later in scan order is the one that stays.

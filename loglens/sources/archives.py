@@ -25,7 +25,6 @@ from loglens.sources.listing import open_store
 
 CHUNK_BYTES = 8 << 20
 SPOOL_BYTES = 64 << 20
-MAX_DEPTH = 64
 _BATCH_BYTES = 32 << 20
 
 
@@ -166,31 +165,35 @@ class _Slice(io.RawIOBase):
         return len(data)
 
 
-def _expand(path, stream, taken, depth=0):
-    """Yield ``(member path, stream)`` or ``(archive path, Unreadable)``."""
-    stem, ext = splitext(basename(path))
-    target = f"{dirname(path)}/{stem}".lstrip("/")
-    if target in taken:
-        return
-    try:
-        if ext not in _READERS:
-            raise Unreadable(f"no decoder for {ext}")
-        if depth >= MAX_DEPTH:
-            raise Unreadable(f"archives nested more than {MAX_DEPTH} deep")
-        found = list(_READERS[ext](stream, target))
-    except Exception as e:  # decoders raise many kinds of errors on bad input
-        yield path, e if isinstance(e, Unreadable) else Unreadable(f"{type(e).__name__}: {e}")
-        return
-    for name, _ in found:
-        while name and name not in taken:
-            taken.add(name)
-            name = dirname(name)
-    for name, member in found:
-        if splitext(basename(name))[1] in S.ARCHIVE_EXTENSIONS:
-            member.seek(0)
-            yield from _expand(name, member, taken, depth + 1)
-        else:
-            yield name, member
+def _expand(path, stream, taken):
+    """Yield ``(member path, stream)`` or ``(archive path, Unreadable)``, archives within archives to any depth."""
+    waiting = [(path, stream)]
+    while waiting:
+        path, stream = waiting.pop()
+        if not _is_archive(path):
+            yield path, stream
+            continue
+        stem, ext = splitext(basename(path))
+        target = f"{dirname(path)}/{stem}".lstrip("/")
+        if target in taken:
+            continue
+        try:
+            if ext not in _READERS:
+                raise Unreadable(f"no decoder for {ext}")
+            stream.seek(0)
+            found = list(_READERS[ext](stream, target))
+        except Exception as e:  # decoders raise many kinds of errors on bad input
+            yield path, e if isinstance(e, Unreadable) else Unreadable(f"{type(e).__name__}: {e}")
+            continue
+        for name, _ in found:
+            while name and name not in taken:
+                taken.add(name)
+                name = dirname(name)
+        waiting += reversed(found)
+
+
+def _is_archive(name):
+    return splitext(basename(name))[1] in S.ARCHIVE_EXTENSIONS
 
 
 def _chunks(stream, chunk_bytes):
@@ -224,6 +227,22 @@ def _expand_batches(batches, chunk_bytes):
         yield pd.DataFrame(rows, columns=S.MEMBERS.names)
 
 
+def direct_rows(files: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """Files (``relpath``, ``uri``, ``mtime``) as their own only member, read by tasks as the bytes they are."""
+    ship_package(files.sparkSession)
+    rows = files.select("relpath", "mtime", plain_uri("uri").alias("source")).mapInPandas(
+        partial(_direct_batches, chunk_bytes=chunk_bytes), S.MEMBERS)
+    return good_members(rows)
+
+
+def _direct_batches(batches, chunk_bytes):
+    for batch in batches:
+        for relpath, mtime, source in batch.itertuples(index=False):
+            with _open(source) as stream:
+                for n, (line, piece) in enumerate(_chunks(stream, chunk_bytes)):
+                    yield pd.DataFrame([(relpath, relpath, mtime, n, line, piece, None)], columns=S.MEMBERS.names)
+
+
 def _archive_rows(relpath, mtime, source, chunk_bytes):
     try:
         stream = _open(source)

@@ -31,9 +31,19 @@ def content_lines(content: Column) -> Column:
             .when(ended, F.slice(pieces, F.lit(1), F.size(pieces) - 1)).otherwise(pieces))
 
 
+def line_count(content: Column) -> Column:
+    """Number of lines of binary content, from its line ends alone."""
+    text = content.cast("string")
+    ends = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
+    open_ = (F.octet_length(content) > 0) & (F.substring(content, -1, 1) != F.lit(b"\n"))
+    return ends + F.when(open_, 1).otherwise(0)
+
+
 def with_facts(chunks: DataFrame) -> DataFrame:
     """Add to ``(first_line, content)`` rows the ``bad`` first undecodable line, the first line with the
-    product ``token``, and the ``last`` line, without taking the content apart where it has neither."""
+    product ``token``, and the ``last`` line, without taking the content apart where it has neither.
+
+    ``last`` counts line ends, so that it can be held against the lines that are found."""
     first, content = F.col("first_line"), F.col("content")
     text = content.cast("string")
 
@@ -44,7 +54,7 @@ def with_facts(chunks: DataFrame) -> DataFrame:
             .withColumn("bad", F.when(~F.is_valid_utf8(text), line_where(lambda x: ~F.is_valid_utf8(x))))
             .withColumn("token", F.when(text.contains(S.PRODUCT_TOKEN),
                                         line_where(lambda x: x.contains(S.PRODUCT_TOKEN))))
-            .withColumn("last", first + F.size(content_lines(content)) - 1))
+            .withColumn("last", first + line_count(content) - 1))
 
 
 def open_whole(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -54,10 +64,11 @@ def open_whole(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def scan_whole(raw: DataFrame, where) -> DataFrame:
-    """``(uri, first_line, content)`` of the opened files that pass ``where`` and are small."""
+    """``(uri, mtime, first_line, content)`` of the opened files that pass ``where`` and are small."""
     small = F.col("_metadata.file_size") <= WHOLE_BYTES
     return raw.where(where & small).select(
-        F.col("_metadata.file_path").alias("uri"), F.lit(1).cast("bigint").alias("first_line"),
+        F.col("_metadata.file_path").alias("uri"), F.col("_metadata.file_modification_time").alias("mtime"),
+        F.lit(1).cast("bigint").alias("first_line"),
         F.col("value").cast("binary").alias("content"))
 
 
@@ -88,6 +99,7 @@ def split_stats(raw: DataFrame) -> DataFrame:
     mid = F.col("mid")
     return raw.groupBy("uri", "block").agg(
         F.count(F.lit(1)).alias("n"),
+        F.max("mtime").alias("mtime"),
         F.min(mid).alias("first_mid"),
         F.min(F.when(~valid, mid)).alias("bad_mid"),
         F.min(F.when(valid & F.col("value").contains(S.PRODUCT_TOKEN), mid)).alias("token_mid"))
@@ -107,7 +119,7 @@ def place_splits(stats: DataFrame) -> DataFrame:
     first_bad = F.min(F.col("bad_mid") + F.col("base")).over(file)
     first_token = F.min(F.col("token_mid") + F.col("base")).over(file)
     last_line = F.coalesce(first_bad - 1, total)
-    return placed.select("uri", "block", "base", last_line.alias("last_line"),
+    return placed.select("uri", "mtime", "block", "base", last_line.alias("last_line"),
                          F.coalesce(first_token <= last_line, F.lit(False)).alias("mentions"))
 
 

@@ -4,10 +4,11 @@ import re
 from functools import partial
 from urllib.parse import quote, urlsplit
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from loglens import schema as S
-from loglens.functions.paths import ancestors, base_name, dir_name, is_archive, rel_path, strip_all_archive_exts
+from loglens.functions.paths import ancestors, dir_name, is_archive
 from loglens.session import ship_package
 
 CASE_GLOB = "[0-9]" * 10
@@ -43,19 +44,44 @@ def case_paths(root: str, cases: list[str]) -> list[str]:
     return [f"{glob_escape(root.rstrip('/'))}/{case}" for case in cases]
 
 
-def list_files(spark: SparkSession, root: str, paths: list[str] | None = None) -> DataFrame:
-    """Every file below ``paths`` (default: the whole root). File contents are never read."""
-    paths = [glob_escape(root)] if paths is None else paths
-    if not paths:
-        return spark.createDataFrame([], S.FILES)
-    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
-              .select(F.col("_metadata.file_path").alias("uri"),
-                      F.col("modificationTime").alias("mtime"), "length"))
-    relpath = rel_path("uri", root_path(spark, root))
-    # Scans are split as if the files were read. Here they are not, so fewer tasks do.
-    return (listed.coalesce(4 * spark.sparkContext.defaultParallelism).withColumn("relpath", relpath)
-            .withColumn("is_archive", is_archive("relpath"))
-            .select(*S.FILES.names))
+def _list(batches, root):
+    from pyarrow import fs
+    store, base = open_store(root)
+    base = base.rstrip("/")
+    for batch in batches:
+        for name in batch["name"]:
+            infos = store.get_file_info(fs.FileSelector(f"{base}/{name}".rstrip("/"), recursive=True, allow_not_found=True))
+            found = [(i.path[len(base):].lstrip("/"), i.mtime_ns // 1_000_000, max(i.size or 0, 0), i.type == fs.FileType.Directory)
+                     for i in infos]
+            yield pd.DataFrame(found, columns=["relpath", "millis", "length", "is_dir"])
+
+
+def list_tree(spark: SparkSession, root: str, names: list[str] | None = None) -> DataFrame:
+    """Every file and directory below ``root``, or below its directories ``names``: one listing task a name.
+
+    Tasks ask the store, so empty files, empty directories and hidden names are there too.
+    """
+    names = [""] if names is None else names
+    where = qualify(spark, root)
+    asked = spark.createDataFrame([(n,) for n in names], "name string")
+    asked = asked.repartition(max(1, min(len(names), 4 * spark.sparkContext.defaultParallelism)))
+    ship_package(spark)
+    listed = asked.mapInPandas(partial(_list, root=where), "relpath string, millis long, length long, is_dir boolean")
+    return (listed.withColumn("uri", F.concat(F.lit(quote(f"{where}/", safe="/:@")), F.replace(F.url_encode("relpath"), F.lit("%2F"), F.lit("/"))))
+            .withColumn("uri", F.replace("uri", F.lit("+"), F.lit("%20")))
+            .withColumn("mtime", F.timestamp_millis("millis")).withColumn("is_archive", is_archive("relpath"))
+            .select(*S.FILES.names, "is_dir"))
+
+
+def list_files(spark: SparkSession, root: str, names: list[str] | None = None) -> DataFrame:
+    """Every file of ``list_tree``. File contents are never read."""
+    return list_tree(spark, root, names).where(~F.col("is_dir")).drop("is_dir")
+
+
+def read_directly(path="relpath") -> Column:
+    """Whether Spark's readers would not show a file as it is: hidden names, and endings they decompress by."""
+    path = F.col(path) if isinstance(path, str) else path
+    return path.rlike(r"(^|/)(\.|_[^/=]*(/|$))") | path.rlike(r"\._COPYING_$") | path.rlike(r"\.(bz2|deflate|snappy|lz4|zstd?|xz|lzo)$")
 
 
 def only_case_files(files: DataFrame) -> DataFrame:
@@ -74,9 +100,6 @@ def existing_paths(files: DataFrame) -> DataFrame:
     return files.select(F.col("relpath").alias("path")).union(above).distinct()
 
 
-# --- what Spark's listing leaves out: empty files, empty directories, hidden names ------------------------
-
-
 def open_store(uri: str):
     """``(filesystem, path)`` of a file URI or plain path. Runs inside tasks."""
     from pyarrow import fs
@@ -84,32 +107,3 @@ def open_store(uri: str):
         return fs.LocalFileSystem(), re.sub("^file:(//[^/]*)?", "", uri)
     scheme, rest = uri.split(":", 1)
     return fs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}:{quote(rest, safe='/:@=+,~%')}")
-
-
-def _probe(batches, root, column):
-    store, base = open_store(root)
-    for batch in batches:
-        infos = store.get_file_info([f"{base.rstrip('/')}/{p}" for p in batch[column]])
-        yield batch[[i.type.name != "NotFound" for i in infos]]
-
-
-def really_there(paths: DataFrame, root: str, column: str = "relpath") -> DataFrame:
-    """Rows whose path below ``root`` exists. Tasks ask the store, one question per row."""
-    ship_package(paths.sparkSession)
-    probe = partial(_probe, root=qualify(paths.sparkSession, root), column=column)
-    return paths.mapInPandas(probe, paths.schema)
-
-
-def empty_markers(files: DataFrame, root: str) -> DataFrame:
-    """Marker files (``relpath``) that are empty and so not listed. Every directory above a file is asked."""
-    seen = files.where(base_name("relpath") == S.MARKER_FILE).select(dir_name("relpath").alias("dir"))
-    dirs = directories(files).select(F.explode(ancestors("dir")).alias("dir")).distinct()
-    asked = dirs.join(seen, "dir", "left_anti").select(F.concat_ws("/", "dir", F.lit(S.MARKER_FILE)).alias("relpath"))
-    return really_there(asked, root)
-
-
-def drop_if_there(archives: DataFrame, root: str) -> DataFrame:
-    """Drop archives next to which an empty or hidden thing of their stripped name already exists."""
-    stripped = archives.withColumn("stripped", strip_all_archive_exts("relpath"))
-    there = really_there(stripped.select("stripped"), root, "stripped").distinct()
-    return stripped.join(there, "stripped", "left_anti").drop("stripped")

@@ -39,7 +39,7 @@ def stream_ingest(spark: SparkSession, root: str, table: str, checkpoint: str,
         texts = [f"{glob_escape(root.rstrip('/'))}/{glob_escape(r['relpath'])}" for r in rows if not r["is_archive"]]
         now = int(time.time())
         done = ingest_batch(session, store, root, cases, S.FIRST_WINDOW_START, now + 1,
-                            session.createDataFrame([(r["uri"],) for r in rows], "uri string"), texts)
+                            session.createDataFrame([(r["relpath"],) for r in rows], "relpath string"), texts)
         store.ledger.append(S.FIRST_WINDOW_START, now + 1, f"stream:{where}", cases, done)
 
     return (found.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)

@@ -7,7 +7,8 @@ import pytest
 
 from bundles import tar, zipped
 from loglens.sources import archives as A
-from loglens.sources.listing import drop_if_there, empty_markers, existing_paths, list_files
+from loglens.functions.paths import uri_path
+from loglens.sources.listing import existing_paths, list_files, list_tree
 
 WHEN = datetime(2020, 1, 1)
 
@@ -90,12 +91,16 @@ def test_skip_unpacked(spark, tmp_path, put):
     (tmp_path / "c/h").mkdir()
     listed = list_files(spark, str(tmp_path))
     left = A.skip_unpacked(listed.where("is_archive"), existing_paths(listed))
-    assert {r.relpath for r in left.collect()} == {"c/new.tar.gz", "c/e.zip", "c/h.zip"}
-    assert {r.relpath for r in drop_if_there(left, str(tmp_path)).collect()} == {"c/new.tar.gz"}
-
-
-def test_empty_markers(spark, tmp_path, put):
-    put(tmp_path, "c/n/s/lumberjack.log", "")
-    put(tmp_path, "c/n/s/deep/x.log", "x")
-    put(tmp_path, "c/m/lumberjack.log", "seen")
-    assert [r.relpath for r in empty_markers(list_files(spark, str(tmp_path)), str(tmp_path)).collect()] == ["c/n/s/lumberjack.log"]
+    assert {r.relpath for r in left.collect()} == {"c/new.tar.gz", "c/h.zip"}
+    tree = list_tree(spark, str(tmp_path)).selectExpr("relpath AS path")          # empty directories are there too
+    assert {r.relpath for r in A.skip_unpacked(listed.where("is_archive"), tree).collect()} == {"c/new.tar.gz"}
+
+
+def test_every_file_is_listed(spark, tmp_path, put):
+    paths = {"c/n/s/empty.log": 0, "c/.hidden/x y.log": 1, "c/_u/.z": 1, "c/a=%20+é[1].log": 1, "d/" + "e/" * 80 + "f": 1}
+    for path, size in paths.items():
+        put(tmp_path, path, "x" * size, 1000)
+    assert {r.relpath: (r.length, r.mtime.timestamp()) for r in list_files(spark, str(tmp_path)).collect()} == {p: (n, 1000.0) for p, n in paths.items()}
+    assert {r.relpath for r in list_files(spark, str(tmp_path), ["c/n", "nowhere"]).collect()} == {"c/n/s/empty.log"}
+    assert all(plain == f"{tmp_path}/{relpath}" for relpath, plain in
+               list_files(spark, str(tmp_path)).select("relpath", uri_path("uri")).collect())
