@@ -31,7 +31,7 @@ QUANTILE = 0.99
 HELD_OUT_ONE_IN = 5
 SHRINK_CHARS = 200
 # Rows of a model's shard that a task holds; more rows make more shards, each with a scan of its own.
-SHARD_ROWS = 4_000_000
+SHARD_ROWS = 2_000_000
 
 START = "\x02"
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -83,11 +83,15 @@ def _discounts(counts: DataFrame) -> list[float]:
 
 
 def _model(grams: DataFrame, order: int, staging: Staging) -> DataFrame:
-    """Rows (n, gram, log2p, log2w): of a gram its interpolated probability, of a context its weight of lower orders."""
+    """Rows (n, gram, is_context, log2): of a gram its interpolated probability, of a context its weight of lower orders."""
     counts = {order: grams}
     for n in range(order - 1, 0, -1):       # in how many contexts a gram is seen; after a start mark it is as counted
         counts[n] = staging.table(counts[n + 1].select(F.substring("gram", 2, n).alias("gram"))
                                   .groupBy("gram").agg(F.count("*").alias("n")), f"counts-{n}")
+    def rows(table: DataFrame, n: int, gram: str | Column, is_context: bool, value: Column) -> DataFrame:
+        return table.select(F.lit(n).alias("n"), (F.col(gram) if isinstance(gram, str) else gram).alias("gram"),
+                            F.lit(is_context).alias("is_context"), F.log2(value).alias("log2"))
+
     lower, tables = None, []
     for n in range(1, order + 1):
         d = _discounts(counts[n])
@@ -95,25 +99,22 @@ def _model(grams: DataFrame, order: int, staging: Staging) -> DataFrame:
         table = counts[n].withColumn("context", F.substring("gram", 1, n - 1)).withColumn("discount", of)
         contexts = table.groupBy("context").agg(F.sum("n").alias("all"), F.sum("discount").alias("given"))
         table = table.join(contexts, "context")
-        own = (F.col("n") - F.col("discount")) / F.col("all")
-        weight = F.col("given") / F.col("all")
+        own, weight = (F.col("n") - F.col("discount")) / F.col("all"), F.col("given") / F.col("all")
         if n == 1:                          # beyond that, all characters alike, one unseen among them
             kinds = counts[1].count() + 1
             table = table.withColumn("p", own + weight / kinds)
-            tables.append(contexts.select(F.lit(0).alias("n"), F.lit("").alias("gram"), F.lit(None).cast("double").alias("log2p"),
-                                          F.log2(weight / kinds).alias("log2w")))
+            tables.append(rows(contexts, 0, F.lit(""), True, weight / kinds))
         else:
             shorter = lower.select(F.col("gram").alias("shorter"), F.col("p").alias("below"))
             table = (table.withColumn("shorter", F.substring("gram", 2, n - 1)).join(shorter, "shorter")
                      .withColumn("p", own + weight * F.col("below")))
-            tables.append(contexts.select(F.lit(n - 1).alias("n"), F.col("context").alias("gram"),
-                                          F.lit(None).cast("double").alias("log2p"), F.log2(weight).alias("log2w")))
+            tables.append(rows(contexts, n - 1, "context", True, weight))
         lower = staging.table(table.select("gram", "p"), f"order-{n}")
-        tables.append(lower.select(F.lit(n).alias("n"), "gram", F.log2("p").alias("log2p"), F.lit(None).cast("double").alias("log2w")))
-    rows = tables[0]
+        tables.append(rows(lower, n, "gram", False, F.col("p")))
+    model = tables[0]
     for more in tables[1:]:
-        rows = rows.unionByName(more)
-    return staging.table(rows.groupBy("n", "gram").agg(F.max("log2p").alias("log2p"), F.max("log2w").alias("log2w")), "model")
+        model = model.unionByName(more)
+    return staging.table(model, "model")
 
 
 def train(trusted: DataFrame, order: int = ORDER, staging: Staging | None = None) -> DataFrame:
@@ -132,55 +133,60 @@ def shard_of(codes: np.ndarray, shards: int) -> np.ndarray:
     return (pair * _FACTOR >> np.uint64(32)) % np.uint64(shards)
 
 
-def _keyed(batches: Iterator[pd.DataFrame], shards: int) -> Iterator[pd.DataFrame]:
-    """Rows of a model by numeric key; ``shard`` is null for grams and contexts too short to belong to one."""
+def _keyed(batches: Iterator[pd.DataFrame], order: int, shards: int) -> Iterator[pd.DataFrame]:
+    """Rows of a model by numeric key. ``shard`` is -1 where contexts are too short to tell; ``slot`` is n for a gram
+    and n beyond ``order`` for a context."""
     for batch in batches:
         keys, shard = np.zeros(len(batch), np.uint64), np.full(len(batch), -1, np.int64)
-        for i, (n, gram, is_context) in enumerate(zip(batch["n"], batch["gram"], batch["log2w"].notna())):
+        for i, (n, gram, is_context) in enumerate(zip(batch["n"], batch["gram"], batch["is_context"])):
+            codes = np.array([ord(c) for c in gram], "<u4")
             if n:
-                codes = np.array([ord(c) for c in gram], "<u4")
                 keys[i] = gram_keys(codes, n)[-1]
-                if n + is_context > 2:      # one row serves as gram and as context: both shards may need it
-                    shard[i] = shard_of(codes, shards)[-1]
-        yield pd.DataFrame({"n": batch["n"], "key": keys.view(np.int64), "shard": shard,
-                            "log2p": batch["log2p"].astype("float32"), "log2w": batch["log2w"].astype("float32")})
+            if n + is_context > 2:
+                shard[i] = shard_of(np.append(codes, 0) if is_context else codes, shards)[-1]
+        slot = batch["n"] + np.where(batch["is_context"], order + 1, 0)
+        yield pd.DataFrame({"slot": slot, "key": keys.view(np.int64), "shard": shard, "log2": batch["log2"].astype("float32")})
+
+
+def packed(keyed: DataFrame, order: int) -> tuple[list[int], bytes, bytes]:
+    """Rows by slot: how many of each, and their keys and values end to end."""
+    table = keyed.select("slot", "key", "log2").toArrow()
+    slots = table["slot"].to_numpy()
+    by_slot = np.argsort(slots, kind="stable")
+    return (np.bincount(slots, minlength=2 * order + 2).tolist(), table["key"].to_numpy()[by_slot].tobytes(),
+            table["log2"].to_numpy()[by_slot].astype("f4").tobytes())
 
 
 class Tables:
     """One shard of a model, ready to be looked up."""
 
-    def __init__(self, columns: dict, order: int):
-        self.order = order
-        self.index, self.log2p, self.log2w = {}, {}, {}
-        for n in range(order + 1):
-            part = columns["n"] == n
-            self.index[n] = pd.Index(columns["key"][part].view(np.uint64))
-            self.log2p[n] = columns["log2p"][part]
-            self.log2w[n] = np.nan_to_num(columns["log2w"][part], nan=0.0)
+    def __init__(self, many: list[int], keys: bytes, values: bytes):
+        self.order, ends = len(many) // 2 - 1, np.cumsum(many)[:-1]
+        index = [pd.Index(part) for part in np.split(np.frombuffer(keys, np.uint64), ends)]
+        values = np.split(np.frombuffer(values, np.float32), ends)
+        self.grams, self.contexts = (list(zip(index[at:at + self.order + 1], values[at:at + self.order + 1])) for at in (0, self.order + 1))
 
     def bits(self, codes: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Minus log2 of the probability of the character at each of the places ``at``."""
         out, open_ = np.zeros(len(at), np.float64), np.arange(len(at))
         for n in range(self.order, 0, -1):
-            places = at[open_]
-            if len(self.log2p[n]):
-                found = self.index[n].get_indexer(gram_keys(codes, n)[places])
-                p = np.where(found >= 0, self.log2p[n][found], np.nan)
-                hit = ~np.isnan(p)
-                out[open_[hit]] -= p[hit]
-                open_, places = open_[~hit], places[~hit]
-            if not len(open_):
-                return out
-            if n > 1 and len(self.log2w[n - 1]):
-                context = self.index[n - 1].get_indexer(gram_keys(codes, n - 1)[places - 1])
-                seen = context >= 0
-                out[open_[seen]] -= self.log2w[n - 1][context[seen]]
-        out[open_] -= self.log2w[0][0]
+            index, values = self.grams[n]
+            found = index.get_indexer(gram_keys(codes, n)[at[open_]])
+            hit = found >= 0
+            out[open_[hit]] -= values[found[hit]]
+            open_ = open_[~hit]
+            if n > 1 and len(open_):
+                index, values = self.contexts[n - 1]
+                found = index.get_indexer(gram_keys(codes, n - 1)[at[open_] - 1])
+                seen = found >= 0
+                out[open_[seen]] -= values[found[seen]]
+        if len(open_):
+            out[open_] -= self.contexts[0][1][0]
         return out
 
 
-def _bits(batches: Iterator[pd.Series], columns, order: int, shard: int, shards: int) -> Iterator[pd.Series]:
-    tables = Tables(columns.value, order)
+def _bits(batches: Iterator[pd.Series], shard_rows, order: int, shard: int, shards: int) -> Iterator[pd.Series]:
+    tables = Tables(*shard_rows.value)
     for batch in batches:
         out = []
         for rows in runs(iter([pd.DataFrame({"text": batch})])):
@@ -197,27 +203,30 @@ def _bits(batches: Iterator[pd.Series], columns, order: int, shard: int, shards:
         yield pd.Series(np.concatenate(out) if out else np.zeros(0))
 
 
-def with_bits(docs: DataFrame, model: DataFrame, staging: Staging, order: int = ORDER, shard_rows: int = SHARD_ROWS,
-              to: str = "_bits", text: str = "text") -> DataFrame:
-    """``docs`` with the cross-entropy, in bits, of the whole text."""
-    context = docs.sparkSession.sparkContext
-    shards = -(-model.count() // shard_rows) or 1
-    keyed = on_executors(model).mapInPandas(lambda batches: _keyed(batches, shards),
-                                            "n int, key long, shard long, log2p float, log2w float")
-    keyed = staging.table(keyed, f"keyed-{to}")
-    scored = docs.withColumn(to, F.lit(0.0))
-    for shard in range(shards):
-        rows = keyed.where(F.col("shard").isin(-1, shard)).drop("shard").toPandas()
-        columns = context.broadcast({c: rows[c].to_numpy() for c in rows.columns})
+class Scorer:
+    """A model in shards of at most about ``shard_rows`` rows, each sent out once."""
+
+    def __init__(self, model: DataFrame, staging: Staging, order: int = ORDER, shard_rows: int = SHARD_ROWS):
+        self.staging, self.order = staging, order
+        shards = self.shards = -(-model.count() // shard_rows) or 1
+        keyed = on_executors(model).mapInPandas(lambda batches: _keyed(batches, order, shards),
+                                                "slot int, key long, shard long, log2 float")
+        keyed = staging.table(keyed, "keyed") if shards > 1 else keyed
+        send = model.sparkSession.sparkContext.broadcast
+        self.rows = [send(packed(keyed.where(F.col("shard").isin(-1, shard)), order)) for shard in range(shards)]
 
-        def bits(batches: Iterator[pd.Series], columns=columns, shard=shard) -> Iterator[pd.Series]:
-            return _bits(batches, columns, order, shard, shards)
+    def with_bits(self, docs: DataFrame, to: str = "_bits", text: str = "text") -> DataFrame:
+        """``docs`` with the cross-entropy, in bits, of the whole text."""
+        scored, order, shards = docs.withColumn(to, F.lit(0.0)), self.order, self.shards
+        for shard, rows in enumerate(self.rows):
+            def bits(batches: Iterator[pd.Series], rows=rows, shard=shard) -> Iterator[pd.Series]:
+                return _bits(batches, rows, order, shard, shards)
 
-        of = F.pandas_udf(bits, "double", F.PandasUDFType.SCALAR_ITER)
-        scored = scored.withColumn(to, F.col(to) + of(F.coalesce(F.col(text).cast("string"), F.lit(""))))
-        if shard + 1 < shards:              # one shard in memory at a time
-            scored = staging.table(scored, f"scored-{to}-{shard}")
-    return scored
+            of = F.pandas_udf(bits, "double", F.PandasUDFType.SCALAR_ITER)
+            scored = scored.withColumn(to, F.col(to) + of(F.coalesce(F.col(text).cast("string"), F.lit(""))))
+            if shard + 1 < shards:          # one shard in memory at a time
+                scored = self.staging.table(scored, f"scored-{to}-{shard}")
+        return scored
 
 
 def judged(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, order: int = ORDER,
@@ -232,11 +241,12 @@ def judged(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, order
     held = F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT_ONE_IN)) == 0
     model = train(trusted.where(~held), order, staging)
     chars = F.char_length(F.coalesce(F.col("text"), F.lit("")))
-    if not model.where("n > 0").limit(1).count():
+    if not model.limit(1).count():
         return docs.withColumns({"_bits": F.lit(None).cast("double"), "_chars": chars, "_threshold": F.lit(None).cast("double"),
                                  "_keep": chars > 0})
+    scorer = Scorer(model, staging, order, shard_rows)
     held_out = staging.table(
-        with_bits(trusted.where(held), model, staging, order, shard_rows, "_held").select("lang", "_held", chars.alias("chars")), "held-out")
+        scorer.with_bits(trusted.where(held), "_held").select("lang", "_held", chars.alias("chars")), "held-out")
     mean = F.sum("_held") / F.sum("chars")
     means = held_out.groupBy(F.col("lang").alias("_lang")).agg(mean.alias("mean"))
     overall = held_out.agg(mean.alias("mean")).first()["mean"]
@@ -248,7 +258,7 @@ def judged(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, order
         cut.alias("_limit"), F.first("mean").alias("_mean")), "limits")
     anywhere = entropies.agg(cut.alias("limit")).first()["limit"]
     anywhere = F.lit(anywhere).cast("double")
-    scored = with_bits(docs, model, staging, order, shard_rows).withColumn("_chars", chars)
+    scored = scorer.with_bits(docs).withColumn("_chars", chars)
     scored = scored.withColumn("_lang", F.col("lang"))
     judged_ = join_checked(scored, limits, "_lang", "left")
     entropy = _shrunk("_bits", "_chars", F.coalesce("_mean", F.lit(overall)))
