@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from loglens.llm.common import on_executors, runs
 
-FALSE_DISCOVERY = 0.05
+FALSE_DISCOVERY = 0.01
 LEAST_LENGTH = 20
 # p-values are counted in bins of a tenth of a decimal order.
 BINS_PER_ORDER = 10
