@@ -15,7 +15,7 @@ from loglens.operators.scope import resolve_scope, sidecar_fields
 from loglens.plans import occurrence as O
 from loglens.plans.ingest import ingest, member_stats
 from loglens.plans.postings import build_index, indexed_occurrences
-from loglens.plans.views import DOC_FILES, doc_files, log_lines, spread, table, tokenized_lines
+from checks.tables import DOC_FILES, doc_files, log_lines, spread, table, tokenized_lines
 from loglens.session import Staging, cut, shared_dir
 from loglens.sources import tables as TB
 from loglens.sources.archives import archive_errors, expand_archives, good_members, member_lines, skip_unpacked
@@ -284,7 +284,7 @@ def documents_of_lines(spark, sf_dir):
 @check(f"""SELECT doc_id, CAST(line_no AS BIGINT) AS line_no, message FROM ({LINES_SQL}) l WHERE node_name = 'src3-n5'
 ORDER BY doc_id, line_no LIMIT 10""")
 def find_lines(spark, sf_dir):
-    found = TB.find_lines(log_lines(spark, sf_dir), "node_name", "src3-n5", order=("doc_id", "line_no"))
+    found = TB.find_lines(log_lines(spark, sf_dir), "node_name", "src3-n5", limit=S.PAGE_SIZE, order=("doc_id", "line_no"))
     return found.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), "message")
 
 
@@ -486,8 +486,8 @@ def pending_files(spark, sf_dir):
 WITH r AS (SELECT event_id, value, event_id % 7 > 2 AS good FROM ({plain(V.LEDGER_LINES)}) l),
 e AS (SELECT r.*, e.event_type FROM r JOIN events e USING (event_id))
 SELECT event_id, good AS valid, CASE WHEN good THEN event_id END AS start, CASE WHEN good THEN event_id + 5 END AS stop,
-  CASE WHEN good THEN '/path w/ ' || event_type END AS input_dir,
-  CASE WHEN good THEN CASE event_id % 2 WHEN 0 THEN '' ELSE 'log.txt' END END AS last_path,
+  CASE WHEN good THEN '/my logs/' || event_type END AS input_dir,
+  CASE WHEN good THEN CASE event_id % 2 WHEN 0 THEN '' ELSE 'host/a.log' END END AS last_path,
   CASE WHEN good THEN event_id % 2 = 0 END AS complete, CASE WHEN good THEN value END AS rendered FROM e""")
 def ledger_roundtrip(spark, sf_dir):
     parsed = L.parse_ledger(view(spark, sf_dir, V.LEDGER_LINES))

@@ -2,14 +2,16 @@
 
 import gzip
 import io
+import re
 import tarfile
 import zipfile
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loglens.plans.views import table
+from checks.tables import table
 from loglens.session import shared_dir
+from loglens.sources.listing import qualify
 
 
 def _tar(members: dict[str, bytes], mode: str = "w") -> bytes:
@@ -124,7 +126,7 @@ def write_tree(spark: SparkSession, files: DataFrame) -> str:
     import uuid
     by_value(_tree_batches)
     root = f"{shared_dir(spark)}/loglens-tree-{uuid.uuid4().hex}/in"
-    uri = root if "://" in root else "file://" + root.removeprefix("file:")
+    uri = re.sub("^file:/+", "file:///", qualify(spark, root))
     made = (files.repartition(spark.sparkContext.defaultParallelism)
             .mapInPandas(_tree_batches, "relpath string, content binary")
             .groupBy("relpath").agg(F.max("content").alias("content"))

@@ -5,7 +5,7 @@ so that both sides start from the same rows. ``{name}`` stands for the table ``n
 """
 
 from loglens import schema as S
-from loglens.plans.views import DOC_FILES
+from checks.tables import DOC_FILES
 
 
 def text(number: str) -> str:
@@ -64,8 +64,8 @@ FROM {{events}} WHERE user_id % 13 <> 0 OR event_id % 9 > 3"""
 
 PLATFORM_LINES = f"""
 SELECT 'd' || {text('user_id')} AS dir, event_id,
-  CASE event_id % 11 WHEN 0 THEN '  HV_ENV   =    ''"SGA"'';' WHEN 1 THEN 'HV_ENV=vSphere'
-    WHEN 2 THEN 'HV_ENV = "BAD_TYPE";' WHEN 3 THEN 'HV_ENV : SGA' ELSE event_type || '=SGA' END AS line
+  CASE event_id % 11 WHEN 0 THEN ' HV_ENV = ''"SGA"'';' WHEN 1 THEN 'HV_ENV=vSphere'
+    WHEN 2 THEN 'HV_ENV = "mainframe" ;' WHEN 3 THEN 'HV_ENV : SGA' ELSE event_type || '=SGA' END AS line
 FROM {{events}} WHERE user_id % 13 <> 0 OR event_id % 11 > 1"""
 
 TREE_DIRS = f"""
@@ -109,9 +109,9 @@ FROM {{events}}"""
 
 LEDGER_LINES = f'''
 SELECT event_id, CASE event_id % 7
-    WHEN 0 THEN '1 0 "" ""' WHEN 1 THEN '01""""' WHEN 2 THEN {text('event_id')} || ' 99999999 /in file.txt'
-    ELSE {text('event_id')} || ' ' || {text('event_id + 5')} || ' "/path w/ ' || event_type || '" "' ||
-      CASE event_id % 2 WHEN 0 THEN '' ELSE 'log.txt' END || '"' END AS value
+    WHEN 0 THEN '9 3 "in" ""' WHEN 1 THEN '59"in"""' WHEN 2 THEN {text('event_id')} || ' 99999999 /in file.txt'
+    ELSE {text('event_id')} || ' ' || {text('event_id + 5')} || ' "/my logs/' || event_type || '" "' ||
+      CASE event_id % 2 WHEN 0 THEN '' ELSE 'host/a.log' END || '"' END AS value
 FROM {{events}}'''
 
 EVENT_DOCUMENTS = f"""

@@ -21,8 +21,8 @@ _IN_WORD = r"[\p{L}\p{M}\p{N}_&&[^\p{IsHan}\p{IsHiragana}]]"
 _HOLLOW = rf"[_\p{{M}}](?<!{_IN_WORD}[_\p{{M}}])[_\p{{M}}]*+(?!{_IN_WORD})"
 # May hold a word that has to be cut.
 _LONG = r"(?:^|\s)\S{256}"
-# More substring tests than this per line cost more than splitting the line.
-_MAX_PROBES = 24
+# With more words than this, only the probes are tested as substrings, not how many of all words are there.
+_COUNTED_WORDS = 24
 
 
 def tokenize(text) -> Column:
@@ -93,8 +93,6 @@ def similar_to(spark: SparkSession, text: str, pct: int = S.MATCH_PERCENT,
         return matches(_col(tokens))
     # A similar line holds enough of the words as substrings, and one of any set of words that together
     # weigh more than the n - need it may miss. Both are cheap to test before the line is split.
-    if len(counted) > _MAX_PROBES:
-        return matches(tokenize(message))
     probes, weight = [], 0
     for word in sorted(counted, key=lambda w: (-len(w), w)):
         probes.append(word)
@@ -103,8 +101,10 @@ def similar_to(spark: SparkSession, text: str, pct: int = S.MATCH_PERCENT,
             break
     lowered = F.lower(_col(message))
     possible = reduce(or_, (lowered.contains(word) for word in probes))
-    present = reduce(add, (F.when(lowered.contains(w), F.lit(k)).otherwise(0) for w, k in counted.items()))
-    return F.when(possible & (present >= need), matches(tokenize(message))).otherwise(False)
+    if len(counted) <= _COUNTED_WORDS:
+        present = reduce(add, (F.when(lowered.contains(w), F.lit(k)).otherwise(0) for w, k in counted.items()))
+        possible = possible & (present >= need)
+    return F.when(possible, matches(tokenize(message))).otherwise(False)
 
 
 def doc_id(relpath, line_no) -> Column:

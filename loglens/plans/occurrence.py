@@ -126,10 +126,10 @@ def has_results(rows: DataFrame) -> DataFrame:
     return rows.agg(F.coalesce(F.bool_or(occurs), F.lit(False)).alias("has_results"))
 
 
-def node_counts(lines: DataFrame, n: int = S.OUTER_BUCKETS) -> DataFrame:
-    """Documents per node, the ``n`` nodes with the most."""
-    return (lines.groupBy("node_name").agg(F.count(F.lit(1)).alias("docs"))
-            .orderBy(F.desc("docs"), "node_name").limit(n))
+def node_counts(lines: DataFrame, n: int | None = None) -> DataFrame:
+    """Documents per node, those with the most first; the first ``n`` nodes if asked for."""
+    counts = lines.groupBy("node_name").agg(F.count(F.lit(1)).alias("docs")).orderBy(F.desc("docs"), "node_name")
+    return counts if n is None else counts.limit(n)
 
 
 def nodes_without_match(lines: DataFrame, text: str, version: str | None = S.ALL_VERSIONS,
@@ -234,11 +234,14 @@ def match_lines(lines: DataFrame, snippets: DataFrame) -> DataFrame:
     probes = snippets.select("snippet", F.explode("probes").alias("word"))
     # Outer, because an inner explode adds a not-null filter that would cut every line into words twice.
     words = lines.withColumn("word", F.explode_outer(F.array_distinct("tokens")))
-    if is_small(snippets, BROADCAST_SNIPPETS) and is_small(probes):
-        met = words.join(F.broadcast(probes), "word").join(F.broadcast(snippets), "snippet")
-    else:
+    if not is_small(snippets, BROADCAST_SNIPPETS) or not is_small(probes):
+        # Only the words that some snippet is looked up by go on, before anything is shuffled.
+        known = probes.select("word").distinct()
+        words = words.join(F.broadcast(known) if is_small(known) else known, "word", "left_semi")
         met = (words.withColumn("salt", salt_of("message"))
                .join(probes.join(snippets, "snippet").withColumn("salt", every_salt()), ["word", "salt"]))
+    else:
+        met = words.join(F.broadcast(probes), "word").join(F.broadcast(snippets), "snippet")
     # A line that holds several probe words of a snippet counts for the smallest of them only.
     first = F.array_min(F.array_intersect("probes", "tokens")) == F.col("word")
     weighted = weighted_hits(F.col("tokens"), F.col("words"), F.col("weights")) >= F.col("need")
@@ -254,7 +257,8 @@ def occurrences_batch(lines: DataFrame, requests: DataFrame, *, pct: int = S.MAT
                       bucket_cap: int | None = None, node_cap: int | None = None) -> DataFrame:
     """``occurrences`` for a table of requests: ``(query_id, chart, label, value, docs)``."""
     if "tokens" not in lines.columns:
-        lines = lines.withColumn("tokens", tokenize("message"))
+        # Never null, or filters on what is made of it would cut every line into words once more.
+        lines = lines.withColumn("tokens", F.coalesce(tokenize("message"), F.array().cast("array<string>")))
     if frequencies is None:
         frequencies = lambda words: word_frequencies(lines, words)
     asked, snippets = prepare_snippets(requests, frequencies, pct)

@@ -38,9 +38,12 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the session names for checkpoints. A local one is made only where none is named."""
+    """The folder the session names for checkpoints. On a cluster one must be named; only a local master gets its own."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="loglens-checkpoint-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")

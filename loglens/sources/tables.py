@@ -49,10 +49,11 @@ def ingest_report(lines: DataFrame, files: DataFrame) -> DataFrame:
             .select(*[F.col(f"`{n}`") for n in S.INGEST_REPORT.names]))
 
 
-def find_lines(lines: DataFrame, field: str, value, limit: int = S.PAGE_SIZE,
+def find_lines(lines: DataFrame, field: str, value, limit: int | None = None,
                order: tuple[str, ...] = ("relpath", "line_no")) -> DataFrame:
-    """A page of lines whose field has a value: the first ones in file order."""
-    return lines.where(_col(f"`{field}`") == F.lit(value)).orderBy(*order).limit(limit)
+    """Lines whose field has a value, in file order; the first ``limit`` of them if asked for (a page)."""
+    found = lines.where(_col(f"`{field}`") == F.lit(value)).orderBy(*order)
+    return found if limit is None else found.limit(limit)
 
 
 def table_stats(lines: DataFrame, path: str | None = None) -> DataFrame:

@@ -4,23 +4,23 @@ import io
 import tarfile
 import zipfile
 
-NODE = "2001872931/grid_id_293977/node_name_paris/time_span_2018-2019"
-COMMANDS = ("bycast system-commands.txt file\nstorage-grid-release-100.100.100-12345678.0224.asdfg12345\n"
-            "this is random text\n")
-LOOSE = ["syslog", "messages", "audit.log", "kern.log", "unknown.txt"]
+NODE = "3100000042/north-wing/host-07/2021-2022"
+COMMANDS = "uptime of bycast host\nstorage-grid-release-12.7.3-20210917.1100.cafe77\nload is low\n"
+LOOSE = ["kern.txt", "syslog.2", "notes.log"]
 
 
 def golden_tree(root, put):
-    for top in ("123", NODE):
-        put(root, f"{top}/lumberjack.log", "bycast lumberjack\n")
-        put(root, f"{top}/mandatory_files/servermanager.log", "servermanager bycast\n")
+    """A node in a case, the same outside any case, a case with a loose product log, and one with others as well."""
+    for top in ("42", NODE):
+        put(root, f"{top}/lumberjack.log", "bycast marker\n")
+        put(root, f"{top}/services/dmesg.txt", "bycast kernel up\n")
         put(root, f"{top}/system_commands", COMMANDS)
-    put(root, "RandomDir/random-file.txt", "random-file.txt file")
-    put(root, "1234567890/bycast.log", "bycast.log file")
+    put(root, "Elsewhere/readme.txt", "nothing of interest")
+    put(root, "3100000043/bycast.log", "loose bycast line")
     for name in LOOSE:
-        put(root, f"1234567890/{name}", f"{name} file")
-    for name in ("bycast.log", "ignore-this-file.txt", "should-not-be-grabbed.log"):
-        put(root, f"2001901245/{name}", f"{name} file\n")
+        put(root, f"3100000043/{name}", f"about {name}")
+    for name in ("bycast.log", "todo.txt", "other.log"):
+        put(root, f"3100000044/{name}", f"{name.removesuffix('.log')} again\n")
 
 
 def tar(members, mode="w"):

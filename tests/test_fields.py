@@ -9,35 +9,32 @@ import pytest
 
 
 def test_case_and_span(evaluate):
-    assert evaluate(FF.case_number, ["2004144146", "/mnt/nfs/2001392039", "/mnt", "asdfasdf", "/", "/mnt/nfs/12345"]) == [
-        "2004144146", "2001392039"] + ["Unknown"] * 4
-    assert evaluate(FF.time_span, ["x/ABC-ABC", "99992039", "a/2018-2019", "2015-2017"]) == [
-        "Unknown-Unknown", "Unknown-Unknown", "2018-2019", "2015-2017"]
+    assert evaluate(FF.case_number, ["3100000042", "/srv/in/3100000043", "/srv", "case", "/", "/srv/in/310"]) == [
+        "3100000042", "3100000043"] + ["Unknown"] * 4
+    assert evaluate(FF.time_span, ["k/from-to", "20212022", "k/20210301-20210302", "7-8"]) == [
+        "Unknown-Unknown", "Unknown-Unknown", "20210301-20210302", "7-8"]
     assert evaluate(FF.node_name, ["/a/b/c", "/a", "/"]) == ["b", "", ""]
     assert evaluate(FF.grid_id, ["/a/b/c", "/a/b", "/a"]) == ["a", "", ""]
 
 
 def test_category(evaluate):
-    cases = {"case/node/20130713-20130714/mandatory_files/bycast.log": "bycast",
-             "node/20140520-20140521/mandatory_files/servermanager.log": "server_manager",
-             "node/20140520-20140521/system_commands": "system_commands",
-             "case/node/20140520-20140521": "other", "asdf123.log": "other",
-             "node/20140717-20140718/mandatory_files/messages": "messages",
-             "bycast.log": "other", "x/server/manager": "server_manager", "x\\server\\manager": "server_manager",
+    cases = {"k/host/7-8/services/bycast.log": "bycast", "host/7-8/services/servermanager.log": "server_manager",
+             "host/7-8/system_commands": "system_commands", "k/host/7-8": "other", "todo.log": "other",
+             "host/9-10/services/messages": "messages", "bycast.log": "other", "x/server/manager": "server_manager", "x\\server\\manager": "server_manager",
              "upgrade/audit.log": "audit", "x/base_os/some_command": "base_os_commands"}
     assert dict(zip(cases, evaluate(FF.category_of, cases))) == cases
 
 
 def test_version_line(evaluate):
-    cases = {"storage-grid-release-100.100.100-12345678.0224.asdfg12345": (100, 100), "x storage-grid-release-10.4\r": (10, 4),
+    cases = {"storage-grid-release-12.7.3-20210917.1100.cafe77": (12, 7), "is storage-grid-release-8.15\r": (8, 15),
              "storage-grid-release-x.y": (-1, -1), "storage-grid-release-10": (-1, -1),
              "storage-grid-release-1.2storage-grid-release-3.4": (-1, -1), "storage-grid-release- 9 . 0 .1": (9, 0)}
     assert [tuple(r) for r in evaluate(FF.release_version, cases)] == list(cases.values())
 
 
 def test_platform_line(evaluate):
-    cases = {"": None, "BOBBY=TALL": None, "  HV_ENV : NOT GIVEN": None, "  HV_ENV   =    '\"BAD_TYPE\"';": None,
-             "  HV_ENV   =    '\"SGA\"';": "SGA", "HV_ENV=vSphere": "vSphere", "HV_ENV=SGA=x": "SGA"}
+    cases = {"": None, "COLOR=blue": None, "HV_ENV is unset": None, "\tHV_ENV = \"mainframe\" ;": None,
+             " HV_ENV =  '\"SGA\"';": "SGA", "HV_ENV=vSphere": "vSphere", "HV_ENV=SGA=x": "SGA"}
     assert evaluate(FF.platform_of, cases) == list(cases.values())
 
 
@@ -79,14 +76,14 @@ def test_log_names(evaluate):
 
 def test_relevance(spark):
     files = spark.createDataFrame([
-        ("thing.log", "Unknown"), ("bycast.txt", "Unknown"), ("bycast/system_commands", "Unknown"), ("fileX.txt", "Unknown"),
-        ("in/thing.log", "paris"), ("in/dir/os.txt", "paris"), ("in/system_commands", "paris"), ("in/dir/dir", "paris")],
+        ("plain.log", "Unknown"), ("bycast.txt", "Unknown"), ("bycast/kern.log", "Unknown"), ("says.txt", "Unknown"),
+        ("n/plain.log", "host-07"), ("n/sub/os.txt", "host-07"), ("n/syslog", "host-07"), ("n/sub/core", "host-07")],
         "relpath string, node_name string")
-    lines = spark.createDataFrame([("fileX.txt", "has bycast in it"), ("thing.log", "By Cast"), ("in/dir/dir", "bycast")],
+    lines = spark.createDataFrame([("says.txt", "so says bycast"), ("plain.log", "By Cast"), ("n/sub/core", "bycast")],
                                   "relpath string, message string")
-    want = {"bycast.txt", "bycast/system_commands", "fileX.txt", "in/thing.log", "in/dir/os.txt", "in/system_commands"}
+    want = {"bycast.txt", "bycast/kern.log", "says.txt", "n/plain.log", "n/sub/os.txt", "n/syslog"}
     assert {r.relpath for r in relevant_files(files, lines).collect()} == want
-    flagged = files.withColumn("m", F.col("relpath") == "fileX.txt").where(is_relevant(F.col("m")))
+    flagged = files.withColumn("m", F.col("relpath") == "says.txt").where(is_relevant(F.col("m")))
     assert {r.relpath for r in flagged.collect()} == want
 
 

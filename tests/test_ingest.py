@@ -4,7 +4,7 @@ import time
 from pyspark.sql import functions as F
 import pytest
 
-from bundles import LOOSE, NODE, golden_tree, tar, zipped
+from bundles import COMMANDS, LOOSE, NODE, golden_tree, tar, zipped
 from loglens import schema as S
 from loglens.plans.ingest import ingest
 from loglens.plans.occurrence import occurrences
@@ -47,19 +47,18 @@ def test_golden_tree(spark, tree, reading):
     assert len(rows) == 7 and {r.doc_id for r in rows} == {f"{r.relpath}/{r.line_no}" for r in rows}
     inside = [r for r in rows if r.node_name != "Unknown"]
     assert {(r.case, r.grid_id, r.node_name, r.major_version, r.minor_version, r.platform, r.category, r.time_span) for r in inside} == {
-        ("2001872931", "grid_id_293977", "node_name_paris", 100, 100, "Unknown", "other", "Unknown-Unknown")}
-    assert sorted(r.message for r in inside) == ["bycast lumberjack", "bycast system-commands.txt file", "servermanager bycast",
-                                                 "storage-grid-release-100.100.100-12345678.0224.asdfg12345", "this is random text"]
-    assert sorted(r.relpath for r in rows if r.node_name == "Unknown") == ["1234567890/bycast.log", "2001901245/bycast.log"]
+        ("3100000042", "north-wing", "host-07", 12, 7, "Unknown", "other", "2021-2022")}
+    assert sorted(r.message for r in inside) == sorted(["bycast marker", "bycast kernel up", *COMMANDS.splitlines()])
+    assert sorted(r.relpath for r in rows if r.node_name == "Unknown") == ["3100000043/bycast.log", "3100000044/bycast.log"]
     assert len({r.categorize_time for r in rows}) == 1
     assert {tuple(r) for r in occurrences(lines, "bycast").collect()} == {
-        ("Occurances", "Occurs", 1), ("Occurances", "Does not occur", 1), ("Occurances by Version", "100", 1),
+        ("Occurances", "Occurs", 1), ("Occurances", "Does not occur", 1), ("Occurances by Version", "12", 1),
         ("Occurances by Platform", "Unknown", 1)}
     report = store.report()
     assert report.where("lines > 0").count() == 5 and report.where("NOT ok").count() == 0
     assert report.count() == 5 + len(LOOSE) + 2                         # every log file looked at
     assert table_stats(lines, f"{table}/lines").first()["docs"] == 7 < table_stats(lines, f"{table}/lines").first()["bytes"]
-    assert find_lines(lines, "node_name", "node_name_paris").count() == 5
+    assert find_lines(lines, "node_name", "host-07").count() == 5
     # nothing is new: the next run writes no lines
     again = ingest(spark, root, table, now=LATER)
     assert again.complete and again.start == LATER - S.SAFETY_LAG_S - 1
@@ -184,10 +183,10 @@ def test_stream_picks_up_new_files(spark, tree, tmp_path):
     stream_ingest(spark, root, table, seen).awaitTermination()
     assert len(contents(spark, table)) == 7
     add(f"{NODE}/late [1].log", "late\n")
-    add("2001901245/z.log.gz", gzip.compress(b"bycast in gz\n"))
+    add("3100000044/z.log.gz", gzip.compress(b"bycast in gz\n"))
     stream_ingest(spark, root, table, seen).awaitTermination()
     late = [r for r in LogTable(spark, table).current_lines().collect() if "late" in r.relpath]
-    assert [(r.message, r.node_name, r.major_version) for r in late] == [("late", "node_name_paris", 100)]
+    assert [(r.message, r.node_name, r.major_version) for r in late] == [("late", "host-07", 12)]
     assert len(contents(spark, table)) == 9 and len(LogTable(spark, table).ledger.batches()) == 2
 
 

@@ -7,9 +7,9 @@ RECORD = "seq long, start long, stop long, input_dir string, last_path string"
 
 
 def test_codec(spark):
-    good = {'1 2 "/path w/ spaces" "log.txt"': (1, 2, "/path w/ spaces", "log.txt"), '0 1 "/nfs" ""': (0, 1, "/nfs", ""),
-            '-50 5000 "." "./log.txt"': (-50, 5000, ".", "./log.txt")}
-    bad = ['1 0 "" ""', '01""""', '0 1""""', '0 1 """"', "0 1 /path file.txt", '2 1 "/a" ""', 'x 1 "/a" ""', ""]
+    good = {'17 230 "/data/my bundles" "host 3/kern.log"': (17, 230, "/data/my bundles", "host 3/kern.log"),
+            '5 6 "s3://logs" ""': (5, 6, "s3://logs", ""), '-8 90 "in" "a"': (-8, 90, "in", "a")}
+    bad = ['9 3 "/data" ""', '59"/data"""', '5 9"/data" ""', '5 9 "/data"""', "5 9 /data a.log", '9 8 "in" "a"', 'five 9 "in" ""', "", '5 9 "in"']
     parsed = L.parse_ledger(spark.createDataFrame([(l,) for l in [*good, *bad]], "value string"))
     rows = parsed.withColumn("again", L.render_ledger()).withColumn("done", L.is_complete()).collect()
     for row in rows:
@@ -20,9 +20,9 @@ def test_codec(spark):
 
 
 @pytest.mark.parametrize("records, want", [
-    ([], (S.FIRST_WINDOW_START, 5000, "")), ([(1, 0, 1000, ".", "")], (1000, 5000, "")),
-    ([(1, 0, 1000, ".", ""), (2, -50, 7000, ".", "./log.txt")], (-50, 7000, "./log.txt")),
-    ([(2, 0, 9000, ".", ""), (1, 0, 1, ".", "x")], (4999, 5000, ""))])
+    ([], (S.FIRST_WINDOW_START, 5000, "")), ([(1, 30, 700, "in", "")], (700, 5000, "")),
+    ([(1, 30, 700, "in", ""), (2, 10, 6100, "in", "host/a.log")], (10, 6100, "host/a.log")),
+    ([(2, 30, 8200, "in", ""), (1, 30, 40, "in", "b")], (4999, 5000, ""))])
 def test_next_window(spark, records, want):
     row = L.next_window(spark.createDataFrame(records, RECORD), 5000).first()
     assert tuple(row) == want
