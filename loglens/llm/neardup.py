@@ -8,9 +8,10 @@ they are linked only if their full sets are similar enough, and linked documents
 At a similarity of exactly 0.8, the chance that no table holds a pair is 2 * (1 - 0.8^2)^10, below 1e-4, and it
 vanishes quickly above.
 
-Within a table's bucket, members are compared with a few of its members at a time, in rounds of growing size, and
-only with those of other components; so a bucket of many copies of one text needs one comparison per member, and
-no pair of different components is left out. Equal sets are one node from the start.
+Documents of a large group of copies are not compared pair by pair. In each of a few rounds a document meets one
+drawn member of each of its buckets, the most promising of these is compared with it, and components grow. Those
+that still share a bucket across components then go through an exact prefix filter: their shingles are ordered by
+rarity, and only pairs that share an early enough one are compared. Equal sets are one node from the start.
 
 Defined cases: a null or empty text, or one without words, has an empty set and is linked with nothing; a text of
 one word is that word. Rows that repeat a doc_id are judged each by its own text. Rows without doc_id are
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from loglens.llm.common import mix64, on_executors, runs
@@ -38,10 +39,13 @@ ROWS = 2
 # Of 32 two-bit samples of the minhashes, a pair at 0.8 has more than 17 that differ about once in a million.
 SAMPLES = 32
 MOST_DIFFERING = 17
-# A round compares with so many times as many members of a bucket as the one before.
-WIDER = 32
+# Rounds in which each document is compared with its most promising candidate, before all that are left.
+ROUNDS = 3
 CACHED_WORDS = 500_000
 
+# Classes of shingles whose frequencies order a prefix: an array of four megabytes.
+RARITY_BITS = 20
+
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _SEEDS = mix64(np.arange(1, 2 * M * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -147,13 +151,31 @@ def _similar(batches: Iterator[pd.DataFrame], percent: int) -> Iterator[pd.DataF
         yield batch.loc[keep, ["a", "b"]]
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, percent: int = SIMILAR_PERCENT) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose full sets are similar. ``docs`` has (id, text)."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = join_checked(docs, ids, "id", "left_semi").mapInPandas(_sets, "id long, shingles binary")
-    both = (pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("b_shingles")), "b")
-            .join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("a_shingles")), "a"))
-    return both.mapInPandas(lambda batches: _similar(batches, percent), "a long, b long")
+class Confirmer:
+    """Compares full sets. A document's set is made once, when a pair first asks for it."""
+
+    def __init__(self, docs: DataFrame, staging: Staging, percent: int):
+        self.docs, self.staging, self.percent = docs, staging, percent
+        self.sets, self.calls = None, 0
+
+    def ask(self, ids: DataFrame) -> None:
+        """Have the sets of ``ids`` (id) at hand."""
+        self.calls += 1
+        if self.sets is not None:
+            ids = ids.join(self.sets.select("id"), "id", "left_anti")
+        ids = self.staging.table(ids, f"asked-{self.calls}")
+        if self.sets is None or ids.limit(1).count():
+            made = join_checked(self.docs, ids, "id", "left_semi").mapInPandas(_sets, "id long, shingles binary")
+            made = self.staging.table(made, f"sets-{self.calls}")
+            self.sets = made if self.sets is None else self.sets.unionByName(made)
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """Those of ``pairs`` (a, b) whose sets are similar."""
+        self.ask(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+        both = (pairs.join(self.sets.select(F.col("id").alias("b"), F.col("shingles").alias("b_shingles")), "b")
+                .join(self.sets.select(F.col("id").alias("a"), F.col("shingles").alias("a_shingles")), "a"))
+        percent = self.percent
+        return self.staging.table(both.mapInPandas(lambda batches: _similar(batches, percent), "a long, b long"), f"links-{self.calls}")
 
 
 def components(links: DataFrame, staging: Staging, name: str) -> DataFrame:
@@ -187,6 +209,89 @@ def components(links: DataFrame, staging: Staging, name: str) -> DataFrame:
     return edges.select(F.col("b").alias("id"), F.col("a").alias("component_id"))
 
 
+def _grouped(nodes: DataFrame, found: DataFrame | None) -> DataFrame:
+    """(id, n, sketch, group): the component that each node belongs to so far."""
+    known = nodes.select("id", "n", "sketch")
+    if found is None:
+        return known.withColumn("group", F.col("id"))
+    return known.join(found, "id", "left").withColumn("group", F.coalesce("component_id", "id")).drop("component_id")
+
+
+def _differing() -> Column:
+    """How many two-bit samples of two sketches differ."""
+    return F.expr("bit_count(((sketch ^ a_sketch) | shiftrightunsigned(sketch ^ a_sketch, 1)) & 6148914691236517205L)")
+
+
+def _may_be_similar(percent: int) -> Column:
+    return ((F.col("group") != F.col("a_group")) & (100 * F.least("n", "a_n") >= percent * F.greatest("n", "a_n"))
+            & (_differing() <= MOST_DIFFERING))
+
+
+def _best_pairs(state: DataFrame, round_: int, percent: int) -> DataFrame:
+    """For each member of a bucket of several components, the most promising of one other member of each of its buckets.
+
+    The other is drawn by a hash, so a document of many buckets meets many others.
+    """
+    drawn = F.struct(F.xxhash64("key", "id", F.lit(round_)).alias("draw"), F.col("id").alias("a"), F.col("n").alias("a_n"),
+                     F.col("sketch").alias("a_sketch"), F.col("group").alias("a_group"))
+    others = state.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.min(drawn).alias("other"))
+    others = others.where("low <> high").select("key", "other.*")
+    met = state.join(others, "key").where(_may_be_similar(percent)).select("id", "a", _differing().alias("differ"))
+    best = met.groupBy("id").agg(F.min(F.struct("differ", "a")).alias("best"))
+    return best.select(F.least("id", "best.a").alias("a"), F.greatest("id", "best.a").alias("b")).distinct()
+
+
+def _counted_shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    counts = np.zeros(1 << RARITY_BITS, np.int64)
+    for batch in batches:
+        for shingles in batch["shingles"]:
+            np.add.at(counts, np.frombuffer(shingles, np.uint64) >> np.uint64(64 - RARITY_BITS), 1)
+    yield pd.DataFrame({"part": range(len(counts) // 4096), "counts": [c.tobytes() for c in counts.reshape(-1, 4096)]})
+
+
+def _summed(parts: pd.DataFrame) -> pd.DataFrame:
+    total = np.sum([np.frombuffer(c, np.int64) for c in parts["counts"]], axis=0)
+    return pd.DataFrame({"part": parts["part"].head(1), "counts": [np.minimum(total, 2**31 - 1).astype("<i4").tobytes()]})
+
+
+def rarity(sets: DataFrame) -> np.ndarray:
+    """How many shingles of ``sets`` fall into each of 2 ** RARITY_BITS classes: an array of fixed size."""
+    kind = "part int, counts binary"
+    parts = sets.mapInPandas(_counted_shingles, kind).groupBy("part").applyInPandas(_summed, kind).collect()
+    return np.concatenate([np.frombuffer(r["counts"], "<i4") for r in sorted(parts, key=lambda r: r["part"])] or [np.zeros(1 << RARITY_BITS, "<i4")])
+
+
+def _prefixes(batches: Iterator[pd.DataFrame], counts, percent: int) -> Iterator[pd.DataFrame]:
+    """The shingles of each set, in order of rarity, one of which any similar set must have among its own first."""
+    for batch in batches:
+        for doc_id, shingles in zip(batch["id"].tolist(), batch["shingles"]):
+            shingles = np.frombuffer(shingles, np.uint64)
+            n = len(shingles) + (-len(shingles) * percent) // 100 + 1
+            seen = counts.value[shingles >> np.uint64(64 - RARITY_BITS)]
+            first = shingles[np.lexsort((shingles, seen))[:n]]
+            yield pd.DataFrame({"key": first.view(np.int64), "id": doc_id, "place": np.arange(len(first), dtype=np.int32)})
+
+
+def _all_pairs(sets: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
+    """All pairs of ``sets`` in different components that can be similar by a prefix filter, which loses none.
+
+    If sets are similar, the first shingle they share leaves enough behind it in both. Under a shingle, members of
+    its most frequent component are compared with the others only.
+    """
+    counts = sets.sparkSession.sparkContext.broadcast(rarity(sets))
+    prefixes = sets.mapInPandas(lambda batches: _prefixes(batches, counts, percent), "key long, id long, place int")
+    rows = prefixes.join(grouped, "id")
+    frequent = (rows.groupBy("key", "group").agg(F.count("*").alias("many")).groupBy("key")
+                .agg(F.count("*").alias("kinds"), F.max(F.struct("many", "group")).alias("most")).where("kinds > 1")
+                .select("key", F.col("most.group").alias("major")))
+    rows = rows.join(frequent, "key")
+    few = rows.where("group <> major").select("key", *(F.col(c).alias(f"a_{c}") for c in ("id", "place", "n", "sketch", "group")))
+    enough = (100 + percent) * F.least(F.col("n") - F.col("place"), F.col("a_n") - F.col("a_place")) >= percent * (F.col("n") + F.col("a_n"))
+    pairs = few.join(rows, "key").where(
+        _may_be_similar(percent) & enough & ((F.col("group") == F.col("major")) | (F.col("a_id") < F.col("id"))))
+    return pairs.select(F.least("a_id", "id").alias("a"), F.greatest("a_id", "id").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, percent: int = SIMILAR_PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each of ``docs`` (doc_id, text)."""
     staging = Staging(docs.sparkSession)
@@ -202,31 +307,30 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILAR_PERCENT) -> DataFram
     bucket = Window.partitionBy("key").orderBy("id")
     members = staging.table(
         keys.withColumn("place", F.row_number().over(bucket)).withColumn("next", F.lead("id").over(bucket))
-        .where("place > 1 or next is not null").drop("next"), "members")
-    known = nodes.select("id", "n", "sketch")
-    by_id = texts.select(F.col("doc_id").alias("id"), "text")
-    links, found, done, upto, round_ = None, None, 0, 1, 0
-    most = members.agg(F.max("place")).first()[0] or 0
-    while done < most - 1:
+        .where("place > 1 or next is not null").select("key", "id"), "members")
+    confirmer = Confirmer(texts.select(F.col("doc_id").alias("id"), "text"), staging, percent)
+    links, found, round_ = None, None, 0
+    while members.limit(1).count():
+        last = round_ >= ROUNDS
         round_ += 1
-        left = members.where(F.col("place") > done)
-        of = known if found is None else known.join(found, "id", "left").withColumn(
-            "group", F.coalesce("component_id", "id")).drop("component_id")
-        of = of if found is not None else of.withColumn("group", F.col("id"))
-        left = left.join(of, "id")
-        few = left.where(F.col("place") <= upto).select("key", *(F.col(c).alias(f"a_{c}") for c in ("id", "place", "n", "sketch", "group")))
-        differ = F.expr("bit_count(((sketch ^ a_sketch) | shiftrightunsigned(sketch ^ a_sketch, 1)) & 6148914691236517205L)")
-        pairs = few.join(left, "key").where(
-            (F.col("place") > F.col("a_place")) & (F.col("group") != F.col("a_group"))
-            & (100 * F.least("n", "a_n") >= percent * F.greatest("n", "a_n")) & (differ <= MOST_DIFFERING)
-        ).select(F.col("a_id").alias("a"), F.col("id").alias("b"))
-        if round_ == 1:                     # one comparison a document joins most copies; the next round sees the rest
-            pairs = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+        grouped = _grouped(nodes, found)
+        if last:
+            confirmer.ask(members.select("id").distinct())
+            pairs = _all_pairs(confirmer.sets, grouped, percent)
         else:
-            pairs, done, upto = pairs.distinct(), upto, upto * WIDER
-        new = staging.table(confirmed(staging.table(pairs, f"pairs-{round_}"), by_id, percent), f"links-{round_}")
-        links = new if links is None else links.unionByName(new)
-        found = components(links, staging, f"components-{round_}")
+            pairs = _best_pairs(members.join(grouped, "id"), round_, percent)
+        pairs = staging.table(pairs, f"pairs-{round_}")
+        new = confirmer.links(pairs)
+        if new.limit(1).count():
+            links = new if links is None else links.unionByName(new)
+            found = components(links, staging, f"components-{round_}")
+        elif not last:
+            round_ = ROUNDS                 # only the complete round is left
+        if last:
+            break
+        mixed = members.join(_grouped(nodes, found), "id").groupBy("key").agg(
+            F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("key")
+        members = staging.table(members.join(mixed, "key", "left_semi"), f"members-{round_}")
     groups = nodes.select("set_high", "set_low", "id", "copies")
     groups = (groups.join(found, "id", "left") if found is not None else groups.withColumn("component_id", F.lit(None).cast("long")))
     groups = groups.where("copies > 1 or component_id is not null").select(
