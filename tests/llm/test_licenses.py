@@ -6,10 +6,10 @@ from collections import Counter
 
 from loglens.llm import licenses
 
-FILES = [("a/LICENSE", "Released under the MIT License."), ("a/b/x.txt", "some text\nLicensed under CC BY-NC 4.0.\nmore"), ("a/b/y.txt", "plain"),
+FILES = [("a/LICENSE", "Released under the MIT License."), ("a/b/x.txt", "some text " * 9 + "\nLicensed under CC BY-NC 4.0.\nmore"), ("a/b/y.txt", "plain"),
          ("a/b/c/z.txt", "license is a word of the public"), ("q/long.txt", "word " * 5000 + "\nLicensed under the Apache License, Version 2.0."),
          ("q/short", "This work is licensed under the GNU General Public License, version 3.\n"), ("q/d/e/f.txt", None), (None, "rootless"), ("top.txt", ""),
-         ("a/b/noise.txt", "see Released under the MIT License. by somebody"), ("q/d/e/f.txt", None)]
+         ("a/b/noise.txt", "far more text " * 9 + "\nsee Released under the MIT License. by somebody"), ("q/d/e/f.txt", None)]
 
 
 def words(text):
