@@ -1,5 +1,7 @@
 """The pipeline, stage by stage, on planted cases."""
 
+import random
+
 import corpus_pipeline
 import pytest
 from test_quality import sentences
@@ -11,9 +13,11 @@ HEX = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b2b0b822c"
 def tables(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("tables")
     item = " ".join(f"item{c}" for c in "abcdefghijkl")
-    clean = [f"{t} {' '.join(chr(97 + (i * 7 + j * (i % 11 + 1)) % 26) + 'on' for j in range(40))} n{i}" for i, t in enumerate(sentences(6, 120))]
+    draw = random.Random(9)
+    word = lambda: "".join(draw.choice(["an", "be", "cor", "du", "el"]) for _ in range(draw.randrange(2, 6)))
+    clean = [f"{t} {' '.join(word() for _ in range(60))}" for t in sentences(6, 120)]
     rows = [(i, t) for i, t in enumerate(clean)]
-    rows += [(200, clean[3]), (201, clean[3] + " the"), (202, "%&# " * 80), (203, f"{clean[5]} {item}"), (204, f'{clean[7]} token="{HEX}" {clean[8]}'), (205, None)]
+    rows += [(200, clean[3]), (201, clean[3] + " the"), (202, "%&# " * 80), (203, f"{' '.join(word() for _ in range(60))} {item}"), (204, f'{clean[7]} token="{HEX}" {clean[8]}'), (205, None)]
     spark.createDataFrame([(i, t, "aa", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long"
                           ).write.parquet(f"{root}/documents.parquet")
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{root}/benchmark.parquet")
