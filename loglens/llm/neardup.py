@@ -269,7 +269,8 @@ def _prefixes(batches: Iterator[pd.DataFrame], counts, percent: int) -> Iterator
             n = len(shingles) + (-len(shingles) * percent) // 100 + 1
             seen = counts.value[shingles >> np.uint64(64 - RARITY_BITS)]
             first = shingles[np.lexsort((shingles, seen))[:n]]
-            yield pd.DataFrame({"key": first.view(np.int64), "id": doc_id, "place": np.arange(len(first), dtype=np.int32)})
+            keys = first.view(np.int64)
+            yield pd.DataFrame({"key": keys, "id": doc_id, "place": np.arange(len(keys), dtype=np.int32), "before": np.append([0], keys[:-1])})
 
 
 def _all_pairs(sets: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
@@ -279,16 +280,17 @@ def _all_pairs(sets: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
     its most frequent component are compared with the others only.
     """
     counts = sets.sparkSession.sparkContext.broadcast(rarity(sets))
-    prefixes = sets.mapInPandas(lambda batches: _prefixes(batches, counts, percent), "key long, id long, place int")
+    prefixes = sets.mapInPandas(lambda batches: _prefixes(batches, counts, percent), "key long, id long, place int, before long")
     rows = prefixes.join(grouped, "id")
     frequent = (rows.groupBy("key", "group").agg(F.count("*").alias("many")).groupBy("key")
                 .agg(F.count("*").alias("kinds"), F.max(F.struct("many", "group")).alias("most")).where("kinds > 1")
                 .select("key", F.col("most.group").alias("major")))
     rows = rows.join(frequent, "key")
-    few = rows.where("group <> major").select("key", *(F.col(c).alias(f"a_{c}") for c in ("id", "place", "n", "sketch", "group")))
+    few = rows.where("group <> major").select("key", *(F.col(c).alias(f"a_{c}") for c in ("id", "place", "before", "n", "sketch", "group")))
     enough = (100 + percent) * F.least(F.col("n") - F.col("place"), F.col("a_n") - F.col("a_place")) >= percent * (F.col("n") + F.col("a_n"))
+    again = (F.col("place") > 0) & (F.col("a_place") > 0) & (F.col("before") == F.col("a_before"))   # met one shingle earlier
     pairs = few.join(rows, "key").where(
-        _may_be_similar(percent) & enough & ((F.col("group") == F.col("major")) | (F.col("a_id") < F.col("id"))))
+        _may_be_similar(percent) & enough & ~again & ((F.col("group") == F.col("major")) | (F.col("a_id") < F.col("id"))))
     return pairs.select(F.least("a_id", "id").alias("a"), F.greatest("a_id", "id").alias("b")).distinct()
 
 
