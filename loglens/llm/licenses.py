@@ -1,10 +1,15 @@
-"""License scans: TF-IDF cosine of lines to license templates, and inheritance by directory.
+"""License scans: TF-IDF cosine to license headers and whole license texts, and inheritance by directory.
 
-Every line of every file is a possible license header. Words of the templates are weighted by their rarity over all
-files; any other word of a line counts as if it were in no file, so that text around a header lowers its cosine. A
-file's own license is that of its line most like a template, if it is like enough. A file that is named as a
-license file, or most of whose text is license lines, gives its license to its directory; a file without one of its
-own takes that of the nearest directory above it.
+Headers are compared with every line and with every window of a file's words that is as long as the header, so that
+a wrapped header, or one amid other text, counts as it stands. Whole license texts are compared with windows as long
+as they are; a shorter file is one window. Words of the templates are weighted by their rarity over all files; any
+other word counts as if it were in no file. A tag SPDX-License-Identifier says itself which licenses it means. Of
+windows that overlap the likeliest counts, whole license texts before headers. A file's own license is the likeliest
+that is left, if it is like enough; the cosine given is that of the line as a whole where the line is like enough.
+A file that is named as a license file, or most of whose text is license text, gives its license to its directory; a
+file without one of its own takes that of the nearest directory above it.
+
+A template is passed over for a file only where the words they share can't reach the least cosine, whatever the window.
 
 Defined cases: a null or empty text has no license of its own; a null path lies in the root directory, whose name
 is empty. Where templates tie, the first by name is taken; where license files of a directory disagree, the most
@@ -14,14 +19,24 @@ gives no rows. Columns of the input that aren't named are handed through, unless
 
 from __future__ import annotations
 
+import bisect
 import math
+import re
+from collections import Counter
+from collections.abc import Iterator
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from loglens.llm.common import on_executors, runs
 from loglens.session import Staging, join_checked
 
 LEAST_COSINE = 0.6
-# A line is compared if it shares so many different words with some template's vocabulary.
+# Common words alone make long texts alike, so whole license texts have to be liker.
+LEAST_TEXT_COSINE = 0.9
+# A line or window is compared if it shares so many different words with some template's vocabulary.
 LEAST_SHARED_WORDS = 2
 LICENSE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense|notice)([.-][^/]*)?$"
 LICENSE_SHARE = 0.5
@@ -41,8 +56,14 @@ TEMPLATES = [
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC0-1.0", "This work is dedicated to the public domain under CC0 1.0 Universal."),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License, either version 3 of the License, or any later version."),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3."),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
@@ -51,57 +72,166 @@ TEMPLATES = [
 ]
 
 
-def words(text) -> Column:
-    """Lower-cased words; dots within numbers stay."""
-    return F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}]+(?:\.[0-9]+)*)"), 1)
+# Lower-cased words; dots within numbers stay.
+WORD = re.compile(r"[^\W_]+(?:\.[0-9]+)*")
+SPDX = re.compile(r"spdx-license-identifier:[ \t]*([^\n]*)", re.I)
+SPDX_ID = re.compile(r"[A-Za-z0-9][A-Za-z0-9.-]*\+?")
+FOUND = "row long, own_license string, cosine double, line int, license_chars long"
+
+
+def words(text: str) -> list[str]:
+    return WORD.findall(text.lower())
+
+
+def license_texts() -> list[tuple[str, str]]:
+    """Names and whole texts of licenses. Read by the driver."""
+    return [(path.stem, path.read_text("utf-8")) for path in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))]
 
 
 def template_table(spark: SparkSession, templates=tuple(TEMPLATES)) -> DataFrame:
     return spark.createDataFrame([(i, name, text) for i, (name, text) in enumerate(templates)], "template int, license string, text string")
 
 
-def _weights(counts: DataFrame, key: str, rarity: DataFrame, unknown: float) -> DataFrame:
-    """Terms of ``counts`` (key, term, tf) with weight, and the length of their key's vector."""
-    weighed = join_checked(counts, rarity, "term", "left").withColumn("weight", F.col("tf") * F.coalesce("idf", F.lit(unknown)))
-    return weighed.select(key, "term", "weight")
+class Templates:
+    """Templates (license, text) of one kind, with their words weighted."""
+
+    def __init__(self, templates: list[tuple[str, str]], rarity: dict[str, float], unknown: float, least: float, lines: bool):
+        self.least, self.lines = least, lines           # lines: whether whole lines are compared too
+        cut = [(name, Counter(words(text))) for name, text in templates]
+        cut = [(name, counts) for name, counts in cut if counts]
+        self.names, self.sizes = [name for name, _ in cut], [counts.total() for _, counts in cut]
+        self.at = {term: i for i, term in enumerate(sorted({term for _, counts in cut for term in counts}))}
+        self.weight = np.array([rarity[term] for term in self.at] + [unknown])      # all other words have the last
+        self.vectors = np.zeros((len(cut), len(self.weight)))
+        for i, (_, counts) in enumerate(cut):
+            for term, n in counts.items():
+                self.vectors[i, self.at[term]] = n * rarity[term]
+        self.lengths = np.sqrt((self.vectors ** 2).sum(axis=1))
+        self.shares = self.vectors ** 2 / (self.lengths ** 2)[:, None]
+
+    def reachable(self, vocabulary: set[str]) -> list[int]:
+        """Templates that share enough with a text of this vocabulary for the least cosine (Cauchy-Schwarz)."""
+        shared = [self.at[term] for term in vocabulary & self.at.keys()]
+        if len(shared) < LEAST_SHARED_WORDS:
+            return []
+        return np.flatnonzero(self.shares[:, shared].sum(axis=1) >= self.least ** 2 - 1e-6).tolist()
+
+    def numbered(self, terms: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Of each word a number, equal for equal words, and its weight."""
+        others: dict[str, int] = {}
+        ids = np.array([self.at[t] if t in self.at else len(self.at) + others.setdefault(t, len(others)) for t in terms], np.int64)
+        return ids, self.weight[np.minimum(ids, len(self.at))]
+
+    def cosines(self, template: int, ids: np.ndarray, weights: np.ndarray, size: int) -> Iterator[tuple[int, float]]:
+        """Where windows of ``size`` words begin that are like the template, and their cosines."""
+        known = len(self.at)
+        gain = weights * self.vectors[template][np.minimum(ids, known)]             # the last is 0
+        before = lambda x: np.concatenate([[0.0], np.cumsum(x)])                    # noqa: E731
+        dots, squares = ((s := before(x))[size:] - s[:-size] for x in (gain, weights * weights))
+        need = self.least * self.lengths[template]
+        open_ = np.flatnonzero(dots >= need * np.sqrt(squares) * (1 - 1e-6))        # were no word repeated
+        last, many, square = -size, Counter(), 0.0
+        for begin in open_.tolist():
+            if begin - last >= size:
+                last, many, square = begin, Counter(), 0.0
+                fresh, gone = range(begin, begin + size), range(0)
+            else:
+                fresh, gone = range(last + size, begin + size), range(last, begin)
+                last = begin
+            for i in gone:
+                many[ids[i]] -= 1
+                square -= weights[i] ** 2 * (2 * many[ids[i]] + 1)
+            for i in fresh:
+                square += weights[i] ** 2 * (2 * many[ids[i]] + 1)
+                many[ids[i]] += 1
+            cosine = round(float(dots[begin] / math.sqrt(square) / self.lengths[template]), 6)
+            if cosine >= self.least and sum(n > 0 and i < known for i, n in many.items()) >= LEAST_SHARED_WORDS:
+                yield begin, cosine
+
+
+def _spdx(text: str) -> Iterator[tuple[float, str, int, int]]:
+    for tag in SPDX.finditer(text):
+        for part in SPDX_ID.finditer(re.sub(r"(?i)\bwith\s+\S+", " ", tag[1])):
+            name = re.sub(r"(-only|-or-later|\+)$", "", part[0].rstrip(".-"))
+            if name and name.lower() not in ("and", "or", "none", "noassertion"):
+                yield -1.0, name, tag.start(), tag.end()
+
+
+def license_of(text: str, kinds: list[Templates]) -> tuple[str, float, int, int] | None:
+    """License, cosine and line of ``text``, and how many of its characters are license text."""
+    tags = list(_spdx(text)) if "spdx" in text.lower() else []
+    vocabulary = set(words(text))
+    open_ = [(kind, kind.reachable(vocabulary)) for kind in kinds]
+    if not tags and not any(templates for _, templates in open_):
+        return None
+    lowered = text.lower()
+    if len(lowered) != len(text):
+        text = lowered
+    ends = [m.start() for m in re.finditer("\n", text)] + [len(text)]
+    line_starts = [0, *(e + 1 for e in ends[:-1])]
+    terms, begins, stops = [], [], []
+    for m in WORD.finditer(lowered):
+        terms.append(m[0]), begins.append(m.start()), stops.append(m.end())
+    line_of = np.searchsorted(ends, begins, side="left")
+    edges = np.searchsorted(line_of, np.arange(len(ends) + 1)).tolist()
+    found, whole = [(0, cosine, name, a, b) for cosine, name, a, b in tags], {}
+    for kind, templates in open_:
+        if not templates or not terms:
+            continue
+        ids, weights = kind.numbered(terms)
+        for i in templates:
+            name, size = kind.names[i], min(kind.sizes[i], len(terms))
+            for begin, cosine in kind.cosines(i, ids, weights, size):
+                found.append((not kind.lines, -cosine, name, begins[begin], stops[begin + size - 1]))
+            for line in range(len(ends)) if kind.lines else ():
+                a, b = edges[line], edges[line + 1]
+                for _, cosine in kind.cosines(i, ids[a:b], weights[a:b], b - a) if b > a else ():
+                    found.append((False, -cosine, name, line_starts[line], ends[line]))
+                    whole[line, name] = max(cosine, whole.get((line, name), 0.0))
+    if not found:
+        return None
+    taken: list[tuple] = []                     # by place
+    for is_text, cosine, name, a, b in sorted(found, key=lambda s: (not s[0], *s[1:])):
+        at = bisect.bisect_left(taken, (a,))
+        if (at == len(taken) or taken[at][0] >= b) and (at == 0 or taken[at - 1][1] <= a):
+            taken.insert(at, (a, b, cosine, name))
+    best = min((cosine, name, int(np.searchsorted(ends, a, side="left")), b) for a, b, cosine, name in taken)
+    cosine, name, line, stop = best
+    if stop <= ends[line]:                      # within one line, which may be like the license as a whole
+        cosine = -whole.get((line, name), -cosine)
+    spans = [(a, b) for a, b, *_ in taken] + [(line_starts[at], ends[at]) for at, _ in whole]
+    chars, reached = 0, 0
+    for a, b in sorted(spans):
+        chars, reached = chars + max(0, b - max(a, reached)), max(reached, b)
+    return name, -cosine, line, chars
+
+
+def _vocabulary_counts(batches: Iterator[pd.DataFrame], vocabulary: frozenset[str]) -> Iterator[pd.DataFrame]:
+    counts: Counter = Counter()
+    for rows in runs(batches):
+        for text in rows["text"]:
+            counts.update(vocabulary.intersection(words(text)))
+    yield pd.DataFrame({"term": list(counts.keys()), "df": list(counts.values())}).astype({"term": object, "df": "int64"})
 
 
-def _terms(rows: DataFrame, key: str) -> DataFrame:
-    return rows.select(key, F.explode("words").alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
+def _licenses(batches: Iterator[pd.DataFrame], kinds: list[Templates]) -> Iterator[pd.DataFrame]:
+    for rows in runs(batches):
+        found = [(row, *of) for row, text in zip(rows["row"], rows["text"]) if (of := license_of(text, kinds))]
+        yield pd.DataFrame(found, columns=["row", "own_license", "cosine", "line", "license_chars"]).astype(
+            {"row": "int64", "own_license": object, "cosine": float, "line": "int32", "license_chars": "int64"})
 
 
-def license_lines(files: DataFrame, templates: DataFrame, staging: Staging, least: float = LEAST_COSINE) -> DataFrame:
-    """(row, line, license, cosine, chars) of the lines of ``files`` (row, text) that are like a template."""
-    cut = templates.select("template", "license", words("text").alias("words"))
-    vocabulary = staging.table(cut.select(F.explode("words").alias("term")).distinct(), "vocabulary")
-    texts = files.select("row", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    n = texts.count()
-    of_files = texts.select(F.explode(F.array_distinct(words("text"))).alias("term"))
-    df = join_checked(of_files, vocabulary, "term", "left_semi").groupBy("term").agg(F.count("*").alias("df"))
-    rarity = staging.table(vocabulary.join(df, "term", "left").select(
-        "term", (F.log((n + 1.0) / (F.coalesce("df", F.lit(0)) + 1.0)) + 1.0).alias("idf")), "rarity")
+def own_licenses(files: DataFrame, templates: list[tuple[str, str]], texts: list[tuple[str, str]], least: float = LEAST_COSINE) -> DataFrame:
+    """FOUND of those of ``files`` (row, text) that have a license of their own."""
+    files = on_executors(files).select("row", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    vocabulary = frozenset(term for _, text in [*templates, *texts] for term in words(text))
+    n = files.count()
+    df = files.select("text").mapInPandas(lambda batches: _vocabulary_counts(batches, vocabulary), "term string, df long")
+    df = {r["term"]: r["df"] for r in df.groupBy("term").agg(F.sum("df").alias("df")).collect()}      # the templates' words
+    rarity = {term: math.log((n + 1.0) / (df.get(term, 0) + 1.0)) + 1.0 for term in vocabulary}
     unknown = math.log(n + 1.0) + 1.0
-    known = F.lit(sorted(row["term"] for row in vocabulary.collect()))       # the templates' words
-    lines = texts.select("row", F.posexplode(F.split("text", "\n")).alias("line", "content")).select(
-        "row", "line", F.char_length("content").alias("chars"), words("content").alias("words"))
-    near = staging.table(
-        lines.where(F.size(F.array_intersect("words", known)) >= LEAST_SHARED_WORDS)
-        .withColumn("at", F.monotonically_increasing_id()), "near")
-    line_weights = _weights(_terms(near, "at"), "at", rarity, unknown)
-    template_weights = _weights(_terms(cut, "template"), "template", rarity, unknown)
-    length = F.sqrt(F.sum(F.col("weight") * F.col("weight")))
-    template_lengths = template_weights.groupBy("template").agg(length.alias("template_length"))
-    template_vectors = staging.table(
-        template_weights.withColumnRenamed("weight", "template_weight").join(template_lengths, "template"), "templates")
-    line_vectors = staging.table(line_weights, "lines")
-    dots = join_checked(line_vectors, template_vectors, "term").groupBy("at", "template").agg(
-        F.sum(F.col("weight") * F.col("template_weight")).alias("dot"), F.first("template_length").alias("template_length"))
-    lengths = line_vectors.groupBy("at").agg(length.alias("line_length"))
-    cosine = F.round(F.col("dot") / F.col("line_length") / F.col("template_length"), 6)
-    named = templates.select("template", "license")
-    best = (join_checked(dots.join(lengths, "at").withColumn("cosine", cosine).where(F.col("cosine") >= least), named, "template")
-            .groupBy("at").agg(F.min(F.struct((-F.col("cosine")).alias("by"), "license")).alias("best")))
-    return near.join(best, "at").select("row", "line", "chars", F.col("best.license").alias("license"), (-F.col("best.by")).alias("cosine"))
+    kinds = [Templates(templates, rarity, unknown, least, True), Templates(texts, rarity, unknown, max(least, LEAST_TEXT_COSINE), False)]
+    return files.mapInPandas(lambda batches: _licenses(batches, kinds), FOUND)
 
 
 def scan(files: DataFrame, templates: DataFrame | None = None, least: float = LEAST_COSINE) -> DataFrame:
@@ -109,14 +239,11 @@ def scan(files: DataFrame, templates: DataFrame | None = None, least: float = LE
     spark = files.sparkSession
     staging = Staging(spark)
     templates = template_table(spark) if templates is None else templates
+    named = [(r["license"], r["text"]) for r in templates.orderBy("template").collect()]
     results = ["own_license", "cosine", "line", "from_directory", "license"]
     others = [c for c in files.columns if c not in ("text", "row", *results)]
     rows = files.withColumn("row", F.monotonically_increasing_id())
-    lines = staging.table(license_lines(rows, templates, staging, least), "license-lines")
-    own = lines.groupBy("row").agg(F.min(F.struct((-F.col("cosine")).alias("by"), "license", "line")).alias("best"),
-                                   F.sum("chars").alias("license_chars"))
-    own = own.select("row", F.col("best.license").alias("own_license"), (-F.col("best.by")).alias("cosine"),
-                     F.col("best.line").alias("line"), "license_chars")
+    own = staging.table(own_licenses(rows, named, license_texts(), least), "own")
     found = staging.table(rows.select("row", *others, F.char_length("text").alias("_chars")).join(own, "row", "left"), "found")
     directory = F.regexp_replace(F.coalesce("path", F.lit("")), r"/?[^/]*$", "")
     found = found.withColumn("_directory", directory)
