@@ -1,15 +1,18 @@
 """Document fingerprints: digests of statistically improbable features.
 
 Features are windows of WINDOW bytes of a text's UTF-8. The entropy of every window of every document is counted
-first; the rarer its entropy is among them, the earlier a window ranks. Of each SPAN neighbouring windows the first
-in rank gets a point, and windows with POINTS points or more are selected. Their hashes set bits in a chain of Bloom
-filters, so many features to a filter. Two digests are compared filter by filter: common bits beyond what chance
-gives, relative to the most there could be; each filter of the shorter chain counts with its best match.
-
-Defined cases: a null text is empty. An empty text has no filter; it is like another empty one only. A short text,
-of fewer than SHORT bytes, gives all its windows of SHORT_WINDOW bytes, so it is like other short ones only. Neighbours in descending doc_id follow ties by a hash of the text, and rows without
-doc_id come first; one document is its own next one. An empty table gives no rows. Columns other than doc_id and
-text are not looked at.
+first; the rarer its entropy is among them, the earlier a window ranks, and a hash of its bytes settles ties. Of each
+SPAN neighbouring windows the first in rank gets a point, equal windows of a text together, and those with POINTS
+points or more are selected. Where fewer than LEAST are, the first in rank are added. Besides, every text gives the
+SHORT_FEATURES windows of SHORT_WINDOW bytes with the smallest hashes, so that short texts can be told apart and texts
+of all lengths have a kind in common. Hashes set bits in a chain of Bloom filters, so many features to a filter, short
+windows in the last. Two digests are compared filter by filter: common bits beyond what chance gives, relative to the
+most there could be; each filter of the shorter chain counts with its best match.
+
+Defined cases: a null text is empty. An empty text has no filter, any other has at least one; it is like another empty
+one only. A text of fewer than SHORT_WINDOW bytes is one short window. Neighbours in descending doc_id follow ties by
+a hash of the text, and rows without doc_id come first; one document is its own next one. An empty table gives no
+rows. Columns other than doc_id and text are not looked at.
 """
 
 from __future__ import annotations
@@ -28,9 +31,9 @@ from loglens.llm.common import mix64, on_executors, runs
 WINDOW = 32
 SPAN = 64                                   # a power of two
 POINTS = 8
-# Texts of fewer bytes give all their windows of SHORT_WINDOW bytes.
-SHORT = 256
+LEAST = 16
 SHORT_WINDOW = 8
+SHORT_FEATURES = 128                        # one filter
 FEATURES_PER_FILTER = 128
 FILTER_BITS = 2048
 BITS_PER_FEATURE = 5
@@ -97,54 +100,80 @@ def ranks(docs: DataFrame) -> np.ndarray:
     return out
 
 
-def _hashed(windows: np.ndarray) -> np.ndarray:
-    """A hash of each row of ``windows`` (bytes, a multiple of eight to a row)."""
-    parts, hashes = np.ascontiguousarray(windows).view("<u8"), np.zeros(len(windows), np.uint64)
-    for column in range(parts.shape[1]):
-        hashes = mix64(hashes + parts[:, column] * np.uint64(0x9E3779B97F4A7C15))
-    return hashes
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_HASH_BITS = 53
 
 
-def short_features(text: bytes) -> np.ndarray:
-    """Hashes of all short windows of a text too short to choose from."""
-    if not text:
-        return np.zeros(0, np.uint64)
-    padded = np.frombuffer(text.ljust(SHORT_WINDOW, b"\0"), np.uint8)
-    return _hashed(np.lib.stride_tricks.sliding_window_view(padded, SHORT_WINDOW))
+def _hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the windows of SHORT_WINDOW bytes and of WINDOW bytes that begin at each place of ``data`` (bytes)."""
+    x, width = data.astype(np.uint64), 1
+    while width < SHORT_WINDOW:
+        x = x[:-width] | x[width:] << np.uint64(8 * width)
+        width *= 2
+    short = mix64(x * _FACTOR)
+    wide = short
+    while width < WINDOW:
+        wide = mix64(wide[:-width] * _FACTOR + wide[width:])
+        width *= 2
+    return short, wide
+
+
+def _least_short(hashes: np.ndarray) -> np.ndarray:
+    """The SHORT_FEATURES smallest of ``hashes``, each once."""
+    many = 8 * SHORT_FEATURES
+    if len(hashes) > many:                  # most can be left out of the sort, unless too few are left
+        few = np.unique(hashes[hashes < np.uint64((1 << 64) * (many // 2) // len(hashes))])
+        if len(few) >= SHORT_FEATURES:
+            return few[:SHORT_FEATURES]
+    return np.unique(hashes)[:SHORT_FEATURES]
+
+
+def _selected(keys: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Of one text's windows, by ``keys``, those selected, by where they first get a point; ``least`` is the first in
+    rank of each span."""
+    begin = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]])) if len(least) else np.zeros(0, np.int64)
+    lengths = np.diff(np.append(begin, len(least)))
+    kinds, first, at = np.unique(least[begin], return_index=True, return_inverse=True)
+    chosen = np.bincount(at, lengths, minlength=len(kinds)) >= POINTS
+    out = kinds[chosen][np.argsort(first[chosen])]
+    if len(out) < LEAST and len(keys):
+        ranked = np.unique(keys)
+        out = np.concatenate([out, ranked[~np.isin(ranked, out)][:LEAST - len(out)]])
+    return out
 
 
 def digests(texts: list[bytes], rank: np.ndarray) -> list[np.ndarray]:
     """The chain of filters of each text, a row of FILTER_BITS bits, packed, for each."""
     data, levels, starts, counts = windows_of(texts)
-    places = np.arange(len(levels), dtype=np.int64)
-    order = rank[levels] << 40 | places     # rank first, then the leftmost
-    least, width = order.copy(), 1
+    short, wide = _hashes(data)
+    keys = rank[levels] << _HASH_BITS | (wide >> np.uint64(64 - _HASH_BITS)).astype(np.int64)
+    least, width = keys.copy(), 1
     while width < SPAN:
         least[:-width or None] = np.minimum(least[:-width or None], least[width:])
         width *= 2
-    short = np.array([len(t) < SHORT for t in texts], bool)
-    full = np.maximum(counts - SPAN + 1, 0)
-    points = np.bincount(least[_inside(starts, full, len(least))] & ((1 << 40) - 1), minlength=len(levels))
-    chosen = points >= POINTS
-    chosen[_inside(starts, np.where(short, counts, 0), len(chosen))] = False
-    at = np.flatnonzero(chosen)
-    owner = np.searchsorted(starts + counts, at, side="right")
-    hashes = _hashed(np.lib.stride_tricks.sliding_window_view(data, WINDOW)[at])
-    more = [(i, short_features(texts[i])) for i in np.flatnonzero(short).tolist()]
-    owner = np.concatenate([owner, *(np.full(len(h), i) for i, h in more)])
-    hashes = np.concatenate([hashes, *(h for _, h in more)])
-    by_owner = np.argsort(owner, kind="stable")
-    owner, hashes = owner[by_owner], hashes[by_owner]
-    features = np.bincount(owner, minlength=len(texts))
-    first = np.cumsum(features) - features
-    filters = -(-features // FEATURES_PER_FILTER)
-    begin = np.cumsum(filters) - filters
-    bits = np.zeros((int(filters.sum()), FILTER_BITS), np.uint8)
-    filter_of = begin[owner] + (np.arange(len(owner)) - first[owner]) // FEATURES_PER_FILTER
+    parts, filters = [], []                 # hashes, and the number of filters before them
+    ends, total = [], 0
+    for text, start, n in zip(texts, starts.tolist(), counts.tolist()):
+        chosen = _selected(keys[start:start + n], least[start:start + max(n - SPAN + 1, 0)])
+        parts.append(mix64(chosen.astype(np.uint64) & np.uint64((1 << _HASH_BITS) - 1)))
+        filters.append(total + np.arange(len(chosen)) // FEATURES_PER_FILTER)
+        total += -(-len(chosen) // FEATURES_PER_FILTER)
+        if text:
+            if len(text) < SHORT_WINDOW:
+                of = _hashes(np.frombuffer(text.ljust(WINDOW, b"\0"), np.uint8))[0][:1]
+            else:
+                of = _least_short(short[start:start + len(text) - SHORT_WINDOW + 1])
+            parts.append(mix64(of))         # the smallest have their first bits in common
+            filters.append(np.full(len(of), total))
+            total += 1
+        ends.append(total)
+    hashes = np.concatenate([np.zeros(0, np.uint64), *parts])
+    filter_of = np.concatenate([np.zeros(0, np.int64), *filters])
+    bits = np.zeros((total, FILTER_BITS), np.uint8)
     for i in range(BITS_PER_FEATURE):
         bits[filter_of, (hashes >> np.uint64(11 * i) & np.uint64(FILTER_BITS - 1)).astype(np.int64)] = 1
     packed = np.packbits(bits, axis=1)
-    return [packed[b:b + n] for b, n in zip(begin.tolist(), filters.tolist())]
+    return [packed[b:e] for b, e in zip([0, *ends], ends)]
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
