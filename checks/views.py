@@ -54,19 +54,24 @@ SELECT doc_id,
       ELSE 'ABC-ABC' END AS abs_dir
 FROM ({DOC_FILES}) f"""
 
+# Lines of all events; directories 'n...' have none that says anything.
 VERSION_LINES = f"""
 SELECT 'd' || {text('user_id')} AS dir, event_id,
   CASE event_id % 9
     WHEN 0 THEN 'storage-grid-release-' || {text('event_id % 12')} || '.' || {text('event_id % 5')} || '.0-1'
     WHEN 1 THEN 'storage-grid-release-x.y' WHEN 2 THEN 'storage-grid-release-11'
     WHEN 3 THEN 'a storage-grid-release- 10. 4 .storage-grid-release-' ELSE event_type END AS line
-FROM {{events}} WHERE user_id % 13 <> 0 OR event_id % 9 > 3"""
+FROM {{events}}
+UNION ALL
+SELECT 'n' || {text('user_id')} AS dir, event_id * 9 + 4 AS event_id, event_type AS line FROM {{events}}"""
 
 PLATFORM_LINES = f"""
 SELECT 'd' || {text('user_id')} AS dir, event_id,
   CASE event_id % 11 WHEN 0 THEN ' HV_ENV = ''"SGA"'';' WHEN 1 THEN 'HV_ENV=vSphere'
     WHEN 2 THEN 'HV_ENV = "mainframe" ;' WHEN 3 THEN 'HV_ENV : SGA' ELSE event_type || '=SGA' END AS line
-FROM {{events}} WHERE user_id % 13 <> 0 OR event_id % 11 > 1"""
+FROM {{events}}
+UNION ALL
+SELECT 'n' || {text('user_id')} AS dir, event_id * 11 + 5 AS event_id, event_type || '=SGA' AS line FROM {{events}}"""
 
 TREE_DIRS = f"""
 SELECT DISTINCT case_num || '/' || grid_id || '/' || node_name || '/' || 's' || {text('doc_id % 10')} AS dir
