@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loglens.llm import decontaminate, fingerprints, langid, licenses, neardup, packing, pii, quality, secret_scan, urls
+from loglens.llm import (decontaminate, embeddup, fingerprints, langid, lexical, licenses, neardup, packing, pii, quality, secret_scan,
+                         urls)
 from loglens.llm.common import read
 
 QUERIES: dict = {}
@@ -76,6 +77,18 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@query
+def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents for each benchmark item."""
+    return lexical.rank(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of embeddings of equal label that point nearly the same way."""
+    return embeddup.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 _WORDS = r"""list_filter(string_split_regex(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                          '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
 
@@ -144,3 +157,34 @@ def _pii_sql() -> str:
 
 
 SQL["op4_pii"] = _pii_sql()
+
+
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+SQL["op12_ranked_lexical_search"] = rf"""
+WITH d AS (SELECT doc_id, CAST(len(t) AS BIGINT) AS n, t FROM (SELECT doc_id, {_TERMS} AS t FROM documents) WHERE len(t) > 0),
+i AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY item_id, term),
+p AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(t) AS term FROM d) SEMI JOIN i USING (term) GROUP BY doc_id, n, term),
+size AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM d),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+      FROM p, size GROUP BY term, docs),
+scored AS (SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // words)))) AS BIGINT) AS score
+           FROM i JOIN p USING (term) JOIN w USING (term), size GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 20
+"""
+
+SQL["op13_embedding_near_dedup"] = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reached AS (SELECT vec_id, vec_id AS other FROM embeddings UNION SELECT vec_id, b FROM reached JOIN links ON other = a),
+least AS (SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM least LEFT JOIN counts USING (vec_id)
+"""

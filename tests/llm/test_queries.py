@@ -10,7 +10,7 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_agrees_with_sql(spark, name):
     engine = duckdb.connect()
-    for table in ("documents", "benchmark", "pages", "labels"):
+    for table in ("documents", "benchmark", "pages", "labels", "embeddings"):
         engine.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     rows = QUERIES[name](spark, SF_DIR)
     columns = sorted(rows.columns)
