@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loglens.llm import (decontaminate, embeddup, fingerprints, langid, lexical, licenses, neardup, packing, pii, quality, secret_scan,
-                         urls)
+from loglens.llm import (alignment, decontaminate, embeddup, fingerprints, langid, lexical, licenses, neardup, packing, pii, quality,
+                         secret_scan, urls)
 from loglens.llm.common import read
 
 QUERIES: dict = {}
@@ -77,6 +77,12 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@query
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of the tokens of two tokenizers over all documents."""
+    return alignment.align(read(spark, sf_dir, "documents"))
+
+
 @query
 def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best documents for each benchmark item."""
