@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from checks import trees, views as V
 from loglens import schema as S
 from loglens.functions import fields as FF, paths as P
-from loglens.functions.predicates import in_window
+from loglens.functions.predicates import in_window, is_log_name
 from loglens.functions.text import tokenize
 from loglens.operators import ledger as L
 from loglens.operators.documents import line_documents
@@ -16,11 +16,12 @@ from loglens.plans import occurrence as O
 from loglens.plans.ingest import ingest, member_stats
 from loglens.plans.postings import build_index, indexed_occurrences
 from checks.tables import DOC_FILES, doc_files, log_lines, spread, table, tokenized_lines
-from loglens.session import Staging, cut, shared_dir
+from loglens.session import Staging
 from loglens.sources import tables as TB
 from loglens.sources.archives import archive_errors, expand_archives, good_members, member_lines, skip_unpacked
 from loglens.sources.catalogs import platform_options, version_options
 from loglens.sources.listing import existing_paths
+from loglens.sources.parts import expand_in_parts
 from loglens.streaming.ingest import stream_ingest
 from loglens.streaming.occurrences import saved_snippets, stream_occurrences
 
@@ -554,7 +555,12 @@ def _member_sql(kind: int, archive: str, member: str) -> str:
                  _member_sql(2, ".tgz", "/x.log"), _member_sql(3, ".zip", "/one.log"), _member_sql(3, ".zip", "/sub/two.log"),
                  _member_sql(4, ".log.zip", ".log")))
 def archive_members(spark, sf_dir):
-    members = good_members(cut(expand_archives(trees.packed_documents(spark, sf_dir))))
+    packed = trees.stored(spark, trees.packed_documents(spark, sf_dir))
+    return _members_of(expand_in_parts(packed, Staging(spark)))
+
+
+def _members_of(expanded: DataFrame) -> DataFrame:
+    members = good_members(expanded)
     sizes = members.groupBy("archive", "relpath").agg(F.sum(F.octet_length("content")).alias("bytes"))
     lines = member_lines(members, "archive").groupBy("archive", "relpath").agg(F.count(F.lit(1)).alias("lines"))
     return sizes.join(lines, ["archive", "relpath"], "left").select(
@@ -563,10 +569,24 @@ def archive_members(spark, sf_dir):
 
 @check(f"SELECT {_A} || '.zip' AS archive, 'BadZipFile' AS error FROM documents WHERE doc_id % 6 = 5")
 def unreadable_archives(spark, sf_dir):
-    errors = archive_errors(expand_archives(trees.packed_documents(spark, sf_dir)))
+    packed = trees.stored(spark, trees.packed_documents(spark, sf_dir))
+    errors = archive_errors(expand_in_parts(packed, Staging(spark)))
     return errors.select("archive", F.substring_index("error", ":", 1).alias("error"))
 
 
+_BUNDLE = "'b' || CAST(doc_id // 64 AS VARCHAR)"
+_BUNDLE_EXT = "CASE (doc_id // 64) % 3 WHEN 2 THEN '.tar' ELSE '.zip' END"
+
+
+@check(f"""SELECT {_BUNDLE} || {_BUNDLE_EXT} AS archive, {_BUNDLE} || '/logs/' || CAST(doc_id AS VARCHAR) || '.log' AS relpath,
+  CAST(strlen(text) AS BIGINT) AS bytes, CAST({_KEPT_LINES} AS BIGINT) AS lines FROM documents
+UNION ALL SELECT {_BUNDLE} || {_BUNDLE_EXT}, {_BUNDLE} || '/bin/' || CAST(doc_id AS VARCHAR) || '.dat', 0, 0 FROM documents""")
+def members_in_parts(spark, sf_dir):
+    """Members of larger archives, each read from its place; of those that are no logs only the name is left."""
+    packed = trees.bundled_documents(spark, sf_dir)
+    return _members_of(expand_in_parts(packed, Staging(spark), is_log_name(), task_bytes=4 << 20, range_bytes=16 << 10))
+
+
 @check(f"""SELECT CAST(doc_id AS VARCHAR) || '.log' AS relpath, CAST(CASE WHEN doc_id % 3 = 0 THEN len(string_split(text, chr(10)))
   ELSE {_KEPT_LINES} END AS BIGINT) AS kept FROM documents""")
 def utf8_cut(spark, sf_dir):

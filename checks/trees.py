@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks.tables import table
 from loglens.session import shared_dir
-from loglens.sources.listing import qualify
+from loglens.sources.listing import list_files, qualify
 
 
 def _tar(members: dict[str, bytes], mode: str = "w") -> bytes:
@@ -24,9 +24,9 @@ def _tar(members: dict[str, bytes], mode: str = "w") -> bytes:
     return out.getvalue()
 
 
-def _zip(members: dict[str, bytes]) -> bytes:
+def _zip(members: dict[str, bytes], method: int = zipfile.ZIP_DEFLATED) -> bytes:
     out = io.BytesIO()
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+    with zipfile.ZipFile(out, "w", method) as archive:
         for name, data in members.items():
             archive.writestr(name, data)
     return out.getvalue()
@@ -70,6 +70,30 @@ def packed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _made(spark, sf_dir, by_value(_pack_batches))
 
 
+def _bundle_batches(batches):
+    """Each bundle of documents in a deflated zip, a stored zip or a tar, with a member that is no log before each document."""
+    for batch in batches:
+        rows = []
+        for bundle, docs in batch.itertuples(index=False):
+            members = {}
+            for doc in docs:
+                members[f"bin/{doc['doc_id']}.dat"] = bytes(range(256))
+                members[f"logs/{doc['doc_id']}.log"] = doc["text"].encode()
+            make, ext = [(_zip, "zip"), (lambda m: _zip(m, zipfile.ZIP_STORED), "zip"), (_tar, "tar")][bundle % 3]
+            rows.append((f"b{bundle}.{ext}", make(members)))
+        yield pd.DataFrame(rows, columns=["relpath", "content"])
+
+
+def bundled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in archives of 64 each, listed from the shared folder."""
+    from loglens.session import ship_package
+    ship_package(spark)
+    docs = table(spark, sf_dir, "documents").where("doc_id is not null").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    bundles = (docs.groupBy(F.expr("doc_id div 64").alias("bundle")).agg(F.collect_list(F.struct("doc_id", "text")).alias("docs"))
+               .repartition(spark.sparkContext.defaultParallelism))
+    return stored(spark, bundles.mapInPandas(by_value(_bundle_batches), "relpath string, content binary"))
+
+
 def spoiled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document gzipped; every third goes on after an undecodable line."""
     return _made(spark, sf_dir, by_value(_spoil_batches))
@@ -123,13 +147,24 @@ def _tree_batches(batches):
 
 def write_tree(spark: SparkSession, files: DataFrame) -> str:
     """Write the documents of ``DOC_FILES`` as a tree of support bundles; returns its root."""
-    import uuid
     by_value(_tree_batches)
-    root = f"{shared_dir(spark)}/loglens-tree-{uuid.uuid4().hex}/in"
-    uri = re.sub("^file:/+", "file:///", qualify(spark, root))
     made = (files.repartition(spark.sparkContext.defaultParallelism)
             .mapInPandas(_tree_batches, "relpath string, content binary")
-            .groupBy("relpath").agg(F.max("content").alias("content"))
-            .select(F.concat(F.lit(f"{uri}/"), "relpath").alias("path"), "content"))
-    made.mapInPandas(_write_batches, "written long").agg(F.sum("written")).collect()
+            .groupBy("relpath").agg(F.max("content").alias("content")))
+    return written(spark, made)
+
+
+def written(spark: SparkSession, files: DataFrame) -> str:
+    """Write ``files`` (``relpath``, ``content``) to a new directory in the shared folder; returns the directory."""
+    import uuid
+    by_value(_write_batches)
+    root = f"{shared_dir(spark)}/loglens-tree-{uuid.uuid4().hex}/in"
+    uri = re.sub("^file:/+", "file:///", qualify(spark, root))
+    paths = files.select(F.concat(F.lit(f"{uri}/"), "relpath").alias("path"), "content")
+    paths.mapInPandas(_write_batches, "written long").agg(F.sum("written")).collect()
     return root
+
+
+def stored(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """``files``, written to the shared folder and listed."""
+    return list_files(spark, written(spark, files))

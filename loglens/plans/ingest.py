@@ -23,11 +23,11 @@ from loglens.operators.documents import CARRIED, as_documents, with_ingest_time
 from loglens.operators.relevance import is_relevant
 from loglens.operators.scope import SIDECAR_PATTERN, node_scopes, resolve_scope
 from loglens.session import Staging, is_small, join_checked, join_salted
-from loglens.sources.archives import (archive_errors, direct_rows, expand_archives, good_members, member_lines,
-                                      skip_unpacked, spread_archives)
+from loglens.sources.archives import archive_errors, direct_rows, good_members, member_lines, skip_unpacked
 from loglens.sources.lines import (WHOLE_BYTES, attach_splits, open_text, open_whole, place_splits, scan_text,
                                    scan_whole, split_stats, with_facts)
 from loglens.sources.listing import case_paths, list_cases, list_tree, qualify, read_directly, root_path
+from loglens.sources.parts import expand_in_parts
 from loglens.sources.tables import LogTable, ingest_report
 
 _DOC_FIELDS = CARRIED  # what a line takes over from its file
@@ -209,7 +209,8 @@ def _unpack(staging: Staging, tree: DataFrame, current: DataFrame):
     if found.isEmpty():
         return None, None
     archives = staging.table(skip_unpacked(found, tree.select(F.col("relpath").alias("path"))), "archives")
-    expanded = staging.table(expand_archives(spread_archives(archives)), "members")
+    named = is_log_name() | F.col("relpath").rlike(SIDECAR_PATTERN)
+    expanded = staging.table(expand_in_parts(archives, staging, named), "members")
     members = good_members(expanded)
     # Two archives may hold the same path; the one later in scan order is the one that stays.
     owners = members.groupBy("relpath").agg(F.min("archive").alias("archive"),

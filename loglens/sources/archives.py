@@ -105,10 +105,10 @@ def _read_tar(stream, target):
     if head == b"\x1f\x8b":
         _, stream = next(_read_gz(stream, target))
         stream.seek(0)
-    with tarfile.open(fileobj=stream, mode="r:*") as tar:
-        last = {_clean(m.name): m for m in tar.getmembers() if m.isreg() or m.islnk()}
-        for name, member in last.items():
-            yield f"{target}/{name}", tar.extractfile(member)
+    tar = tarfile.open(fileobj=stream, mode="r:*")      # not closed here: its members are read later
+    last = {_clean(m.name): m for m in tar.getmembers() if m.isreg() or m.islnk()}
+    for name, member in last.items():
+        yield f"{target}/{name}", tar.extractfile(member)
 
 
 def _read_zip(stream, target):
