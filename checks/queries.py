@@ -19,6 +19,7 @@ from checks.tables import DOC_FILES, doc_files, log_lines, spread, table, tokeni
 from loglens.session import Staging
 from loglens.sources import tables as TB
 from loglens.sources.archives import archive_errors, expand_archives, good_members, member_lines, skip_unpacked
+from loglens.sources.bundles import bundle_stream, bundle_tree, file_lines, numbered_lines
 from loglens.sources.catalogs import platform_options, version_options
 from loglens.sources.listing import existing_paths
 from loglens.sources.parts import expand_in_parts
@@ -594,6 +595,23 @@ def utf8_cut(spark, sf_dir):
     return member_stats(members).select("relpath", F.col("expected").alias("kept"))
 
 
+@check(f"""SELECT relpath, CAST(strlen(text) AS BIGINT) AS length, CAST({_KEPT_LINES} AS BIGINT) AS lines, CAST(1 AS BIGINT) AS listed,
+  CAST({_KEPT_LINES} AS BIGINT) AS streamed_lines FROM ({trees.ODD_NAMES.format(documents="documents")}) f""")
+def listed_files(spark, sf_dir):
+    """Files with hidden, codec-like, deep, odd and empty names: as a table with its lines, and as a stream with its lines."""
+    root, cores = trees.odd_tree(spark, sf_dir), spark.sparkContext.defaultParallelism
+    files = Staging(spark).table(bundle_tree(spark, root).where("NOT is_dir"), "files")
+    lines = numbered_lines(file_lines(files, range_bytes=8 << 10, tasks=4 * cores)).groupBy("relpath").agg(F.max("line_no").alias("lines"))
+    seen, out = root.removesuffix("/in") + "/seen", root.removesuffix("/in") + "/out"
+    stream = file_lines(bundle_stream(spark, root, lag_s=-3600), range_bytes=8 << 10, tasks=4 * cores)
+    (stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", seen).trigger(availableNow=True).start()
+     .awaitTermination())
+    streamed = spark.read.schema(stream.schema).parquet(out).groupBy("relpath").agg(F.count(F.lit(1)).alias("streamed_lines"))
+    listed = files.groupBy("relpath", "length").agg(F.count(F.lit(1)).alias("listed"))
+    return (listed.join(lines, "relpath", "left").join(streamed, "relpath", "left")
+            .select("relpath", "length", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("lines", "listed", "streamed_lines")]))
+
+
 _TREE_SQL = f"""
 WITH f AS (SELECT d.lang, v.* FROM ({FILES_SQL}) v JOIN documents d USING (doc_id)),
 l AS (SELECT *, CASE WHEN text LIKE '%' || chr(10) THEN left(text, length(text) - 1) ELSE text END AS body FROM f),

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks.tables import table
 from loglens.session import shared_dir
-from loglens.sources.listing import list_files, qualify
+from loglens.sources.listing import list_files, open_store, qualify
 
 
 def _tar(members: dict[str, bytes], mode: str = "w") -> bytes:
@@ -94,6 +94,22 @@ def bundled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(spark, bundles.mapInPandas(by_value(_bundle_batches), "relpath string, content binary"))
 
 
+ODD_NAMES = """
+SELECT doc_id, CAST(3000000000 + doc_id % 40 AS VARCHAR(20)) || CASE doc_id % 7 WHEN 0 THEN '/.hidden/' || CAST(doc_id AS VARCHAR(20)) || '.log'
+    WHEN 1 THEN '/_under/' || CAST(doc_id AS VARCHAR(20)) WHEN 2 THEN '/a/b/c/d/e/f/g/h/' || CAST(doc_id AS VARCHAR(20)) || '.bz2'
+    WHEN 3 THEN '/x y+%20=é ' || CAST(doc_id AS VARCHAR(20)) || '.log' WHEN 4 THEN '/empty/' || CAST(doc_id AS VARCHAR(20)) || '.log'
+    WHEN 5 THEN '/s/' || CAST(doc_id AS VARCHAR(20)) || '.snappy' ELSE '/p/' || CAST(doc_id AS VARCHAR(20)) || '.txt' END AS relpath,
+  CASE WHEN doc_id % 7 = 4 THEN '' ELSE text END AS text FROM {documents}"""
+
+
+def odd_tree(spark: SparkSession, sf_dir: str) -> str:
+    """Every document as a file whose name or content other readers may pass over; returns the directory."""
+    from loglens.session import ship_package
+    ship_package(spark)
+    files = spark.sql(ODD_NAMES.format(documents="{documents}"), documents=table(spark, sf_dir, "documents"))
+    return written(spark, files.select("relpath", F.col("text").cast("binary").alias("content")).repartition(spark.sparkContext.defaultParallelism))
+
+
 def spoiled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document gzipped; every third goes on after an undecodable line."""
     return _made(spark, sf_dir, by_value(_spoil_batches))
@@ -108,10 +124,9 @@ def by_value(function):
 
 
 def _write_batches(batches):
-    from pyarrow import fs
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
-            filesystem, name = fs.FileSystem.from_uri(path)
+            filesystem, name = open_store(path)
             filesystem.create_dir(name.rsplit("/", 1)[0], recursive=True)
             with filesystem.open_output_stream(name, compression=None) as out:
                 out.write(content)

@@ -67,6 +67,11 @@ def list_tree(spark: SparkSession, root: str, names: list[str] | None = None) ->
     asked = asked.repartition(max(1, min(len(names), 4 * spark.sparkContext.defaultParallelism)))
     ship_package(spark)
     listed = asked.mapInPandas(partial(_list, root=where), "relpath string, millis long, length long, is_dir boolean")
+    return with_uri(listed, where)
+
+
+def with_uri(listed: DataFrame, where: str) -> DataFrame:
+    """``schema.FILES`` and ``is_dir`` of listed ``(relpath, millis, length, is_dir)`` below the qualified directory ``where``."""
     return (listed.withColumn("uri", F.concat(F.lit(quote(f"{where}/", safe="/:@")), F.replace(F.url_encode("relpath"), F.lit("%2F"), F.lit("/"))))
             .withColumn("uri", F.replace("uri", F.lit("+"), F.lit("%20")))
             .withColumn("mtime", F.timestamp_millis("millis")).withColumn("is_archive", is_archive("relpath"))
