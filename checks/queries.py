@@ -1,5 +1,8 @@
 """One query per operator, over whole check tables, with the SQL that must give the same rows."""
 
+import re
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import trees, views as V
@@ -9,7 +12,7 @@ from loglens.functions.predicates import in_window, is_log_name
 from loglens.functions.text import tokenize
 from loglens.operators import ledger as L
 from loglens.operators.documents import line_documents
-from loglens.operators.order import pending_after, scan_order
+from loglens.operators.order import pending_after, scan_order, scan_ranks as ranked_by_scan
 from loglens.operators.relevance import mentions_token, relevant_files
 from loglens.operators.scope import resolve_scope, sidecar_fields
 from loglens.plans import occurrence as O
@@ -21,7 +24,7 @@ from loglens.sources import tables as TB
 from loglens.sources.archives import archive_errors, expand_archives, good_members, member_lines, skip_unpacked
 from loglens.sources.bundles import bundle_stream, bundle_tree, file_lines, numbered_lines
 from loglens.sources.catalogs import platform_options, version_options
-from loglens.sources.listing import existing_paths
+from loglens.sources.listing import existing_paths, list_tree, only_case_files
 from loglens.sources.parts import expand_in_parts
 from loglens.streaming.ingest import stream_ingest
 from loglens.streaming.occurrences import saved_snippets, stream_occurrences
@@ -503,6 +506,55 @@ def files_in_scan_order(spark, sf_dir):
     return scan_order(paths)
 
 
+@check(f"""SELECT relpath, row_number() OVER (ORDER BY relpath || '/' DESC) AS rank FROM (
+  SELECT DISTINCT path AS relpath FROM ({plain(V.PAGE_PATHS)}) p) x""")
+def scan_ranks(spark, sf_dir):
+    """The place of every path in scan order."""
+    paths = view(spark, sf_dir, V.PAGE_PATHS).select(F.col("path").alias("relpath")).distinct()
+    return ranked_by_scan(paths, Staging(spark))
+
+
+def _case_of(records: str) -> str:
+    return f"""WITH r AS (SELECT * FROM ({plain(V.SCAN_RECORDS)}) s WHERE {records} ORDER BY seq DESC LIMIT 1)
+SELECT CASE WHEN last_path = '' THEN least(stop, SAFE - 1) ELSE start END AS start,
+  CASE WHEN last_path = '' THEN CAST(SAFE AS BIGINT) ELSE stop END AS stop, last_path FROM r"""
+
+
+# What the ledger ends with, which records it holds then, and up to when it is safe to scan (the time less the lag).
+_LEDGERS = [("no record", "seq < 0", 1000 - 360), ("complete", "last_path = ''", 10 ** 9 - 360), ("complete, stop is not safe yet", "last_path = ''", 200 - 360),
+            ("incomplete", "last_path <> ''", 10 ** 9 - 360), ("incomplete, stop is not safe yet", "last_path <> ''", 200 - 360)]
+
+
+@check(f"""SELECT 'no record' AS ledger, CAST({S.FIRST_WINDOW_START} AS BIGINT) AS start, CAST(640 AS BIGINT) AS stop, '' AS last_path
+""" + "".join(f"UNION ALL SELECT '{name}', * FROM ({_case_of(records).replace('SAFE', str(safe))})\n" for name, records, safe in _LEDGERS[1:]))
+def next_windows(spark, sf_dir):
+    """The next window after every kind of ledger, some minutes back from now."""
+    records = view(spark, sf_dir, V.SCAN_RECORDS)
+    windows = [L.next_window(records.where(which), F.lit(safe + S.SAFETY_LAG_S) - S.SAFETY_LAG_S).withColumn("ledger", F.lit(name))
+               for name, which, safe in _LEDGERS]
+    return reduce(DataFrame.unionByName, windows).select("ledger", "start", "stop", "last_path")
+
+
+_TOPS = """SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN '2000000001/a/b.log' WHEN 1 THEN '12345/a.log' WHEN 2 THEN 'x2000000001/a.log'
+  WHEN 3 THEN '20000000012/a.log' ELSE '2000000001' END AS relpath FROM {documents}"""
+
+
+@check(f"SELECT * FROM ({_TOPS.format(documents='documents')}) t WHERE doc_id % 5 = 0")
+def case_directories(spark, sf_dir):
+    """Files that lie in a directory named by ten digits."""
+    return only_case_files(view(spark, sf_dir, _TOPS))
+
+
+_ASKED = """SELECT conv_id * 1000 + turn AS query_id, CASE WHEN turn % 3 = 0 THEN '' WHEN turn % 5 = 1 THEN NULL ELSE text END AS log_text
+FROM {conversations}"""
+
+
+@check(f"SELECT query_id, 'log text is required' AS reason FROM ({_ASKED.format(conversations='conversations')}) a WHERE coalesce(log_text, '') = ''")
+def snippet_required(spark, sf_dir):
+    """Requests that can't be answered for want of a snippet."""
+    return O.refused_requests(view(spark, sf_dir, _ASKED))
+
+
 _CURSOR = "/m.thermint.example.net/en"
 
 
@@ -552,9 +604,12 @@ def _member_sql(kind: int, archive: str, member: str) -> str:
   CAST({_KEPT_LINES} AS BIGINT) AS lines FROM documents WHERE doc_id % 6 = {kind}"""
 
 
-@check(union_sql(_member_sql(0, ".log.gz", ".log"), _member_sql(1, ".tar", "/d/x.log"), _member_sql(1, ".tar", "/n/inner.txt"),
-                 _member_sql(2, ".tgz", "/x.log"), _member_sql(3, ".zip", "/one.log"), _member_sql(3, ".zip", "/sub/two.log"),
-                 _member_sql(4, ".log.zip", ".log")))
+_PACKED = [_member_sql(0, ".log.gz", ".log"), _member_sql(1, ".tar", "/d/x.log"), _member_sql(1, ".tar", "/n/inner.txt"),
+           _member_sql(2, ".tgz", "/x.log"), _member_sql(3, ".zip", "/one.log"), _member_sql(3, ".zip", "/sub/two.log"),
+           _member_sql(4, ".log.zip", ".log")]
+
+
+@check(union_sql(*_PACKED))
 def archive_members(spark, sf_dir):
     packed = trees.stored(spark, trees.packed_documents(spark, sf_dir))
     return _members_of(expand_in_parts(packed, Staging(spark)))
@@ -575,6 +630,31 @@ def unreadable_archives(spark, sf_dir):
     return errors.select("archive", F.substring_index("error", ":", 1).alias("error"))
 
 
+def _member_times_sql(sql: str) -> str:
+    return re.sub(r"CAST\(strlen.*?AS lines", "doc_id AS seconds", sql, flags=re.S)
+
+
+@check(union_sql(*map(_member_times_sql, _PACKED)))
+def member_times(spark, sf_dir):
+    """Members carry the time of the outermost archive."""
+    made = F.timestamp_seconds(F.regexp_extract("relpath", r"^a(\d+)", 1).cast("bigint"))
+    members = good_members(expand_archives(trees.packed_documents(spark, sf_dir).withColumn("mtime", made)))
+    return members.groupBy("archive", "relpath").agg(F.max(F.unix_seconds("mtime")).alias("seconds"))
+
+
+def _member_letters_sql(sql: str) -> str:
+    return re.sub(r"CAST\(strlen.*?AS lines", "CAST(strlen(text) - strlen(replace(text, 'e', '')) AS BIGINT) AS letters", sql, flags=re.S)
+
+
+@check(union_sql(*map(_member_letters_sql, _PACKED)))
+def member_callback(spark, sf_dir):
+    """A function of the caller's that every member goes through."""
+    def letters(members: DataFrame) -> DataFrame:
+        text = F.col("content").cast("string")
+        return members.groupBy("archive", "relpath").agg(F.sum(F.octet_length(text) - F.octet_length(F.replace(text, F.lit("e"), F.lit("")))).cast("bigint").alias("letters"))
+    return good_members(expand_archives(trees.packed_documents(spark, sf_dir))).transform(letters)
+
+
 _BUNDLE = "'b' || CAST(doc_id // 64 AS VARCHAR)"
 _BUNDLE_EXT = "CASE (doc_id // 64) % 3 WHEN 2 THEN '.tar' ELSE '.zip' END"
 
@@ -612,6 +692,29 @@ def listed_files(spark, sf_dir):
             .select("relpath", "length", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("lines", "listed", "streamed_lines")]))
 
 
+_BODY = "CASE WHEN text LIKE '%' || chr(10) THEN left(text, length(text) - 1) ELSE text END"
+
+
+@check(f"""SELECT relpath, CAST(line_no AS BIGINT) AS line_no, line AS value FROM (
+  SELECT relpath, unnest(string_split(body, chr(10))) AS line, generate_subscripts(string_split(body, chr(10)), 1) AS line_no
+  FROM (SELECT relpath, {_BODY} AS body FROM ({trees.ODD_NAMES.format(documents="documents")}) f WHERE text <> '') b) l""")
+def split_lines(spark, sf_dir):
+    """Every line of files that are read in ranges of a few kilobytes, with its number."""
+    files = bundle_tree(spark, trees.odd_tree(spark, sf_dir)).where("NOT is_dir")
+    lines = file_lines(files, range_bytes=4 << 10, tasks=4 * spark.sparkContext.defaultParallelism)
+    return numbered_lines(Staging(spark).table(lines, "lines"))
+
+
+@check("SELECT CAST(count(*) AS BIGINT) AS docs, true AS bytes_of_files FROM events")
+def stored_size(spark, sf_dir):
+    """Documents of a stored table, and whether its bytes are those of its data files."""
+    where = f"{Staging(spark).path}/events"
+    table(spark, sf_dir, "events").write.parquet(where)
+    stored = list_tree(spark, where).where("relpath LIKE '%.parquet' AND NOT startswith(relpath, '.')").agg(F.sum("length").alias("stored"))
+    stats = TB.table_stats(spark.read.parquet(where), where)
+    return stats.join(stored).select("docs", (F.col("bytes") == F.col("stored")).alias("bytes_of_files"))
+
+
 _TREE_SQL = f"""
 WITH f AS (SELECT d.lang, v.* FROM ({FILES_SQL}) v JOIN documents d USING (doc_id)),
 l AS (SELECT *, CASE WHEN text LIKE '%' || chr(10) THEN left(text, length(text) - 1) ELSE text END AS body FROM f),
@@ -647,6 +750,19 @@ def ingest_tree(spark, sf_dir):
     return _tree_summary(TB.LogTable(spark, store).current_lines())
 
 
+@check(_TREE_SQL)
+def interrupted_ingest(spark, sf_dir):
+    """Ingest that is stopped after every few cases, and taken up again until its window is done."""
+    root = _tree(spark, sf_dir)
+    store, runs = root.removesuffix("/in") + "/store", []
+    while not runs or not runs[-1].complete:
+        left = iter([False, True])
+        runs.append(ingest(spark, root, store, lag_s=-3600, cases_per_batch=18, should_stop=lambda: next(left)))
+    if len({(r.start, r.stop) for r in runs}) != 1 or len(runs) != 4:
+        raise ValueError(f"the window of an interrupted ingest should stay: {runs}")
+    return _tree_summary(TB.LogTable(spark, store).current_lines())
+
+
 @check(_TREE_SQL)
 def ingest_stream(spark, sf_dir):
     root = _tree(spark, sf_dir)

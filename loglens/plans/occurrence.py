@@ -16,6 +16,7 @@ from loglens.session import cut, every_salt, is_small, salt_of
 
 # Each broadcast row below also holds the words of one snippet.
 BROADCAST_SNIPPETS = 20_000
+TEXT_REQUIRED = "log text is required"
 
 
 def version_key(by: str = "major") -> Column:
@@ -37,7 +38,7 @@ def filter_lines(lines: DataFrame, version: str | None = S.ALL_VERSIONS,
 def line_hit(lines: DataFrame, text: str, pct: int = S.MATCH_PERCENT) -> Column:
     """Whether a line is similar to ``text``; reads the stored tokens where there are any."""
     if not text:
-        raise ValueError("log text is required")
+        raise ValueError(TEXT_REQUIRED)
     stored = "tokens" if "tokens" in lines.columns else None
     return similar_to(lines.sparkSession, text, pct, tokens=stored)
 
@@ -141,6 +142,11 @@ def nodes_without_match(lines: DataFrame, text: str, version: str | None = S.ALL
             .where(~F.col("hit")).select("node_name"))
 
 
+def refused_requests(requests: DataFrame) -> DataFrame:
+    """``(query_id, reason)`` of requests that ``occurrences`` raises for; ``occurrences_batch`` finds no similar line for them."""
+    return requests.where(F.coalesce("log_text", F.lit("")) == "").select("query_id", F.lit(TEXT_REQUIRED).alias("reason"))
+
+
 # --- many snippets at once ---------------------------------------------------------------------------
 
 
