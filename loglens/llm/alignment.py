@@ -22,6 +22,7 @@ import hashlib
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import cache
 from itertools import count
 
 import numpy as np
@@ -33,12 +34,12 @@ from pyspark.sql import DataFrame, functions as F
 from loglens.llm.common import on_executors, runs
 from loglens.session import Staging
 
-# Characters of texts that are aligned together: some 50 MB of links.
-RUN_CHARS = 4_000_000
+# Characters of texts that are aligned together: some 20 MB of links.
+RUN_CHARS = 2_000_000
 # Characters of texts whose pairs are counted in one place, before Spark adds the counts up.
-SHEET_CHARS = 32_000_000
+SHEET_CHARS = 8_000_000
 # Characters of spans whose tokens one worker keeps from run to run; beyond that it starts over.
-KEPT_CHARS = 6_000_000
+KEPT_CHARS = 2_000_000
 # Groups of more links have equal tokens counted before these are joined.
 MANY_LINKS = 64
 # Documents that are looked up in their sheet's counts together.
@@ -141,6 +142,12 @@ class Tokenizers:
         return [pc.take(x, at) for x in self.lists]
 
 
+@cache
+def _tokenizers(paths: tuple[str, str]) -> Tokenizers:
+    """One pair a worker, however many tasks it runs."""
+    return Tokenizers(paths)
+
+
 def _starts(lists: pa.ListArray) -> np.ndarray:
     return np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy()))
 
@@ -157,12 +164,13 @@ def _whole(lists: pa.ListArray, pieces: pa.Array, texts: list[bytes]) -> np.ndar
 
 
 def _ends(lists: pa.ListArray, pieces: pa.Array) -> pa.Table:
-    """Each token with its span, its id and where it ends in its span."""
+    """Each token with its span, its id, and where it ends: its span's number and the bytes of the span up to there."""
     flat, span = lists.flatten(), pc.list_parent_indices(lists)
     running = pc.cumulative_sum(pc.cast(pc.binary_length(pc.take(pieces, flat)), pa.int64()))
     before = np.append(0, running.to_numpy())[_starts(lists)[:-1]]
-    end = pc.subtract(running, pc.take(pa.array(before), span))
-    return pa.table({"span": pc.cast(span, pa.int64()), "end": end, "id": flat, "at": np.arange(len(flat))})
+    span = pc.cast(span, pa.int64())
+    end = pc.add(pc.shift_left(span, 32), pc.subtract(running, pc.take(pa.array(before), span)))
+    return pa.table({"span": span, "end": end, "id": flat, "at": np.arange(len(flat))})
 
 
 def _groups(tokens: pa.Table, at: pa.ChunkedArray) -> np.ndarray:
@@ -183,8 +191,8 @@ class Aligned:
             empty = pa.scalar([], a.type)
             a, b = (pc.if_else(pa.array(self.good), x, empty) for x in (a, b))
         n, tokens_a, tokens_b = len(texts), _ends(a, first.pieces), _ends(b, second.pieces)
-        common = tokens_a.select(["span", "end", "at"]).join(tokens_b.select(["span", "end", "at"]), ["span", "end"], join_type="inner",
-                                                             right_suffix="_b", use_threads=False)
+        common = tokens_a.select(["end", "at"]).join(tokens_b.select(["end", "at"]), "end", join_type="inner", right_suffix="_b",
+                                                     use_threads=False)
         group_a, group_b = _groups(tokens_a, common["at"]), _groups(tokens_b, common["at_b"])
         count = len(common)
         in_a, in_b = np.bincount(group_a, minlength=count), np.bincount(group_b, minlength=count)
@@ -247,9 +255,11 @@ def _run(rows: pd.DataFrame, sheet: int, tokenizers: Tokenizers) -> tuple[pd.Dat
     doc, codes, times = (pairs[c].to_numpy() for c in ("doc", "code", "times_sum"))
     cut = np.searchsorted(doc, np.arange(n + 1))
     packed = lambda x, kind: [x[a:b].astype(kind).tobytes() for a, b in zip(cut[:-1], cut[1:])]
+    small, large = packed(np.minimum(times, 255), "<u1"), packed(times, "<i8")
+    times = [x if b"\xff" not in x else y for x, y in zip(small, large)]
     out = pd.DataFrame({"sheet": sheet, "doc_id": rows["doc_id"].astype("Int64").array, "n_a": summed(aligned.n_a), "n_b": summed(aligned.n_b),
                         "n_groups": summed(aligned.n_groups), "n_links": summed(aligned.n_links), "groups_sha256": pd.Series(sha, dtype=object),
-                        "codes": packed(codes, "<u4"), "times": packed(times, "<i8"), "code": pd.array([None] * n, "Int64"),
+                        "codes": packed(codes, "<u4"), "times": times, "code": pd.array([None] * n, "Int64"),
                         "docs": pd.array([None] * n, "Int64")})
     return out, pa.table({"code": codes}).group_by("code", use_threads=False).aggregate([([], "count_all")]).rename_columns(["code", "docs"])
 
@@ -261,7 +271,7 @@ def _added(counts: list[pa.Table]) -> pa.Table:
 def _sheets(batches: Iterator[pd.DataFrame], paths: tuple[str, str], sheet_chars: int) -> Iterator[pd.DataFrame]:
     """Documents in sheets, and after each sheet its pairs with their counts."""
     from pyspark import TaskContext
-    tokenizers = Tokenizers(paths)
+    tokenizers = _tokenizers(paths)
     sheet, chars, counts = TaskContext.get().partitionId() << 32, 0, []
 
     def counted() -> pd.DataFrame:
@@ -273,6 +283,7 @@ def _sheets(batches: Iterator[pd.DataFrame], paths: tuple[str, str], sheet_chars
         docs, part = _run(rows, sheet, tokenizers)
         yield docs
         counts = [_added([*counts, part])]
+        pa.default_memory_pool().release_unused()
         chars += int(rows["text"].str.len().sum())
         if chars >= sheet_chars:
             yield counted()
@@ -284,6 +295,11 @@ def _sheets(batches: Iterator[pd.DataFrame], paths: tuple[str, str], sheet_chars
 _COLUMNS = [f.split()[0] for f in FIELDS.split(", ")]
 
 
+def _unpacked(times: bytes, n: int) -> np.ndarray:
+    """Times of ``n`` pairs: a byte each, or eight where one would not do for all."""
+    return np.frombuffer(times, "<u1" if len(times) == n else "<i8").astype(np.int64)
+
+
 def _looked_up(batches: Iterator[pd.DataFrame], highest, width: int) -> Iterator[pd.DataFrame]:
     """Sums over the links of documents. Rows arrive sheet by sheet, its pairs first and in order."""
     sheet, codes, counts, parts = None, None, None, []
@@ -301,7 +317,7 @@ def _looked_up(batches: Iterator[pd.DataFrame], highest, width: int) -> Iterator
             for start in range(0, len(rows), DOCS_AT_ONCE):
                 docs = rows.iloc[start:start + DOCS_AT_ONCE]
                 held = np.frombuffer(b"".join(docs["codes"]), "<u4").astype(np.int64)
-                times = np.frombuffer(b"".join(docs["times"]), "<i8")
+                times = np.concatenate([_unpacked(t, len(c) // 4) for t, c in zip(docs["times"], docs["codes"])])
                 count = counts[np.searchsorted(codes, held)]
                 best = np.where(count == highest.value[held // width], times, 0)
                 cut = np.append(0, np.cumsum(docs["codes"].str.len().to_numpy() // 4))
