@@ -1,6 +1,7 @@
 """One query per operator, over whole check tables, with the SQL that must give the same rows."""
 
 import re
+import time
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -26,8 +27,8 @@ from loglens.sources.bundles import bundle_stream, bundle_tree, file_lines, numb
 from loglens.sources.catalogs import platform_options, version_options
 from loglens.sources.listing import existing_paths, list_tree, only_case_files
 from loglens.sources.parts import expand_in_parts
-from loglens.streaming.ingest import stream_ingest
 from loglens.streaming.occurrences import saved_snippets, stream_occurrences
+from loglens.streaming.scopes import stream_scoped_ingest
 
 QUERIES, SQL = {}, {}
 TABLES = ("documents", "events", "conversations", "pages", "benchmark")
@@ -729,9 +730,13 @@ SELECT case_num AS "case", node_name, CASE WHEN node_name = 'Unknown' THEN 'Unkn
 FROM k GROUP BY ALL"""
 
 
-def _tree(spark, sf_dir):
+def _tree_files(spark, sf_dir):
     files = doc_files(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
-    return trees.write_tree(spark, files.select("doc_id", "case_num", "grid_id", "node_name", "lang", "text"))
+    return files.select("doc_id", "case_num", "grid_id", "node_name", "lang", "text")
+
+
+def _tree(spark, sf_dir):
+    return trees.write_tree(spark, _tree_files(spark, sf_dir))
 
 
 def _tree_summary(lines: DataFrame) -> DataFrame:
@@ -765,9 +770,15 @@ def interrupted_ingest(spark, sf_dir):
 
 @check(_TREE_SQL)
 def ingest_stream(spark, sf_dir):
-    root = _tree(spark, sf_dir)
+    """The tree as it comes in: first logs and archives, then version sidecars, then markers and platform sidecars."""
+    files, base = Staging(spark).table(trees.tree_files(spark, _tree_files(spark, sf_dir)), "files"), P.base_name("relpath")
+    root = trees.written(spark, files.where(~base.isin(S.MARKER_FILE, S.VERSION_SIDECAR, "user_data")))
     store, seen = root.removesuffix("/in") + "/store", root.removesuffix("/in") + "/seen"
-    stream_ingest(spark, root, store, seen).awaitTermination()
+    for part in ((), (S.VERSION_SIDECAR,), (S.MARKER_FILE, "user_data")):
+        if part:
+            trees.written(spark, files.where(base.isin(*part)), root)
+        time.sleep(1.5)                                     # a window ends at the last full second
+        stream_scoped_ingest(spark, root, store, seen, lag_s=0).awaitTermination()
     return _tree_summary(TB.LogTable(spark, store).current_lines())
 
 

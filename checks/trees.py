@@ -160,20 +160,24 @@ def _tree_batches(batches):
         yield pd.DataFrame({"relpath": [r[0] for r in rows], "content": [r[1] for r in rows]})
 
 
-def write_tree(spark: SparkSession, files: DataFrame) -> str:
-    """Write the documents of ``DOC_FILES`` as a tree of support bundles; returns its root."""
+def tree_files(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """Files of a tree of support bundles that holds the documents of ``DOC_FILES``."""
     by_value(_tree_batches)
-    made = (files.repartition(spark.sparkContext.defaultParallelism)
+    return (files.repartition(spark.sparkContext.defaultParallelism)
             .mapInPandas(_tree_batches, "relpath string, content binary")
             .groupBy("relpath").agg(F.max("content").alias("content")))
-    return written(spark, made)
 
 
-def written(spark: SparkSession, files: DataFrame) -> str:
-    """Write ``files`` (``relpath``, ``content``) to a new directory in the shared folder; returns the directory."""
+def write_tree(spark: SparkSession, files: DataFrame) -> str:
+    """Write the documents of ``DOC_FILES`` as a tree of support bundles; returns its root."""
+    return written(spark, tree_files(spark, files))
+
+
+def written(spark: SparkSession, files: DataFrame, root: str | None = None) -> str:
+    """Write ``files`` (``relpath``, ``content``) to a directory, by default a new one in the shared folder; returns it."""
     import uuid
     by_value(_write_batches)
-    root = f"{shared_dir(spark)}/loglens-tree-{uuid.uuid4().hex}/in"
+    root = root or f"{shared_dir(spark)}/loglens-tree-{uuid.uuid4().hex}/in"
     uri = re.sub("^file:/+", "file:///", qualify(spark, root))
     paths = files.select(F.concat(F.lit(f"{uri}/"), "relpath").alias("path"), "content")
     paths.mapInPandas(_write_batches, "written long").agg(F.sum("written")).collect()

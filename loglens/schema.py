@@ -118,6 +118,12 @@ INGEST_REPORT = _schema("relpath STRING, `case` STRING, categorize_time TIMESTAM
 
 ARCHIVE_ERRORS = _schema("archive STRING, error STRING")
 
+# Batches of a stream that keeps scopes begin with this; only they have corrections.
+SCOPED_BATCH = "s"
+
+CORRECTIONS = _schema("dir STRING, node_name STRING, grid_id STRING, time_span STRING, category STRING, platform STRING, "
+                      "major_version INT, minor_version INT, categorize_time TIMESTAMP")
+
 LEDGER = _schema("seq BIGINT, start BIGINT, stop BIGINT, input_dir STRING, last_path STRING, "
                  "`case` STRING, batch STRING")
 

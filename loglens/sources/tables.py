@@ -8,7 +8,7 @@ file is current follows from the report, one row per file and batch.
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from loglens import schema as S
-from loglens.functions.paths import _col
+from loglens.functions.paths import _col, dir_name
 from loglens.operators.ledger import Ledger
 from loglens.session import join_checked
 
@@ -100,6 +100,22 @@ class LogTable:
     def errors(self) -> DataFrame:
         return self.read("errors", S.ARCHIVE_ERRORS)
 
+    def corrections(self) -> DataFrame:
+        """Fields that directories were given after lines of theirs were stored, with the time of each."""
+        batches = [b for b in self.ledger.batches() if b.startswith(S.SCOPED_BATCH)]
+        return self.read("scopes", S.CORRECTIONS, batches)
+
+    def _corrected(self, lines: DataFrame) -> DataFrame:
+        """``lines`` with the latest fields of their directories, where these came after the lines."""
+        rows = self.corrections()
+        newest = F.max_by(F.struct("categorize_time", *S.SCOPE_FIELDS), F.struct("categorize_time", "batch")).alias("_new")
+        latest = rows.groupBy(F.col("dir").alias("_dir")).agg(newest)
+        if latest.isEmpty():
+            return lines
+        met = join_checked(lines.withColumn("_dir", dir_name("relpath")), latest, "_dir", "left")
+        newer = F.col("_new.categorize_time") > F.col("categorize_time")
+        return met.withColumns({n: F.when(newer, F.col(f"_new.{n}")).otherwise(F.col(n)) for n in S.SCOPE_FIELDS}).drop("_dir", "_new")
+
     def current_lines(self, mode: str = "file") -> DataFrame:
         """Lines in force.
 
@@ -108,13 +124,13 @@ class LogTable:
         """
         lines = self.all_lines()
         if mode == "upsert":
-            return latest_documents(lines).select(*[f"`{n}`" for n in S.LOG_LINES.names])
+            return self._corrected(latest_documents(lines)).select(*[f"`{n}`" for n in S.LOG_LINES.names])
         if mode != "file":
             raise ValueError(f"unknown mode {mode!r}")
         old = superseded_files(self.report())
         if not old.isEmpty():
             lines = join_checked(lines, old, ["relpath", "batch"], "left_anti")
-        return lines.select(*[f"`{n}`" for n in S.LOG_LINES.names])
+        return self._corrected(lines).select(*[f"`{n}`" for n in S.LOG_LINES.names])
 
     def compact(self, path: str, partitions: int | None = None) -> None:
         """Write the lines in force to a new directory, clustered by version for file pruning."""
