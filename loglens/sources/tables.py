@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from loglens import schema as S
 from loglens.functions.paths import _col, dir_name
 from loglens.operators.ledger import Ledger
-from loglens.session import join_checked
+from loglens.session import cut, is_small, join_checked
 
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
@@ -21,10 +21,21 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
 
 
 def latest_documents(lines: DataFrame, key: str = "doc_id", at: str = "categorize_time") -> DataFrame:
-    """Latest document of every id: a re-sent id overwrites, ids not sent again stay."""
-    names = lines.columns
-    newest = F.max_by(F.struct(*[f"`{n}`" for n in names]), F.col(at)).alias("newest")
-    return lines.groupBy(F.col(key).alias("_key")).agg(newest).select("newest.*")
+    """Latest document of every id: a re-sent id overwrites, ids not sent again stay. Of several at the same time one stays.
+
+    Only ids and times are shuffled to find the ids that were sent again. If these were counted and are few, documents of other ids
+    stay where they are, and of the re-sent ones only the latest are shuffled.
+    """
+    names = [F.col(f"`{n}`") for n in lines.columns]
+    sent = lines.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_times"), F.max(at).alias("_at"))
+    again = cut(sent.where("_times > 1").select("_key", "_at", F.lit(True).alias("_again")))
+    if not is_small(again):
+        newest = F.max_by(F.struct(*names), F.col(at)).alias("newest")
+        return lines.groupBy(F.col(key).alias("_key")).agg(newest).select("newest.*")
+    met = lines.join(F.broadcast(again), F.col(key).eqNullSafe(F.col("_key")), "left")
+    resent = F.coalesce("_again", F.lit(False))
+    latest = met.where(resent & F.col(at).eqNullSafe(F.col("_at"))).dropDuplicates([key])
+    return met.where(~resent).select(*names).unionByName(latest.select(*names))
 
 
 def superseded_files(report: DataFrame) -> DataFrame:
@@ -124,14 +135,23 @@ class LogTable:
         """
         lines = self.all_lines()
         if mode == "upsert":
-            return self._corrected(latest_documents(lines)).select(*[f"`{n}`" for n in S.LOG_LINES.names])
+            return self._corrected(self._upserted(lines)).select(*[f"`{n}`" for n in S.LOG_LINES.names])
         if mode != "file":
             raise ValueError(f"unknown mode {mode!r}")
-        old = superseded_files(self.report())
+        old = cut(superseded_files(self.report()))          # small, and looked at more than once
         if not old.isEmpty():
             lines = join_checked(lines, old, ["relpath", "batch"], "left_anti")
         return self._corrected(lines).select(*[f"`{n}`" for n in S.LOG_LINES.names])
 
+    def _upserted(self, lines: DataFrame) -> DataFrame:
+        """Latest line of every id. Lines of files that were ingested once can't have been sent again."""
+        report = self.report()
+        again = cut(report.groupBy("relpath").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("relpath"))
+        if again.isEmpty():
+            return lines
+        latest = latest_documents(join_checked(lines, again, "relpath", "left_semi"))
+        return join_checked(lines, again, "relpath", "left_anti").unionByName(latest)
+
     def compact(self, path: str, partitions: int | None = None) -> None:
         """Write the lines in force to a new directory, clustered by version for file pruning."""
         lines = self.current_lines()
