@@ -207,3 +207,25 @@ def test_split_files_are_numbered_in_ingest(spark, tree, monkeypatch):
     lines = LogTable(spark, table).current_lines()
     assert lines.count() == 4520 == lines.select("doc_id").distinct().count()
     assert lines.where(F.col("message") != F.concat(F.lit("line "), F.col("line_no").cast("string"))).count() == 0
+
+
+def test_names_that_readers_pass_over_and_archives_beside_their_content(spark, tree):
+    root, table, add = tree
+    case = "1234567890/bycast"
+    add(f"{case}/syslog.gz", gzip.compress(b"packed syslog\n"))
+    add(f"{case}/messages", "plain messages\n")
+    add(f"{case}/messages.gz", gzip.compress(b"never\n"))             # already there without its ending
+    add(f"{case}/broken.zip", "bycast but no zip")
+    add(f"{case}/half.zip", zipped({"x.log": b"bycast\n" * 50})[:60])
+    add(f"{case}/.hidden/.x.log", "hidden\n")
+    add(f"{case}/_under/y.txt", "under\n")
+    add(f"{case}/empty.log", "")
+    add(f"{case}/z.bz2/inside.log", "in a directory\n")
+    add(f"{case}/syslog.bz2", "bytes as they are\n")                  # the stem decides, not the ending
+    ingest(spark, root, table, now=LATER)
+    assert [(p.removeprefix(f"{case}/"), m) for p, _, m in contents(spark, table)] == sorted([
+        ("syslog", "packed syslog"), ("messages", "plain messages"), (".hidden/.x.log", "hidden"), ("_under/y.txt", "under"),
+        ("z.bz2/inside.log", "in a directory"), ("syslog.bz2", "bytes as they are")])
+    store = LogTable(spark, table)
+    assert {r.archive.removeprefix(f"{case}/") for r in store.errors().collect()} == {"broken.zip", "half.zip"}
+    assert {(r.relpath.removeprefix(f"{case}/"), r.lines, r.ok) for r in store.report().where("lines = 0").collect()} == {("empty.log", 0, True)}
