@@ -4,11 +4,11 @@ Both tokenizers cut a space and the text into tokens of bytes; where tokens of b
 one that share a group with a token of the other are linked. A pair of ids counts the documents that hold it linked.
 
 Neither tokenizer has a token that runs on over a space behind a character that isn't white space (but for the sign by which
-pieces write a space; texts that hold it can't be given back). So texts are cut there into spans, and each distinct span of
-a run of texts is tokenized and aligned once. Alignment is done on Arrow arrays: the
+pieces write a space; texts that hold it can't be given back). So texts are cut there into spans, and each distinct span is
+tokenized and aligned once, as long as a worker keeps it. Alignment is done on Arrow arrays: the
 tokens of all spans are flattened with their parents' numbers, running sums of their bytes within each span give the ends,
 a hash join on (span, end) finds those both have, running sums over these number the groups, and a join on groups gives
-the links. Documents are lists of spans that are joined to the links of these. Pairs are counted by Table.group_by
+the links. Documents are lists of spans, and their links those of these. Pairs are counted by Table.group_by
 for a sheet of texts in one place; Spark adds up the sheets' counts, and each sheet gets back those of its own pairs. Only
 the highest count of each id of the first tokenizer is sent to all tasks, an array as long as its vocabulary.
 
@@ -38,8 +38,8 @@ from loglens.session import Staging
 RUN_CHARS = 2_000_000
 # Characters of texts whose pairs are counted in one place, before Spark adds the counts up.
 SHEET_CHARS = 8_000_000
-# Characters of spans whose tokens one worker keeps from run to run; beyond that it starts over.
-KEPT_CHARS = 2_000_000
+# Characters of spans that one worker keeps aligned from run to run; beyond that it starts over.
+KEPT_CHARS = 4_000_000
 # Groups of more links have equal tokens counted before these are joined.
 MANY_LINKS = 64
 # Documents that are looked up in their sheet's counts together.
@@ -73,31 +73,33 @@ def spans(text: str) -> list[str]:
 
 
 class ByteLevel:
-    """A byte-level BPE: ids of spans, and the bytes of each id."""
+    """A byte-level BPE: ids of spans, and the bytes of each id. The vocabulary is the file's; its ids are in order of merging."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        import json
+        import public_tokenizers
+        import tiktoken
+        with open(path, encoding="utf-8") as file:
+            data = json.load(file)
+        special = {t["id"]: t["content"].encode() for t in data["added_tokens"] if t["special"]}
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]       # bytes that stand for themselves
         other = [b for b in range(256) if b not in plain]
         byte_of = {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(other)}
-        pieces = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
-        self.pieces = pa.array([bytes(byte_of[c] for c in p) if set(p) <= byte_of.keys() else p.encode() for p in pieces], pa.binary())
-        self.between, = self._batch(["\n"])[0].as_py()
-
-    def _batch(self, texts: list[str]) -> pa.ListArray:
-        return pa.array([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)], pa.list_(pa.int32()))
+        ranks = {bytes(map(byte_of.__getitem__, token)): i for token, i in data["model"]["vocab"].items() if i not in special}
+        of_id = special | {i: token for token, i in ranks.items()}
+        self.pieces = pa.array([of_id.get(i, b"") for i in range(max(of_id) + 1)], pa.binary())
+        self.model = tiktoken.Encoding("first", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.between, = self.model.encode_ordinary("\n")
 
     def ids(self, spans: list[str]) -> pa.ListArray:
         """Spans without more white space are encoded as one text of a line each: a line end before a space is one token."""
         plain = [i for i, s in enumerate(spans) if s and not _SPACE.search(s)]
         rest = sorted(set(range(len(spans))) - set(plain))
-        flat = self._batch([" " + "\n ".join([spans[i] for i in plain])]).flatten().to_numpy() if plain else np.zeros(0, np.int32)
+        flat = self.model.encode_to_numpy(" " + "\n ".join([spans[i] for i in plain])) if plain else np.zeros(0, np.int32)
         ends = np.flatnonzero(flat == self.between)
         starts = np.concatenate([[0], ends - np.arange(len(ends)), [len(flat) - len(ends)]])[:len(plain) + 1]
-        lists = [pa.ListArray.from_arrays(starts.astype(np.int32), pa.array(flat[flat != self.between], pa.int32())),
-                 self._batch([" " + spans[i] for i in rest])]
+        lists = [pa.ListArray.from_arrays(starts.astype(np.int32), pa.array(flat[flat != self.between].astype(np.int32))),
+                 pa.array([self.model.encode_ordinary(" " + spans[i]) for i in rest], pa.list_(pa.int32()))]
         return pc.take(pa.concat_arrays(lists), pa.array(np.argsort(plain + rest)))
 
 
@@ -120,32 +122,13 @@ class Pieces:
 
 
 class Tokenizers:
-    """Both tokenizers, and the tokens of spans met before."""
+    """Both tokenizers."""
 
-    def __init__(self, paths: tuple[str, str], kept_chars: int = KEPT_CHARS):
-        self.first, self.second, self.kept_chars = ByteLevel(paths[0]), Pieces(paths[1]), kept_chars
-        self._forget()
-
-    def _forget(self) -> None:
-        self.places, self.chars, self.lists = {}, 0, [pa.array([], pa.list_(pa.int32()))] * 2
+    def __init__(self, paths: tuple[str, str]):
+        self.first, self.second = ByteLevel(paths[0]), Pieces(paths[1])
 
     def ids(self, spans: list[str]) -> list[pa.ListArray]:
-        new = [s for s in spans if s not in self.places]
-        if self.chars + sum(map(len, new)) > self.kept_chars:
-            self._forget()
-            new = spans
-        if new:
-            self.places.update(zip(new, count(len(self.places))))
-            self.chars += sum(map(len, new))
-            self.lists = [pa.concat_arrays([old, t.ids(new)]) for old, t in zip(self.lists, (self.first, self.second))]
-        at = pa.array(list(map(self.places.__getitem__, spans)), pa.int64())
-        return [pc.take(x, at) for x in self.lists]
-
-
-@cache
-def _tokenizers(paths: tuple[str, str]) -> Tokenizers:
-    """One pair a worker, however many tasks it runs."""
-    return Tokenizers(paths)
+        return [t.ids(spans) for t in (self.first, self.second)]
 
 
 def _starts(lists: pa.ListArray) -> np.ndarray:
@@ -228,39 +211,83 @@ class Aligned:
         return pc.binary_join(pa.LargeListArray.from_arrays(np.append(0, np.cumsum(self.n_groups)), groups), ";")
 
 
-def _run(rows: pd.DataFrame, sheet: int, tokenizers: Tokenizers) -> tuple[pd.DataFrame, pa.Table]:
+class Known:
+    """Aligned spans that are kept from run to run, by number. Their links lie one span after the other."""
+
+    NUMBERS = ("good", "n_a", "n_b", "n_groups", "n_links", "sizes")
+
+    def __init__(self, paths: tuple[str, str], kept_chars: int = KEPT_CHARS):
+        self.tokenizers, self.kept_chars = Tokenizers(paths), kept_chars
+        self._forget()
+
+    def _forget(self) -> None:
+        self.places, self.chars, self.texts = {}, 0, pa.array([], pa.large_string())
+        for name in (*self.NUMBERS, "codes", "times"):
+            setattr(self, name, np.zeros(0, bool if name == "good" else np.int64))
+
+    def numbers(self, spans: list[str]) -> np.ndarray:
+        """Numbers of distinct ``spans``, aligned now if they weren't before."""
+        new = [s for s in spans if s not in self.places]
+        if self.chars + sum(map(len, new)) > self.kept_chars:
+            self._forget()
+            new = spans
+        if new:
+            self.places.update(zip(new, count(len(self.places))))
+            self.chars += sum(map(len, new))
+            aligned = Aligned(new, self.tokenizers)
+            links = aligned.links.sort_by("span")
+            aligned.codes, aligned.times = links["code"].to_numpy(), links["times"].to_numpy()
+            aligned.sizes = np.bincount(links["span"].to_numpy(), minlength=len(new))
+            for name in (*self.NUMBERS, "codes", "times"):
+                setattr(self, name, np.concatenate([getattr(self, name), getattr(aligned, name)]))
+            self.texts = pa.concat_arrays([self.texts, pc.cast(aligned.texts, pa.large_string())])
+        return np.fromiter(map(self.places.__getitem__, spans), np.int64, len(spans))
+
+
+@cache
+def _known(paths: tuple[str, str]) -> Known:
+    """One a worker, however many tasks it runs."""
+    return Known(paths)
+
+
+def _ragged(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of slices that begin at ``first``, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(first - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _run(rows: pd.DataFrame, sheet: int, known: Known) -> tuple[pd.DataFrame, pa.Table]:
     """Rows of documents with their pairs, and how many of these documents hold each pair."""
     numbers: dict[str, int] = defaultdict(count().__next__)
-    lists = [list(map(numbers.__getitem__, spans(text))) if text else [] for text in rows["text"]]
-    made = pa.array(lists, pa.list_(pa.int64()))
-    aligned = Aligned(list(numbers), tokenizers)
-    flat, parent, starts = made.flatten(), pc.cast(pc.list_parent_indices(made), pa.int64()), _starts(made)
-    n = len(rows)
-    bad = np.zeros(n, bool)
-    bad[parent.to_numpy()[~aligned.good[flat.to_numpy()]]] = True
-    bad |= np.diff(starts) == 0
+    lists = pa.array([list(map(numbers.__getitem__, spans(text))) if text else [] for text in rows["text"]], pa.list_(pa.int64()))
+    places = known.numbers(list(numbers))
+    parent, starts = pc.cast(pc.list_parent_indices(lists), pa.int64()).to_numpy(), _starts(lists)
+    place, n = places[lists.flatten().to_numpy()], len(rows)
+    bad = np.diff(starts) == 0
+    bad[parent[~known.good[place]]] = True
 
     def summed(of: np.ndarray) -> np.ndarray:
-        running = np.append(0, np.cumsum(of[flat.to_numpy()]))
+        running = np.append(0, np.cumsum(of[place]))
         return np.where(bad, 0, running[starts[1:]] - running[starts[:-1]])
 
-    texts = pc.take(aligned.texts, flat)
-    joined = pc.binary_join(pa.LargeListArray.from_arrays(starts, texts), ";")
+    joined = pc.binary_join(pa.LargeListArray.from_arrays(starts, pc.take(known.texts, pa.array(place))), pa.scalar(";", pa.large_string()))
     sha = ["" if b else hashlib.sha256(t.encode()).hexdigest() for b, t in zip(bad.tolist(), joined.to_pylist())]
-    held = pa.table({"doc": parent, "span": flat}).filter(pa.array(~bad[parent.to_numpy()]))
-    held = held.group_by(["doc", "span"], use_threads=False).aggregate([([], "count_all")])
-    pairs = held.join(aligned.links, "span", join_type="inner", use_threads=False)
-    pairs = pa.table({"doc": pairs["doc"], "code": pairs["code"], "times": pc.multiply(pairs["times"], pairs["count_all"])})
+    # Distinct spans of documents, then their links: a document's pairs are those of its spans
+    width = max(len(known.good), 1)
+    held, often = np.unique((parent * width + place)[~bad[parent]], return_counts=True)
+    doc, span = held // width, held % width
+    sizes = known.sizes[span]
+    at = _ragged((np.cumsum(known.sizes) - known.sizes)[span], sizes)
+    pairs = pa.table({"doc": np.repeat(doc, sizes), "code": known.codes[at], "times": known.times[at] * np.repeat(often, sizes)})
     pairs = pairs.group_by(["doc", "code"], use_threads=False).aggregate([("times", "sum")]).sort_by([("doc", "ascending"), ("code", "ascending")])
     doc, codes, times = (pairs[c].to_numpy() for c in ("doc", "code", "times_sum"))
     cut = np.searchsorted(doc, np.arange(n + 1))
     packed = lambda x, kind: [x[a:b].astype(kind).tobytes() for a, b in zip(cut[:-1], cut[1:])]
     small, large = packed(np.minimum(times, 255), "<u1"), packed(times, "<i8")
-    times = [x if b"\xff" not in x else y for x, y in zip(small, large)]
-    out = pd.DataFrame({"sheet": sheet, "doc_id": rows["doc_id"].astype("Int64").array, "n_a": summed(aligned.n_a), "n_b": summed(aligned.n_b),
-                        "n_groups": summed(aligned.n_groups), "n_links": summed(aligned.n_links), "groups_sha256": pd.Series(sha, dtype=object),
-                        "codes": packed(codes, "<u4"), "times": times, "code": pd.array([None] * n, "Int64"),
-                        "docs": pd.array([None] * n, "Int64")})
+    out = pd.DataFrame({"sheet": sheet, "doc_id": rows["doc_id"].astype("Int64").array, "n_a": summed(known.n_a), "n_b": summed(known.n_b),
+                        "n_groups": summed(known.n_groups), "n_links": summed(known.n_links), "groups_sha256": pd.Series(sha, dtype=object),
+                        "codes": packed(codes, "<u4"), "times": [x if b"\xff" not in x else y for x, y in zip(small, large)],
+                        "code": pd.array([None] * n, "Int64"), "docs": pd.array([None] * n, "Int64")})
     return out, pa.table({"code": codes}).group_by("code", use_threads=False).aggregate([([], "count_all")]).rename_columns(["code", "docs"])
 
 
@@ -271,7 +298,7 @@ def _added(counts: list[pa.Table]) -> pa.Table:
 def _sheets(batches: Iterator[pd.DataFrame], paths: tuple[str, str], sheet_chars: int) -> Iterator[pd.DataFrame]:
     """Documents in sheets, and after each sheet its pairs with their counts."""
     from pyspark import TaskContext
-    tokenizers = _tokenizers(paths)
+    known = _known(paths)
     sheet, chars, counts = TaskContext.get().partitionId() << 32, 0, []
 
     def counted() -> pd.DataFrame:
@@ -280,7 +307,7 @@ def _sheets(batches: Iterator[pd.DataFrame], paths: tuple[str, str], sheet_chars
         return pd.DataFrame({c: filled.get(c, pd.Series([None] * len(added), dtype=object)) for c in _COLUMNS})
 
     for rows in runs(batches, chars=RUN_CHARS):
-        docs, part = _run(rows, sheet, tokenizers)
+        docs, part = _run(rows, sheet, known)
         yield docs
         counts = [_added([*counts, part])]
         pa.default_memory_pool().release_unused()

@@ -15,14 +15,19 @@ PIECES = [" ", "  ", "\n", "\t", "\r\n", " ", "　", "a", "word", "Word,", "Ün
 
 @pytest.fixture(scope="module")
 def tokenizers():
-    return alignment.Tokenizers((alignment.first_path(), alignment.second_path()))
+    """Both, with the library of the first tokenizer's file to compare with."""
+    from tokenizers import Tokenizer
+    both = alignment.Tokenizers((alignment.first_path(), alignment.second_path()))
+    both.tokenizer = Tokenizer.from_file(alignment.first_path())
+    both.tokenizer.encode_special_tokens = True
+    return both
 
 
 def direct(tokenizers, text):
     """Ids of a whole text by both tokenizers, unless their bytes aren't those of the text."""
     if not text:
         return [], []
-    a, b = tokenizers.first.tokenizer.encode(" " + text, add_special_tokens=False).ids, tokenizers.second.model.encode(text)
+    a, b = tokenizers.tokenizer.encode(" " + text, add_special_tokens=False).ids, tokenizers.second.model.encode(text)
     for ids, side in ((a, tokenizers.first), (b, tokenizers.second)):
         if b"".join(side.pieces[i].as_py() for i in ids) != (" " + text).encode():
             return [], []
@@ -75,21 +80,32 @@ def test_tokens_of_spans_are_those_of_the_text(tokenizers):
         cut = alignment.spans(text)
         assert "".join(" " + s for s in cut) == " " + text
         a, b = tokenizers.ids(cut)
-        assert a.flatten().to_pylist() == tokenizers.first.tokenizer.encode(" " + text, add_special_tokens=False).ids
+        assert a.flatten().to_pylist() == tokenizers.tokenizer.encode(" " + text, add_special_tokens=False).ids
         if "▁" not in text:
             assert b.flatten().to_pylist() == tokenizers.second.model.encode(text)
 
 
+def test_all_documents_have_the_tokens_of_the_library(spark, tokenizers):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()
+    for text in (r.text for r in rows if r.text):
+        a, _ = tokenizers.ids(alignment.spans(text))
+        assert a.flatten().to_pylist() == tokenizers.tokenizer.encode(" " + text, add_special_tokens=False).ids
+
+
 def test_no_piece_runs_on_over_a_space_behind_a_word(tokenizers):
     for side in (tokenizers.first, tokenizers.second):
         assert not [p for p in side.pieces.to_pylist() if re.search(r"\S ", p.decode(errors="replace"))]
 
 
-def test_spans_are_forgotten(tokenizers):
-    few = alignment.Tokenizers((alignment.first_path(), alignment.second_path()), kept_chars=50)
+def test_spans_are_forgotten():
+    paths = alignment.first_path(), alignment.second_path()
+    few, many = alignment.Known(paths, kept_chars=50), alignment.Known(paths)
     for text in texts(2, 60):
-        cut = alignment.spans(text)
-        assert [x.to_pylist() for x in few.ids(cut)] == [x.to_pylist() for x in tokenizers.ids(cut)] and few.chars <= max(50, len(text))
+        cut = list(dict.fromkeys(alignment.spans(text)))
+        a, b = few.numbers(cut), many.numbers(cut)
+        assert few.chars <= max(50, len(text)) and len(few.codes) == few.sizes.sum() == few.sizes[:len(few.places)].sum()
+        assert few.texts.take(a).to_pylist() == many.texts.take(b).to_pylist()
+        assert [few.__dict__[n][a].tolist() for n in few.NUMBERS] == [many.__dict__[n][b].tolist() for n in many.NUMBERS]
 
 
 @pytest.mark.parametrize("sheet_chars, run_chars, many", [(32_000_000, 4_000_000, 64), (300, 120, 1), (1, 1, 3)])
