@@ -10,6 +10,7 @@ are packed each on their own. An empty table gives no rows. Other columns of the
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -25,8 +26,18 @@ END_ID = 1
 OPEN_BINS = 2048
 # Items of about so many tokens are packed by one task: a thousand sequences, of which the last few stay part empty.
 TOKENS_PER_TASK = 4_000_000
-# Words kept with their ids by one Python worker; beyond that it starts over.
-CACHED_WORDS = 500_000
+# Memory for words and their ids in one Python worker, about; beyond that it starts over.
+CACHED_BYTES = 128 << 20
+# What an entry takes beside its characters and ids.
+ENTRY_BYTES = 200
+
+# Letters that are composed and have one lower-case letter wherever they stand, and signs. Text of these is cut as the
+# tokenizer cuts it; words with others are left to it.
+_LETTERS = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f\u0391-\u03a1\u03a4-\u03a9\u03ac-\u03ce\u0400-\u0481\u048a-\u052f"
+_SIGNS = ("\u00a1-\u00a9\u00ab\u00ac\u00ae-\u00b1\u00b4\u00b6-\u00b8\u00bb\u00bf\u00d7\u00f7"
+          "\u2010-\u2027\u2030-\u205e")
+_PLAIN = re.compile(rf"[ -~\n{_LETTERS}{_SIGNS}]*")
+_PIECE = re.compile(rf"[a-z{_LETTERS}]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[!-/:-@\[-`{{-~{_SIGNS}]+")
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
@@ -37,40 +48,81 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _is_plain(text: str) -> bool:
+    return _PLAIN.fullmatch(text) is not None and "<|" not in text
+
+
 class WordIds(dict):
-    """Little-endian token ids of words. No token spans a space, so a text's ids are those of its words.
+    """Little-endian token ids of pieces of plain text in lower case, and of other words as they stand.
 
-    Words not met before are encoded together, with a separator between them that is one token and in none of them.
+    No token spans a space or two pieces, so a text's ids are those of its parts. Parts not met before are encoded
+    together: a piece ends with a token that says so, other words have a separator between them that is one token and in
+    none of them.
     """
 
-    SEPARATOR = "|"
+    SEPARATOR, END_OF_PIECE = "|", "</w>"
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
-        self.separator, = self._ids(self.SEPARATOR)
-
-    def _ids(self, text: str) -> np.ndarray:
-        encoded, = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        self.of_pieces = Tokenizer(self.tokenizer.model)    # pieces are lower-cased and cut already
+        self.of_pieces.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.separator, = self._ids(self.tokenizer, self.SEPARATOR)
+        vocabulary = self.of_pieces.get_vocab()
+        self.ends_piece = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_piece[[i for token, i in vocabulary.items() if token.endswith(self.END_OF_PIECE)]] = True
+        self.held = 0
+
+    @staticmethod
+    def _ids(tokenizer, text: str) -> np.ndarray:
+        encoded, = tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(encoded.ids, dtype="<u4")
 
-    def learn(self, words: set[str]) -> None:
-        if len(self) + len(words) > CACHED_WORDS:
+    def _keep(self, parts: list[str], ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        data = ids.tobytes()
+        self.update(zip(parts, map(data.__getitem__, map(slice, (4 * starts).tolist(), (4 * ends).tolist()))))
+        self.held += len(parts) * ENTRY_BYTES + 4 * sum(map(len, parts)) + len(data)
+
+    def learn(self, pieces: set[str], words: set[str]) -> None:
+        if self.held > CACHED_BYTES:
             self.clear()
-        new = list(words - self.keys())
-        alone = [w for w in new if self.SEPARATOR in w or "<|" in w]
-        self.update((w, self._ids(w).tobytes()) for w in alone)
-        new = [w for w in new if w not in self]
+            self.held = 0
+        new = list(pieces - self.keys())
         if new:
-            ids = self._ids(f" {self.SEPARATOR} ".join(new))
+            ids = self._ids(self.of_pieces, " ".join(new))
+            ends = np.flatnonzero(self.ends_piece[ids]) + 1
+            self._keep(new, ids, np.concatenate([[0], ends[:-1]]), ends)
+        new = list(words - self.keys())
+        alone = [w for w in new if self.SEPARATOR in w]
+        for word in alone:
+            ids = self._ids(self.tokenizer, word)
+            self._keep([word], ids, np.array([0]), np.array([len(ids)]))
+        together = [w for w in new if self.SEPARATOR not in w]
+        if together:
+            ids = self._ids(self.tokenizer, f" {self.SEPARATOR} ".join(together))
             ends = np.flatnonzero(ids == self.separator)
-            starts, ends, data = [0, *(4 * (ends + 1)).tolist()], [*(4 * ends).tolist(), 4 * len(ids)], ids.tobytes()
-            self.update(zip(new, map(data.__getitem__, map(slice, starts, ends))))
+            self._keep(together, ids, np.concatenate([[0], ends + 1]), np.concatenate([ends, [len(ids)]]))
 
     def texts(self, texts: list[str]) -> list[bytes]:
-        cut = [text.replace("\n", " ").split(" ") for text in texts]
-        self.learn(set().union(*cut))
-        return [b"".join(map(self.__getitem__, words)) for words in cut]
+        cut, pieces, others = [], set(), set()
+        for text in texts:
+            if _is_plain(text):
+                parts = _PIECE.findall(text.lower())
+                pieces.update(parts)
+            else:
+                parts = []
+                for word in text.replace("\n", " ").split(" "):
+                    if _is_plain(word):
+                        of_word = _PIECE.findall(word.lower())
+                        pieces.update(of_word)
+                        parts += of_word
+                    else:
+                        others.add(word)
+                        parts.append(word)
+            cut.append(parts)
+        self.learn(pieces, others)
+        return [b"".join(map(self.__getitem__, parts)) for parts in cut]
 
 
 def pieces_of(batches: Iterator[pd.DataFrame], path: str, capacity: int, end_id: int) -> Iterator[pd.DataFrame]:

@@ -1,5 +1,6 @@
 """Packing against the tokenizer itself, and its bins by hand."""
 
+import random
 import zlib
 
 import numpy as np
@@ -55,5 +56,23 @@ def test_best_fit_takes_the_fullest_bin_that_fits_and_closes_the_fullest():
     assert bins.open == 2 and bins.place(2) == (4, 6)
 
 
+def test_ids_of_odd_words(tokens):
+    draw = random.Random(6)
+    signs = "—“”…«aZÀéßİıſǅΣσςΑ'.,-½²٣ЖЙ字カe\u0301=\u0338'sre'llVE0|<>\u00ad\u200d\t\r\u00a0\u2028😀_"
+    words = packing.WordIds(packing.tokenizer_path())
+    texts = ["".join(draw.choice(signs + "   ") for _ in range(draw.randrange(60))) for _ in range(3000)]
+    for text, ids in zip(texts, words.texts(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == tokens(text)[:-1], text
+
+
+def test_texts_without_spaces_are_not_kept_for_good(tokens, monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_BYTES", 100_000)
+    words = packing.WordIds(packing.tokenizer_path())
+    for i in range(20):
+        text = ("base64/" if i % 2 else "漢字") * 3_000 + str(i)
+        assert np.frombuffer(words.texts([text])[0], "<u4").tolist() == tokens(text)[:-1]
+        assert words.held < 100_000 + 20 * len(text)
+
+
 def test_no_rows(spark):
     assert packing.pack_documents(spark.createDataFrame([], SCHEMA)).collect() == []
