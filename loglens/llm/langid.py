@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from loglens.llm.common import on_executors, runs
+from loglens.llm.common import mix64, on_executors, runs
 from loglens.session import Staging, join_checked
 
 DOCS_PER_LANGUAGE = 2_000
@@ -30,7 +30,10 @@ LONGEST_GRAM = 4
 LEAST_WORD_COUNT = 2
 # Words of a text beyond so many don't make the score any surer.
 SURE_WORDS = 12
-CACHED_WORDS = 300_000
+# Memory for words met by one Python worker, about; beyond that it starts over.
+CACHED_BYTES = 128 << 20
+# What an entry takes beside its characters and scores.
+ENTRY_BYTES = 200
 UNKNOWN = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -89,54 +92,115 @@ def learn(rows: DataFrame) -> dict:
     return {"languages": languages, "tables": tables}
 
 
+def gram_keys(codes: np.ndarray) -> list[np.ndarray]:
+    """For each length, a 64-bit key of the gram that ends at each of ``codes``; it means something from that length on."""
+    keys, before = [], np.zeros(len(codes), np.uint64)
+    for n in range(1, LONGEST_GRAM + 1):
+        now = mix64(before + codes + np.uint64(n))
+        keys.append(now)
+        before = np.concatenate([now[:1], now[:-1]])
+    return keys
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+
+
 class WordScores(dict):
     """Row of ``scores`` of each word, filled as words come."""
 
     def __init__(self, model: dict):
         tables = model["tables"]
-        self.known = {word: scores for word, scores in zip(*tables.get("word", ([], [])))}
-        self.grams = {gram: scores for order, table in tables.items() if order != "word" for gram, scores in zip(*table)}
+        self.known = {word: row for row, word in enumerate(tables["word"][0])} if "word" in tables else {}
+        self.known_scores = tables["word"][1] if "word" in tables else None
+        self.grams = {order: self._sorted(*table) for order, table in tables.items() if order != "word"}
         self.languages = model["languages"]
         self.start_over()
 
+    @staticmethod
+    def _sorted(grams: list[str], scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = len(grams[0])
+        keys = gram_keys(_codes("".join(grams)))[n - 1][n - 1::n]
+        order = np.argsort(keys)
+        return keys[order], scores[order]
+
     def start_over(self) -> None:
         self.clear()
-        self.scores = np.zeros((4096, len(self.languages)), np.float32)
-
-    def back_off(self, word: str) -> np.ndarray:
-        """Mean over the word's places of the longest gram known there."""
-        found = [next((self.grams[g] for g in ending if g in self.grams), None) for ending in grams(word)]
-        found = [scores for scores in found if scores is not None]
-        return np.mean(found, axis=0) if found else np.zeros(len(self.languages), np.float32)
-
-    def __missing__(self, word: str) -> int:
-        row = self[word] = len(self)
-        if row == len(self.scores):
-            self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-        scores = self.known.get(word)
-        self.scores[row] = self.back_off(word) if scores is None else scores
-        return row
-
-    def predict(self, text: str) -> tuple[str, float]:
-        words = _WORD.findall(text.lower())
-        if not self.languages or not any(c.isalpha() for word in words for c in word):
-            return UNKNOWN, 0.0
-        if len(self) > CACHED_WORDS:
+        self.held = 0
+        self.scores = np.zeros((0, len(self.languages)), np.float32)
+
+    def back_off(self, words: list[str]) -> np.ndarray:
+        """Of each word the mean over its places of the longest gram known there."""
+        total, found = np.zeros((len(words), len(self.languages))), np.zeros(len(words))
+        lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
+        word = np.repeat(np.arange(len(words)), lengths)
+        place = np.arange(len(word)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        keys = gram_keys(_codes("".join(f"^{w}$" for w in words)))
+        left = np.flatnonzero(place > 0)
+        for n in range(LONGEST_GRAM, 0, -1):
+            if n not in self.grams:
+                continue
+            table, scores = self.grams[n]
+            asked = keys[n - 1][left]
+            at = np.minimum(np.searchsorted(table, asked), len(table) - 1)
+            hit = (table[at] == asked) & (place[left] >= n - 1)
+            of, at = word[left[hit]], at[hit]
+            found += np.bincount(of, minlength=len(words))
+            for language in range(len(self.languages)):
+                total[:, language] += np.bincount(of, scores[at, language], len(words))
+            left = left[~hit]
+        return (total / np.maximum(found, 1)[:, None]).astype(np.float32)
+
+    def learn(self, words: set[str]) -> None:
+        """Have rows for all of ``words``."""
+        if self.held > CACHED_BYTES:
             self.start_over()
-        rows = list(map(self.__getitem__, words))
-        mean = self.scores[rows].mean(axis=0, dtype=np.float64)
-        share = np.exp((mean - mean.max()) * min(len(words), SURE_WORDS))
-        best = int(mean.argmax())
-        return self.languages[best], float(share[best] / share.sum())
+        new = list(words - self.keys())
+        at = [self.known.get(w) for w in new]
+        known = [w for w, row in zip(new, at) if row is not None]
+        unknown = [w for w, row in zip(new, at) if row is None]
+        parts = [self.scores]
+        if known:
+            parts.append(self.known_scores[[row for row in at if row is not None]])
+        if unknown:
+            parts.append(self.back_off(unknown))
+        self.update(zip([*known, *unknown], range(len(self), len(self) + len(new))))
+        self.scores = np.concatenate(parts)
+        self.held += sum(4 * len(w) for w in new) + len(new) * (ENTRY_BYTES + 4 * len(self.languages))
+
+    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+        """Language and score of each text."""
+        cut = [_WORD.findall(text.lower()) for text in texts]
+        distinct = set().union(*cut)
+        lettered = None
+        if not all(map(str.isalpha, distinct)):             # words may be numbers of other scripts
+            lettered = {w for w in distinct if any(map(str.isalpha, w))}
+        lengths = np.fromiter(map(len, cut), np.int64, len(cut))
+        judged = lengths > 0 if lettered is None else np.array([not lettered.isdisjoint(words) for words in cut], bool)
+        judged &= bool(self.languages)
+        names, scores = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
+        if not judged.any():
+            return names.tolist(), scores
+        self.learn(distinct)
+        rows = np.fromiter((row for words in cut for row in map(self.__getitem__, words)), np.int64, int(lengths.sum()))
+        full = lengths > 0
+        starts, means = (np.cumsum(lengths) - lengths)[full], np.zeros((len(texts), len(self.languages)))
+        for language in range(len(self.languages)):
+            means[full, language] = np.add.reduceat(self.scores[rows, language].astype(np.float64), starts)
+        means /= np.maximum(lengths, 1)[:, None]
+        share = np.exp((means - means.max(axis=1, keepdims=True)) * np.minimum(lengths, SURE_WORDS)[:, None])
+        best = means.argmax(axis=1)
+        names[judged] = np.array(self.languages, object)[best[judged]]
+        scores[judged] = (share[np.arange(len(texts)), best] / share.sum(axis=1))[judged]
+        return names.tolist(), scores
 
 
 def _predicted(batches: Iterator[pd.DataFrame], model) -> Iterator[pd.DataFrame]:
-    scores = WordScores(model.value)
+    words = WordScores(model.value)
     for rows in runs(batches):
-        made = pd.DataFrame([scores.predict(text) for text in rows["text"]], columns=["lang_pred", "score"])
-        made.insert(0, "held_out", rows["held_out"].to_numpy())
-        made.insert(0, "doc_id", rows["doc_id"].astype("Int64").array)
-        yield made
+        names, scores = words.predict(rows["text"].tolist())
+        yield pd.DataFrame({"doc_id": rows["doc_id"].astype("Int64").array, "held_out": rows["held_out"].to_numpy(),
+                            "lang_pred": names, "score": scores})
 
 
 def identify(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE) -> DataFrame:

@@ -41,9 +41,25 @@ def test_back_off_takes_the_longest_gram_known():
     model = {"languages": ["x", "y"], "tables": {"word": (["known"], np.array([[9, 0]], np.float32)),
                                                  **{n: ([g for g in scores if len(g) == n], np.array([scores[g] for g in scores if len(g) == n])) for n in (1, 2, 3)}}}
     words = langid.WordScores(model)
-    assert words.back_off("ab").tolist() == np.mean([scores["a"], scores["^ab"], scores["b$"]], axis=0).tolist()
+    assert words.back_off(["ab"]).tolist() == [np.mean([scores["^ab"], scores["b$"]], axis=0).tolist()]
+    draw = random.Random(4)
+    many = ["".join(draw.choice("abñ") for _ in range(draw.randrange(1, 9))) for _ in range(200)]
+    for word, row in zip(many, words.back_off(many)):
+        longest = [next((scores[g] for g in ending if g in scores), None) for ending in langid.grams(word)]
+        assert np.allclose(row, np.mean([s for s in longest if s is not None] or [[0, 0]], axis=0)), word
+    words.learn({"known", "ab"})
     assert words.scores[words["known"]].tolist() == [9, 0]
-    assert words.predict("12 ½ _") == ("und", 0.0)
+    names, shares = words.predict(["12 ½ _", "known", ""])
+    assert names == ["und", "x", "und"] and shares[0] == shares[2] == 0 and shares[1] > 0.99
+
+
+def test_texts_without_spaces_are_not_kept_for_good(monkeypatch):
+    model = {"languages": ["x"], "tables": {1: (["字"], np.array([[1]], np.float32))}}
+    monkeypatch.setattr(langid, "CACHED_BYTES", 50_000)
+    words = langid.WordScores(model)
+    for i in range(50):
+        assert words.predict(["字" * 5_000 + chr(0x4E00 + i)])[0] == ["x"]
+        assert words.held < 50_000 + 4 * 5_001 + 1_000 and len(words) <= 4
 
 
 def test_defined_cases(spark):
