@@ -1,9 +1,12 @@
 """Secret scans against the plain patterns, and the randomness tests on known strings."""
 
 import hashlib
+import math
 import random
 import re
 
+import numpy as np
+import pytest
 from loglens.llm import secret_scan
 
 SCHEMA = "doc_id long, text string"
@@ -35,16 +38,90 @@ def test_base_spans_are_those_of_the_plain_patterns(spark):
         assert set(listed.split(",")) <= set(found[i].spans.split(",")) | {""}
 
 
-def test_random_strings_are_found_and_words_are_not(spark):
+def prose(n, seed=8):
+    draw = random.Random(seed)
+    syllables = ["ter", "con", "de", "la", "ing", "ver", "sta", "mo", "ri", "ent", "pro", "ka", "ble", "un", "gra", "she", "tion", "al"]
+    return [" ".join("".join(draw.choice(syllables) for _ in range(draw.randrange(1, 4))) for _ in range(120)) for _ in range(n)]
+
+
+WORDS = ["Donaudampfschifffahrtsgesellschaft", "thisisaverylongidentifierwithoutspaces", "com/example/service/impl/UserServiceImpl",
+         "AbstractSingletonProxyFactoryBean", "einlichkeitverkeitachung", "a" * 30, "internationalisationofall", "uncharacteristically",
+         "1234567890123456", "max_connections_per_host", "2023-11-05T10-20-30", "ABCDEFGHIJKLMNOPQRSTUVWXYZABCDEFGH"]
+SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+
+@pytest.mark.parametrize("length, least", [(16, 0.9), (24, 0.9), (32, 0.9), (44, 0.9), (64, 0.9)])
+def test_random_strings_are_found_and_words_are_not(spark, length, least):
     draw = random.Random(5)
-    symbols = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
-    keys = ["".join(draw.choice(symbols) for _ in range(44)) for _ in range(40)]
-    plain_ = ["einlichkeitverkeitachung", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaa", "ABCDEFGHIJKLMNOPQRSTUVWXYZABCDEFGH", "internationalisationofall",
-              "0101010101010101010101010101"] * 20
-    docs = spark.createDataFrame([(i, f"see {t} here") for i, t in enumerate(keys + plain_)], SCHEMA)
-    found = {r.doc_id: r.n_random for r in secret_scan.scan(docs).collect()}
-    assert sum(found[i] for i in range(40)) >= 36
-    assert sum(found[i] for i in range(40, 140)) == 0
+    keys = ["".join(draw.choice(SYMBOLS) for _ in range(length)) for _ in range(100)]
+    texts = [f"see {k} here" for k in keys] + [f"see {w} here" for w in WORDS * 10] + prose(1500)
+    found = {r.doc_id: r.n_random for r in secret_scan.scan(spark.createDataFrame(list(enumerate(texts)), SCHEMA)).collect()}
+    assert sum(found[i] for i in range(100)) >= least * 100
+    assert {texts[i] for i in range(100, len(texts)) if found[i]} == set()
+
+
+def test_too_few_words_to_tell(spark):
+    docs = spark.createDataFrame([(1, "see 9fK3vQz81LmXo0TbWcYd72RsEuHg here"), (2, "password=9fK3vQz81LmXo0TbWcYd72RsEuHg")], SCHEMA)
+    assert [(r.n_assign, r.n_random) for r in secret_scan.scan(docs).orderBy("doc_id").collect()] == [(0, 0), (1, 0)]
+
+
+def test_what_a_pattern_leaves_of_a_run_is_tested():
+    text = f"x {HEX}ZqKw7Pd0Lm9XvTb2 y=="
+    base, parts = secret_scan.candidates(text)
+    assert base == [(2, 2, 2 + 64)] and parts == [(66, 82, "ZqKw7Pd0Lm9XvTb2")]
+    assert secret_scan.candidates(f"token=ab.{HEX}.ZqKw7Pd0Lm9XvTb2")[1] == []
+    long = f"secret={'z' * 30}" * 2000
+    assert len(secret_scan.candidates(long)[0]) == 1 and secret_scan.candidates(long)[1] == []
+
+
+def test_control_against_brute_force():
+    draw = random.Random(3)
+    seen = {(1, -1): {b: draw.randrange(9000 if b > 12 else 3) for b in range(40)}, (1, 7): {b: draw.randrange(30) for b in range(20)},
+            (1, 1): {30: 5000, 2: 1}, (2, 7): {0: 9}}
+    cuts = secret_scan.cuts_of(seen, 0.05)
+    for key in ((1, 7), (1, 1), (2, 7)):
+        words = [b for b, n in seen.get((key[0], -1), {}).items() for _ in range(n)]
+        strings = [b for b, n in seen[key].items() for _ in range(n)]
+        good = [b for b in range(301) if any(s <= b for s in strings)
+                and len(strings) * (1 + sum(w <= b for w in words)) / (1 + len(words)) <= 0.05 * sum(s <= b for s in strings)]
+        assert cuts.get(key) == (max(good) if good else None)
+    assert (1, 7) in cuts and (1, 1) not in cuts and (2, 7) not in cuts
+
+
+def plain_battery(string, symbols, parts):
+    """The three p-values, one symbol after the other."""
+    values = [symbols.index(c) if symbols.index(c) < 64 else symbols.index(c) - 2 for c in string]
+    size, n = min(len(symbols), 64), len(string)
+    x = 0
+    for part in parts:
+        expected = n * (2 if "+" in part else len(part)) / size
+        x += (sum(c in part for c in string) - expected) ** 2 / expected
+    tail = {2: math.exp(-x / 2), 3: math.erfc(math.sqrt(x / 2)) + math.sqrt(2 * x / math.pi) * math.exp(-x / 2),
+            4: math.exp(-x / 2) * (1 + x / 2)}[len(parts) - 1]
+    above = [2 * v >= size for v in values]
+    a, b = sum(above), n - sum(above)
+    if a and b:
+        mean = 1 + 2 * a * b / n
+        spread = math.sqrt((mean - 1) * (mean - 2) / (n - 1))
+        changes = 1 + sum(p != q for p, q in zip(above, above[1:]))
+        of_runs = math.erfc(abs(changes - mean) / spread / math.sqrt(2)) if spread else 1.0
+    else:
+        of_runs = 2.0 ** (1 - n)
+    middle = sum(values) / n
+    square = sum((v - middle) ** 2 for v in values)
+    r = sum((p - middle) * (q - middle) for p, q in zip(values, values[1:])) / square if square else None
+    return tail, of_runs, 2.0 ** (1 - n) if r is None else math.erfc(abs(r + 1 / n) * math.sqrt(n) / math.sqrt(2))
+
+
+def test_battery_against_one_symbol_after_the_other():
+    draw = random.Random(9)
+    cases = [(e, "".join(draw.choice(secret_scan.ENCODINGS[e][1]) for _ in range(draw.randrange(30, 90))) + "+-"[:e // 4]) for e in (0, 1, 2, 3, 4) * 20]
+    cases += [(0, "0" * 12), (3, "Zz" * 9)]
+    battery = secret_scan.Battery([s for _, s in cases])
+    found = zip(battery.uniformity(), battery.runs(), battery.serial_correlation())
+    assert battery.encoding.tolist() == [e for e, _ in cases]
+    for (e, string), ps in zip(cases, found):
+        assert np.allclose(ps, plain_battery(string, *secret_scan.ENCODINGS[e][1:]), rtol=1e-9), string
 
 
 def test_p_values_are_spread_evenly_for_random_strings():
