@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 THRESHOLD = 60
 CONTEXT_CHARS = 40
 CONTEXT_BONUS = 30
+# Matches are put together in blocks, so that adding one copies no more than a block.
+BLOCK = 128
 
 
 @dataclass(frozen=True)
@@ -63,13 +65,18 @@ def _quoted(text: str) -> str:
 def _spans(kind: Kind) -> Column:
     """Array of (kind, start, end, score) in order of start."""
     pattern = _quoted(kind.pattern)
-    placed = f"""aggregate(arrays_zip(split(_text, {pattern}, -1), regexp_extract_all(_text, {pattern}, 0)),
-        cast(named_struct('at', 0, 'out', array()) as struct<at: int, out: array<struct<start: int, end: int, found: string>>>),
-        (a, x) -> named_struct(
-            'at', a.at + char_length(x.`0`) + coalesce(char_length(x.`1`), 0),
-            'out', if(x.`1` is null, a.out, concat(a.out, array(named_struct(
-                'start', a.at + char_length(x.`0`), 'end', a.at + char_length(x.`0`) + char_length(x.`1`), 'found', x.`1`))))),
-        a -> a.out)"""
+    kind_of_spans = "array<struct<start: int, end: int, found: string>>"
+    one_more = """(a, x) -> named_struct('at', a.at + char_length(x.`0`) + coalesce(char_length(x.`1`), 0),
+        'out', if(x.`1` is null, a.out, concat(a.out, array(named_struct('start', a.at + char_length(x.`0`),
+            'end', a.at + char_length(x.`0`) + char_length(x.`1`), 'found', x.`1`)))))"""
+    blocks = f"""aggregate(array(arrays_zip(split(_text, {pattern}, -1), regexp_extract_all(_text, {pattern}, 0))),
+        cast(array() as array<array<struct<`0`: string, `1`: string>>>),
+        (none, z) -> transform(sequence(0, (size(z) - 1) div {BLOCK}), i -> slice(z, i * {BLOCK} + 1, {BLOCK})))"""
+    placed = f"""aggregate({blocks}, cast(named_struct('at', 0, 'out', array()) as struct<at: int, out: array<{kind_of_spans}>>),
+        (all, block) -> aggregate(array(aggregate(block,
+            cast(named_struct('at', all.at, 'out', array()) as struct<at: int, out: {kind_of_spans}>), {one_more})),
+            all, (before, b) -> named_struct('at', b.at, 'out', concat(before.out, array(b.out)))),
+        all -> flatten(all.out))"""
     near = (f"substring(_text, greatest(x.start - {CONTEXT_CHARS}, 0) + 1, least(x.start, {CONTEXT_CHARS})) "
             f"rlike {_quoted('(?i)' + kind.context)}")
     scored = f"""transform(filter({placed}, x -> {kind.check}), x -> named_struct('kind', '{kind.name}', 'start', x.start,
