@@ -76,7 +76,7 @@ TEMPLATES = [
 WORD = re.compile(r"[^\W_]+(?:\.[0-9]+)*")
 SPDX = re.compile(r"spdx-license-identifier:[ \t]*([^\n]*)", re.I)
 SPDX_ID = re.compile(r"[A-Za-z0-9][A-Za-z0-9.-]*\+?")
-FOUND = "row long, own_license string, cosine double, line int, license_chars long"
+FOUND = "own_license string, cosine double, line int, license_chars long"
 
 
 def words(text: str) -> list[str]:
@@ -214,16 +214,18 @@ def _vocabulary_counts(batches: Iterator[pd.DataFrame], vocabulary: frozenset[st
     yield pd.DataFrame({"term": list(counts.keys()), "df": list(counts.values())}).astype({"term": object, "df": "int64"})
 
 
-def _licenses(batches: Iterator[pd.DataFrame], kinds: list[Templates]) -> Iterator[pd.DataFrame]:
-    for rows in runs(batches):
-        found = [(row, *of) for row, text in zip(rows["row"], rows["text"]) if (of := license_of(text, kinds))]
-        yield pd.DataFrame(found, columns=["row", "own_license", "cosine", "line", "license_chars"]).astype(
-            {"row": "int64", "own_license": object, "cosine": float, "line": "int32", "license_chars": "int64"})
+def _licenses(batches: Iterator[pd.Series], kinds: list[Templates]) -> Iterator[pd.DataFrame]:
+    none = (None, None, None, None)
+    for batch in batches:
+        found = [license_of(text, kinds) or none for text in batch]
+        yield pd.DataFrame(found, columns=["own_license", "cosine", "line", "license_chars"]).astype(
+            {"own_license": object, "cosine": "Float64", "line": "Int32", "license_chars": "Int64"})
 
 
 def own_licenses(files: DataFrame, templates: list[tuple[str, str]], texts: list[tuple[str, str]], least: float = LEAST_COSINE) -> DataFrame:
-    """FOUND of those of ``files`` (row, text) that have a license of their own."""
-    files = on_executors(files).select("row", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    """``files`` (text, others) without text, with _chars and FOUND added; those without a license of their own have nulls."""
+    others = [c for c in files.columns if c != "text"]
+    files = on_executors(files).withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit("")))
     vocabulary = frozenset(term for _, text in [*templates, *texts] for term in words(text))
     n = files.count()
     df = files.select("text").mapInPandas(lambda batches: _vocabulary_counts(batches, vocabulary), "term string, df long")
@@ -231,7 +233,8 @@ def own_licenses(files: DataFrame, templates: list[tuple[str, str]], texts: list
     rarity = {term: math.log((n + 1.0) / (df.get(term, 0) + 1.0)) + 1.0 for term in vocabulary}
     unknown = math.log(n + 1.0) + 1.0
     kinds = [Templates(templates, rarity, unknown, least, True), Templates(texts, rarity, unknown, max(least, LEAST_TEXT_COSINE), False)]
-    return files.mapInPandas(lambda batches: _licenses(batches, kinds), FOUND)
+    of = F.pandas_udf(lambda batches: _licenses(batches, kinds), FOUND, F.PandasUDFType.SCALAR_ITER)
+    return files.select(*others, F.char_length("text").alias("_chars"), of("text").alias("_own")).select(*others, "_chars", "_own.*")
 
 
 def scan(files: DataFrame, templates: DataFrame | None = None, least: float = LEAST_COSINE) -> DataFrame:
@@ -242,9 +245,7 @@ def scan(files: DataFrame, templates: DataFrame | None = None, least: float = LE
     named = [(r["license"], r["text"]) for r in templates.orderBy("template").collect()]
     results = ["own_license", "cosine", "line", "from_directory", "license"]
     others = [c for c in files.columns if c not in ("text", "row", *results)]
-    rows = files.withColumn("row", F.monotonically_increasing_id())
-    own = staging.table(own_licenses(rows, named, license_texts(), least), "own")
-    found = staging.table(rows.select("row", *others, F.char_length("text").alias("_chars")).join(own, "row", "left"), "found")
+    found = staging.table(own_licenses(files.select("text", *others), named, license_texts(), least), "found")
     directory = F.regexp_replace(F.coalesce("path", F.lit("")), r"/?[^/]*$", "")
     found = found.withColumn("_directory", directory)
     files_of = found.where(F.col("own_license").isNotNull() & (
