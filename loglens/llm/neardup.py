@@ -27,7 +27,6 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.window import Window
 
 from loglens.llm.common import mix64, on_executors, runs
 from loglens.session import Staging, join_checked
@@ -42,6 +41,7 @@ MOST_DIFFERING = 17
 # Rounds in which each document is compared with its most promising candidate, before all that are left.
 ROUNDS = 3
 CACHED_WORDS = 500_000
+LONGEST_CACHED = 64
 
 # Classes of shingles whose frequencies order a prefix: an array of four megabytes.
 RARITY_BITS = 20
@@ -57,9 +57,11 @@ SIGNATURES = ("doc_id long, n_shingles long, set_high long, set_low long, sketch
 class WordHashes(dict):
     def __missing__(self, word: str) -> int:
         import xxhash
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word.encode())
+        value = xxhash.xxh3_64_intdigest(word.encode())
+        if len(word) <= LONGEST_CACHED:
+            if len(self) >= CACHED_WORDS:
+                self.clear()
+            self[word] = value
         return value
 
 
@@ -273,7 +275,7 @@ def _prefixes(batches: Iterator[pd.DataFrame], counts, percent: int) -> Iterator
             yield pd.DataFrame({"key": keys, "id": doc_id, "place": np.arange(len(keys), dtype=np.int32), "before": np.append([0], keys[:-1])})
 
 
-def _all_pairs(sets: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
+def _all_pairs(sets: DataFrame, grouped: DataFrame, percent: int, staging: Staging) -> DataFrame:
     """All pairs of ``sets`` in different components that can be similar by a prefix filter, which loses none.
 
     If sets are similar, the first shingle they share leaves enough behind it in both. Under a shingle, members of
@@ -281,7 +283,7 @@ def _all_pairs(sets: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
     """
     counts = sets.sparkSession.sparkContext.broadcast(rarity(sets))
     prefixes = sets.mapInPandas(lambda batches: _prefixes(batches, counts, percent), "key long, id long, place int, before long")
-    rows = prefixes.join(grouped, "id")
+    rows = staging.table(prefixes.join(grouped, "id"), "prefixes")
     frequent = (rows.groupBy("key", "group").agg(F.count("*").alias("many")).groupBy("key")
                 .agg(F.count("*").alias("kinds"), F.max(F.struct("many", "group")).alias("most")).where("kinds > 1")
                 .select("key", F.col("most.group").alias("major")))
@@ -306,10 +308,8 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILAR_PERCENT) -> DataFram
     table = F.explode(F.sequence(F.lit(0), F.lit(M * M - 1)))
     keys = nodes.select("id", "first_keys", "second_keys", table.alias("t")).select(
         F.xxhash64("t", F.expr(f"first_keys[t div {M}]"), F.expr(f"second_keys[t % {M}]")).alias("key"), "id")
-    bucket = Window.partitionBy("key").orderBy("id")
-    members = staging.table(
-        keys.withColumn("place", F.row_number().over(bucket)).withColumn("next", F.lead("id").over(bucket))
-        .where("place > 1 or next is not null").select("key", "id"), "members")
+    buckets = staging.table(keys.groupBy("key").agg(F.count("*").alias("many")).where("many > 1").select("key"), "buckets")
+    members = staging.table(join_checked(keys, buckets, "key", "left_semi"), "members")
     confirmer = Confirmer(texts.select(F.col("doc_id").alias("id"), "text"), staging, percent)
     links, found, round_ = None, None, 0
     while members.limit(1).count():
@@ -318,7 +318,7 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILAR_PERCENT) -> DataFram
         grouped = _grouped(nodes, found)
         if last:
             confirmer.ask(members.select("id").distinct())
-            pairs = _all_pairs(confirmer.sets, grouped, percent)
+            pairs = _all_pairs(confirmer.sets, grouped, percent, staging)
         else:
             pairs = _best_pairs(members.join(grouped, "id"), round_, percent)
         pairs = staging.table(pairs, f"pairs-{round_}")
