@@ -32,6 +32,8 @@ HELD_OUT_ONE_IN = 5
 SHRINK_CHARS = 200
 # Rows of a model's shard that a task holds; more rows make more shards, each with a scan of its own.
 SHARD_ROWS = 2_000_000
+# Characters scored or counted at a time: each takes about a hundred bytes of a worker's memory meanwhile.
+RUN_CHARS = 250_000
 
 START = "\x02"
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -63,7 +65,7 @@ def _scored_places(starts: np.ndarray, texts: list[str], size: int) -> np.ndarra
 
 
 def _counted(batches: Iterator[pd.DataFrame], order: int) -> Iterator[pd.DataFrame]:
-    for rows in runs(batches):
+    for rows in runs(batches, chars=RUN_CHARS):
         texts = rows["text"].tolist()
         codes, starts = _codes(texts, order)
         at = np.flatnonzero(_scored_places(starts, texts, len(codes)))
@@ -189,7 +191,7 @@ def _bits(batches: Iterator[pd.Series], shard_rows, order: int, shard: int, shar
     tables = Tables(*shard_rows.value)
     for batch in batches:
         out = []
-        for rows in runs(iter([pd.DataFrame({"text": batch})])):
+        for rows in runs(iter([pd.DataFrame({"text": batch})]), chars=RUN_CHARS):
             texts = rows["text"].tolist()
             codes, starts = _codes(texts, order)
             places = _scored_places(starts, texts, len(codes))
