@@ -51,3 +51,10 @@ def test_runs_of_one_kind_of_character_take_no_long_time(spark):
 
 def test_no_rows(spark):
     assert pii.personal_data(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_many_matches_in_one_text(spark):
+    text = "é a@b.cd +12345678 " * 3001 + "x"
+    row = pii.personal_data(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert (row.n_email, row.n_phone) == (3001, 3001)
+    assert row.spans.split(",")[:3001] == [f"email:{19 * i + 2}:{19 * i + 8}" for i in range(3001)]
