@@ -25,6 +25,8 @@ from loglens.sources.listing import open_store
 
 CHUNK_BYTES = 8 << 20
 SPOOL_BYTES = 64 << 20
+# Files up to this size are opened by reading them.
+SMALL_BYTES = 64 << 10
 _BATCH_BYTES = 32 << 20
 
 
@@ -84,7 +86,11 @@ def _open(source):
     if isinstance(source, (bytes, bytearray, memoryview)):
         return io.BytesIO(source)
     store, path = open_store(source)
-    return store.open_input_file(path)
+    stream = store.open_input_file(path)
+    if stream.size() > SMALL_BYTES:
+        return stream
+    with stream:                            # decoders that look for a trailer may seek before the start of a short file:
+        return io.BytesIO(stream.read())    # they know the error that Python's own files give
 
 
 def _clean(name: str) -> str:

@@ -8,7 +8,9 @@ import pytest
 from bundles import tar, zipped
 from loglens.sources import archives as A
 from loglens.functions.paths import uri_path
+from loglens.session import Staging
 from loglens.sources.listing import existing_paths, list_files, list_tree
+from loglens.sources.parts import expand_in_parts
 
 WHEN = datetime(2020, 1, 1)
 
@@ -84,6 +86,18 @@ def test_opened_from_the_store(spark, tmp_path, put):
     assert [(r.relpath, bytes(r.content), r.mtime.timestamp(), r.error) for r in rows] == [("c/a b+c%20[1].log", b"x\n", 1000.0, None)]
 
 
+def test_short_unreadable_archives_in_the_store(spark, tmp_path, put):
+    bad = {"none.zip": b"", "one.zip": b"x", "short.zip": b"not an archive", "brief.tar": b"ab", "brief.tgz": b"\x1f\x8b", "brief.gz": b"a"}
+    for path, content in bad.items():
+        put(tmp_path / "in", path, content)
+    listed = list_files(spark, str(tmp_path / "in"))
+    inline = spark.createDataFrame([(p, WHEN, bytearray(b)) for p, b in bad.items()], "relpath string, mtime timestamp, content binary")
+    errors = [{r.archive: r.error for r in A.archive_errors(found).collect()} for found in
+              (A.expand_archives(inline), A.expand_archives(listed), expand_in_parts(listed, Staging(spark)))]
+    assert errors[0].keys() == bad.keys() and all(errors[0][p].startswith("BadZipFile:") for p in bad if p.endswith(".zip"))
+    assert errors[0] == errors[1] == errors[2]
+
+
 def test_skip_unpacked(spark, tmp_path, put):
     for path in ("c/dir.zip", "c/new.tar.gz", "c/f.log.gz", "c/f.log", "c/dir/deep/x.log", "c/e.zip", "c/h.zip"):
         put(tmp_path, path, "x")
