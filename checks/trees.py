@@ -14,6 +14,17 @@ from loglens.session import shared_dir
 from loglens.sources.listing import list_files, open_store, qualify
 
 
+# Bytes of text that one task makes files from, and directories that files are put in to be listed side by side.
+TASK_BYTES = 8 << 20
+SHARDS = 256
+
+
+def dealt(docs: DataFrame, *keys: str) -> DataFrame:
+    """``docs`` dealt by ``keys`` over all cores, and over more tasks the more text there is."""
+    size = docs.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
+    return docs.repartition(max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // TASK_BYTES)), *keys)
+
+
 def _tar(members: dict[str, bytes], mode: str = "w") -> bytes:
     out = io.BytesIO()
     with tarfile.open(fileobj=out, mode=mode) as tar:
@@ -60,7 +71,7 @@ def _spoil_batches(batches):
 def _made(spark: SparkSession, sf_dir: str, make) -> DataFrame:
     from loglens.session import ship_package
     ship_package(spark)
-    made = table(spark, sf_dir, "documents").select("doc_id", "text").repartition(spark.sparkContext.defaultParallelism)
+    made = dealt(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return (made.mapInPandas(make, "relpath string, content binary")
             .withColumn("mtime", F.timestamp_seconds(F.lit(0))))
 
@@ -89,8 +100,8 @@ def bundled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loglens.session import ship_package
     ship_package(spark)
     docs = table(spark, sf_dir, "documents").where("doc_id is not null").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    bundles = (docs.groupBy(F.expr("doc_id div 64").alias("bundle")).agg(F.collect_list(F.struct("doc_id", "text")).alias("docs"))
-               .repartition(spark.sparkContext.defaultParallelism))
+    bundles = (dealt(docs.withColumn("bundle", F.expr("doc_id div 64")), "bundle").groupBy("bundle")
+               .agg(F.collect_list(F.struct("doc_id", "text")).alias("docs")))
     return stored(spark, bundles.mapInPandas(by_value(_bundle_batches), "relpath string, content binary"))
 
 
@@ -107,7 +118,7 @@ def odd_tree(spark: SparkSession, sf_dir: str) -> str:
     from loglens.session import ship_package
     ship_package(spark)
     files = spark.sql(ODD_NAMES.format(documents="{documents}"), documents=table(spark, sf_dir, "documents"))
-    return written(spark, files.select("relpath", F.col("text").cast("binary").alias("content")).repartition(spark.sparkContext.defaultParallelism))
+    return written(spark, dealt(files, "doc_id").select("relpath", F.col("text").cast("binary").alias("content")))
 
 
 def spoiled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,8 +174,7 @@ def _tree_batches(batches):
 def tree_files(spark: SparkSession, files: DataFrame) -> DataFrame:
     """Files of a tree of support bundles that holds the documents of ``DOC_FILES``."""
     by_value(_tree_batches)
-    return (files.repartition(spark.sparkContext.defaultParallelism)
-            .mapInPandas(_tree_batches, "relpath string, content binary")
+    return (dealt(files, "doc_id").mapInPandas(_tree_batches, "relpath string, content binary")
             .groupBy("relpath").agg(F.max("content").alias("content")))
 
 
@@ -185,5 +195,8 @@ def written(spark: SparkSession, files: DataFrame, root: str | None = None) -> s
 
 
 def stored(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """``files``, written to the shared folder and listed."""
-    return list_files(spark, written(spark, files))
+    """``files``, written to the shared folder, each to one of ``SHARDS`` directories, and listed by their names there."""
+    shard = F.pmod(F.xxhash64("relpath"), F.lit(SHARDS)).cast("string")
+    root = written(spark, files.withColumn("relpath", F.concat_ws("/", shard, "relpath")))
+    listed = list_files(spark, root, [str(i) for i in range(SHARDS)])
+    return listed.withColumn("relpath", F.regexp_replace("relpath", "^[0-9]+/", ""))

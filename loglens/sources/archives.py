@@ -219,18 +219,23 @@ def _chunks(stream, chunk_bytes):
         yield line, b"".join(held)
 
 
+def _framed(rows, columns, content=None):
+    """Rows, the bytes of whose ``content`` column count, in data frames of about ``_BATCH_BYTES``."""
+    held, size, at = [], 0, None if content is None else columns.index(content)
+    for row in rows:
+        held.append(row)
+        size += 256 + (0 if at is None else len(row[at] or b""))
+        if size >= _BATCH_BYTES:
+            yield pd.DataFrame(held, columns=columns)
+            held, size = [], 0
+    if held:
+        yield pd.DataFrame(held, columns=columns)
+
+
 def _expand_batches(batches, chunk_bytes):
-    rows, size = [], 0
-    for batch in batches:
-        for relpath, mtime, source in batch.itertuples(index=False):
-            for row in _archive_rows(relpath, mtime, source, chunk_bytes):
-                rows.append(row)
-                size += len(row[5] or b"") + 256
-                if size >= _BATCH_BYTES:
-                    yield pd.DataFrame(rows, columns=S.MEMBERS.names)
-                    rows, size = [], 0
-    if rows:
-        yield pd.DataFrame(rows, columns=S.MEMBERS.names)
+    rows = (row for batch in batches for relpath, mtime, source in batch.itertuples(index=False)
+            for row in _archive_rows(relpath, mtime, source, chunk_bytes))
+    yield from _framed(rows, S.MEMBERS.names, "content")
 
 
 def direct_rows(files: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -242,11 +247,15 @@ def direct_rows(files: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
 
 
 def _direct_batches(batches, chunk_bytes):
+    yield from _framed(_direct_rows(batches, chunk_bytes), S.MEMBERS.names, "content")
+
+
+def _direct_rows(batches, chunk_bytes):
     for batch in batches:
         for relpath, mtime, source in batch.itertuples(index=False):
             with _open(source) as stream:
                 for n, (line, piece) in enumerate(_chunks(stream, chunk_bytes)):
-                    yield pd.DataFrame([(relpath, relpath, mtime, n, line, piece, None)], columns=S.MEMBERS.names)
+                    yield relpath, relpath, mtime, n, line, piece, None
 
 
 def _archive_rows(relpath, mtime, source, chunk_bytes):

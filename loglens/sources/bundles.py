@@ -22,7 +22,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 from loglens import schema as S
 from loglens.functions.paths import plain_uri
 from loglens.session import join_checked, ship_package
-from loglens.sources.archives import _chunks, _open, _Slice
+from loglens.sources.archives import _chunks, _framed, _open, _Slice
 from loglens.sources.lines import content_lines
 from loglens.sources.listing import open_store, qualify, with_uri
 from loglens.sources.parts import _line_start
@@ -134,12 +134,20 @@ def file_lines(files: DataFrame, range_bytes: int = RANGE_BYTES, tasks: int | No
     ranges = files.select("relpath", "mtime", "length", plain_uri("uri").alias("source"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
     if tasks:
         ranges = ranges.repartition(tasks, "relpath", "part")
-    chunks = ranges.mapInPandas(partial(_range_chunks, range_bytes=range_bytes), "relpath string, mtime timestamp, block long, first long, content binary")
+    chunks = ranges.mapInPandas(partial(_range_batches, range_bytes=range_bytes), _RANGE)
     return (chunks.select("relpath", "mtime", "block", "first", F.posexplode(content_lines(F.col("content"))).alias("at", "value"))
             .select("relpath", "mtime", "block", (F.col("first") + F.col("at")).alias("pos"), "value"))
 
 
-def _range_chunks(batches, range_bytes):
+_RANGE = "relpath string, mtime timestamp, block long, first long, content binary"
+
+
+def _range_batches(batches, range_bytes):
+    columns = [c.strip().split(" ")[0] for c in _RANGE.split(",")]
+    yield from _framed(_range_rows(batches, range_bytes), columns, "content")
+
+
+def _range_rows(batches, range_bytes):
     for batch in batches:
         for row in batch.itertuples(index=False):
             with _open(row.source) as stream:
@@ -147,8 +155,7 @@ def _range_chunks(batches, range_bytes):
                 start, stop = (_line_start(stream, at, size) for at in (row.part * range_bytes, min((row.part + 1) * range_bytes, size)))
                 if start < stop:
                     for line, piece in _chunks(_Slice(stream, start, stop), CHUNK_BYTES):
-                        yield pd.DataFrame({"relpath": [row.relpath], "mtime": [row.mtime], "block": [row.part * range_bytes], "first": [line],
-                                            "content": [piece]})
+                        yield row.relpath, row.mtime, row.part * range_bytes, line, piece
 
 
 def numbered_lines(lines: DataFrame) -> DataFrame:

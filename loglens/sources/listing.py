@@ -12,6 +12,8 @@ from loglens.functions.paths import ancestors, dir_name, is_archive
 from loglens.session import ship_package
 
 CASE_GLOB = "[0-9]" * 10
+# Files that a listing task hands over at a time.
+LISTED_ROWS = 50_000
 
 
 def glob_escape(path: str) -> str:
@@ -51,9 +53,10 @@ def _list(batches, root):
     for batch in batches:
         for name in batch["name"]:
             infos = store.get_file_info(fs.FileSelector(f"{base}/{name}".rstrip("/"), recursive=True, allow_not_found=True))
-            found = [(i.path[len(base):].lstrip("/"), i.mtime_ns // 1_000_000, max(i.size or 0, 0), i.type == fs.FileType.Directory)
-                     for i in infos]
-            yield pd.DataFrame(found, columns=["relpath", "millis", "length", "is_dir"])
+            for at in range(0, len(infos), LISTED_ROWS):
+                found = [(i.path[len(base):].lstrip("/"), i.mtime_ns // 1_000_000, max(i.size or 0, 0), i.type == fs.FileType.Directory)
+                         for i in infos[at:at + LISTED_ROWS]]
+                yield pd.DataFrame(found, columns=["relpath", "millis", "length", "is_dir"])
 
 
 def list_tree(spark: SparkSession, root: str, names: list[str] | None = None) -> DataFrame:

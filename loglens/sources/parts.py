@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from loglens import schema as S
 from loglens.functions.paths import is_archive, plain_uri
 from loglens.session import Staging, join_checked, ship_package
-from loglens.sources.archives import (CHUNK_BYTES, SPOOL_BYTES, _BATCH_BYTES, _archive_rows, _chunks, _clean, _expand, _is_archive, _open,
+from loglens.sources.archives import (CHUNK_BYTES, SPOOL_BYTES, _archive_rows, _chunks, _clean, _expand, _framed, _is_archive, _open,
                                       _Slice, spread_archives)
 from loglens.sources.lines import line_count
 
@@ -157,6 +157,11 @@ def _rivals(names):
 
 
 def _index_batches(batches):
+    for made in _framed(_index_rows(batches), _COLUMNS):
+        yield made.astype({c: "Int64" for c in ("member_no", "at", "stored", "size", "crc")})
+
+
+def _index_rows(batches):
     for batch in batches:
         for relpath, mtime, source in batch.itertuples(index=False):
             try:
@@ -168,8 +173,7 @@ def _index_batches(batches):
                             for n, (path, kind, at, stored, full, crc) in enumerate(_members(relpath, stream))]
             except Exception as e:  # decoders raise many kinds of errors on bad input
                 rows = [(relpath, source, mtime, None, None, None, None, None, None, None, f"{type(e).__name__}: {e}")]
-            made = pd.DataFrame(rows, columns=_COLUMNS)
-            yield made.astype({c: "Int64" for c in ("member_no", "at", "stored", "size", "crc")})
+            yield from rows
 
 
 # --- inside the task: the bytes of a member ------------------------------------------------------------
@@ -306,14 +310,5 @@ def _rows_of(row, chunk_bytes):
 
 
 def _read_batches(batches, chunk_bytes):
-    columns, rows, size = ["part", *S.MEMBERS.names], [], 0
-    for batch in batches:
-        for asked in batch.itertuples(index=False):
-            for row in _rows_of(asked, chunk_bytes):
-                rows.append(row)
-                size += len(row[6] or b"") + 256
-                if size >= _BATCH_BYTES:
-                    yield pd.DataFrame(rows, columns=columns)
-                    rows, size = [], 0
-    if rows:
-        yield pd.DataFrame(rows, columns=columns)
+    rows = (row for batch in batches for asked in batch.itertuples(index=False) for row in _rows_of(asked, chunk_bytes))
+    yield from _framed(rows, ["part", *S.MEMBERS.names], "content")

@@ -6,7 +6,10 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from loglens.sources.bundles import bundle_stream, bundle_tree, file_lines, numbered_lines
+import pandas as pd
+
+from loglens.sources import archives, parts
+from loglens.sources.bundles import _range_batches, bundle_stream, bundle_tree, file_lines, numbered_lines
 from loglens.sources.listing import list_tree
 
 ODD = {"1234567890/.h/.x": "a\nb", "1234567890/_u/_y.log": "", "1234567890/z.bz2": "no codec\n", "1234567890/" + "d/" * 40 + "é +%20=.gz": "deep",
@@ -55,3 +58,19 @@ def test_lines_do_not_depend_on_ranges(spark, tmp_path, put, range_bytes):
     lines = numbered_lines(file_lines(bundle_tree(spark, str(tmp_path)).where("NOT is_dir"), range_bytes, tasks=3))
     found = {(r.relpath, r.line_no): bytes(r.value) for r in lines.withColumn("value", F.col("value").cast("binary")).collect()}
     assert found == {(p, n): line for p, d in texts.items() for n, line in enumerate(d.removesuffix(b"\n").split(b"\n") if d else [], 1)}
+
+
+def test_many_small_files_make_few_frames(tmp_path, put, monkeypatch):
+    """A data frame for each file costs more than the file; one for all of them would not fit into memory."""
+    paths = [str(put(tmp_path, f"{i}.zip", "short")) for i in range(200)]
+    files = pd.DataFrame({"relpath": paths, "mtime": pd.Timestamp(0), "length": 5, "source": paths, "part": 0})
+    asked = files[["relpath", "mtime", "source"]]
+    calls = {"ranges": lambda: _range_batches([files], 1 << 20), "direct": lambda: archives._direct_batches([asked], 1 << 20),
+             "index": lambda: parts._index_batches([asked])}
+    for name, call in calls.items():
+        frames = list(call())
+        assert (name, len(frames), sum(map(len, frames))) == (name, 1, 200)
+    monkeypatch.setattr(archives, "_BATCH_BYTES", 256 * 50)
+    for name, call in calls.items():
+        frames = list(call())
+        assert 4 <= len(frames) <= 5 and sum(map(len, frames)) == 200, name
