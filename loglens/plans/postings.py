@@ -12,6 +12,7 @@ from loglens import schema as S
 from loglens.functions.predicates import platform_filter, version_filter
 from loglens.functions.text import required_matches, snippet_tokens
 from loglens.plans.occurrence import fold_charts, no_nodes, version_key
+from loglens.session import Staging
 
 NODE_COLUMNS = ("node_name", "major_version", "minor_version", "platform")
 
@@ -30,11 +31,18 @@ def node_table(lines: DataFrame) -> DataFrame:
 def build_index(lines: DataFrame, path: str, partitions: int | None = None) -> None:
     """Write the index below ``path``. The range includes the file, so a word found everywhere is spread
     over as many partitions as it needs."""
-    rows, keys = postings(lines), ["word", "file"]
-    ranged = rows.repartitionByRange(partitions, *keys) if partitions else rows.repartitionByRange(*keys)
-    (ranged.sortWithinPartitions("word", "file", "line_no").drop("file")
-     .write.mode("errorifexists").parquet(f"{path}/postings"))
-    node_table(lines).write.mode("errorifexists").parquet(f"{path}/nodes")
+    staging, keys = Staging(lines.sparkSession), ["word", "file"]
+    try:
+        # Ranges are found in one pass and dealt out in another; words are cut before, once.
+        lines = lines.select(F.array_distinct("tokens").alias("tokens"), "relpath", "line_no", *NODE_COLUMNS)
+        lines = staging.table(lines, "lines")
+        rows = postings(lines)
+        ranged = rows.repartitionByRange(partitions, *keys) if partitions else rows.repartitionByRange(*keys)
+        (ranged.sortWithinPartitions("word", "file", "line_no").drop("file")
+         .write.mode("errorifexists").parquet(f"{path}/postings"))
+        node_table(lines).write.mode("errorifexists").parquet(f"{path}/nodes")
+    finally:
+        staging.drop()
 
 
 def indexed_occurrences(spark: SparkSession, path: str, text: str, version: str | None = S.ALL_VERSIONS,

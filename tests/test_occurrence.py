@@ -163,3 +163,16 @@ def test_stream(spark, lines, requests, rows, tmp_path):
 def test_lines_are_cut_into_words_once(lines):
     plan = O.occurrences(lines, "disk error on volume")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("split(regexp_replace(lower(") <= 2        # the two branches of one expression
+
+
+def test_index_cuts_each_line_once(spark, lines, tmp_path):
+    cut = spark.sparkContext.accumulator(0)
+
+    def words(message):
+        cut.add(1)
+        return (message or "").split()
+
+    stored = (lines.withColumn("tokens", F.udf(words, "array<string>")("message")).withColumn("relpath", F.col("node_name"))
+              .withColumn("line_no", F.monotonically_increasing_id()))
+    build_index(stored, str(tmp_path / "index"))
+    assert cut.value == lines.count()
