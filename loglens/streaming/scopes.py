@@ -29,7 +29,7 @@ from loglens.operators.relevance import is_relevant
 from loglens.operators.scope import MISSING, SIDECAR_PATTERN, node_scopes, resolve_scope
 from loglens.plans.ingest import _output_tasks, _unpack, member_stats
 from loglens.session import Staging, join_checked, join_salted, ship_package
-from loglens.sources.archives import _open, direct_rows, member_lines
+from loglens.sources.archives import _open, direct_rows, member_lines, spread_archives
 from loglens.sources.bundles import bundle_stream
 from loglens.sources.lines import content_lines
 from loglens.sources.listing import open_store, qualify, root_path
@@ -142,11 +142,13 @@ class CaseScopes(StatefulProcessor):
         scopes = {k[0]: tuple(v) for k, v in self.scopes.iterator()}
         if changed:
             out += self._corrected(scopes)
-        now = int(time.time() * 1000)
+        now, given = int(time.time() * 1000), {}
         for row in files:
-            known = resolved(row.dir, scopes)
+            known = given.get(row.dir)
+            if known is None:                               # the state is asked once a directory, not once a file
+                known = given[row.dir] = resolved(row.dir, scopes)
+                self.dirs.updateValue((row.dir,), known)
             file = (row.dir, row.uri, row.mtime.to_pydatetime(), int(row.length), bool(row.is_archive))
-            self.dirs.updateValue((row.dir,), known)
             out.append(("read", row.relpath, *file, *known))
             if row.is_archive or known[0] == MISSING["node_name"]:
                 self.waiting.updateValue((row.relpath,), (*file, *known, now))
@@ -202,7 +204,7 @@ def write_files(spark: SparkSession, store: LogTable, staging: Staging, base: st
                                                strip_all_archive_exts(plain_uri("uri")).alias("target"))
     ship_package(spark)
     members, errors = _unpack(staging, targets.mapInPandas(_existing, "relpath string"), reads)
-    plain = staging.table(direct_rows(reads.where(~F.col("is_archive"))), "direct")
+    plain = staging.table(direct_rows(spread_archives(reads.where(~F.col("is_archive")))), "direct")
     members = plain if members is None else plain.unionByName(members)
     names = staging.table(members.select("relpath", "archive").distinct(), "names")
     packed = names.where("relpath <> archive")

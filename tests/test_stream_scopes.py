@@ -4,13 +4,14 @@ import gzip
 import random
 import time
 
+import pandas as pd
 import pytest
 
 from bundles import golden_tree, tar, zipped
 from loglens import schema as S
 from loglens.plans.ingest import ingest
 from loglens.sources.tables import LogTable
-from loglens.streaming.scopes import resolved, stream_scoped_ingest
+from loglens.streaming.scopes import CaseScopes, resolved, stream_scoped_ingest
 
 LATER = int(time.time()) + 10_000
 
@@ -89,3 +90,27 @@ def test_waiting_files_are_forgotten(spark, tmp_path, put):
     finally:
         query.stop()
     assert sorted((r.message, r.node_name) for r in store.current_lines().collect()) == [("bycast", "n"), ("m", "n")]
+
+
+class KeptState(dict):
+    """A map state that counts what is written to it."""
+
+    written = 0
+    getValue, containsKey, removeKey = dict.__getitem__, dict.__contains__, dict.pop
+
+    def updateValue(self, key, value):
+        self[key], self.written = value, self.written + 1
+
+    def iterator(self):
+        return iter(list(self.items()))
+
+
+def test_state_is_written_once_a_directory():
+    case = CaseScopes(60, False)
+    case.scopes, case.dirs, case.waiting = KeptState(), KeptState(), KeptState()
+    marker = ("marker", None, "c/n", None, pd.Timestamp(0), 0, False, "n", "g", "t", "k", None, -1, -1)
+    files = [("file", f"c/{d}/{i}.log", f"c/{d}", "u", pd.Timestamp(0), 1, False, *[None] * 5, -1, -1) for d in ("n", "o") for i in range(50)]
+    columns = ["kind", "relpath", "dir", "uri", "mtime", "length", "is_archive", *S.SCOPE_FIELDS]
+    out = pd.concat(case.handleInputRows(("c",), iter([pd.DataFrame([marker, *files], columns=columns)]), None))
+    assert len(out) == 100 and set(out[out["dir"] == "c/n"]["node_name"]) == {"n"} and len(case.waiting) == 50
+    assert case.dirs.written == 2
