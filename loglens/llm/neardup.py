@@ -9,9 +9,10 @@ At a similarity of exactly 0.8, the chance that no table holds a pair is 2 * (1
 vanishes quickly above.
 
 Documents of a large group of copies are not compared pair by pair. In each of a few rounds a document meets one
-drawn member of each of its buckets, the most promising of these is compared with it, and components grow. Those
-that still share a bucket across components then go through an exact prefix filter: their shingles are ordered by
-rarity, and only pairs that share an early enough one are compared. Equal sets are one node from the start.
+drawn member of each of its buckets, the most promising of these are compared with it, and components grow; rounds go
+on while they link documents. Those that still share a bucket across components then go through an exact prefix
+filter: their shingles are ordered by rarity, and only pairs that share an early enough one are compared. Equal sets
+are one node from the start.
 
 Defined cases: a null or empty text, or one without words, has an empty set and is linked with nothing; a text of
 one word is that word. Rows that repeat a doc_id are judged each by its own text. Rows without doc_id are
@@ -38,8 +39,12 @@ ROWS = 2
 # Of 32 two-bit samples of the minhashes, a pair at 0.8 has more than 17 that differ about once in a million.
 SAMPLES = 32
 MOST_DIFFERING = 17
-# Rounds in which each document is compared with its most promising candidate, before all that are left.
+# Rounds in which each document is compared with its most promising candidates, before all that are left. More follow
+# while one in so many pairs proves a link: a document left out of a large component would meet all of its members.
 ROUNDS = 3
+PAIRS_A_LINK = 100
+# Candidates of a document that the rounds after the first compare with it.
+CANDIDATES = 4
 CACHED_WORDS = 500_000
 LONGEST_CACHED = 64
 
@@ -171,9 +176,10 @@ class Confirmer:
             made = self.staging.table(made, f"sets-{self.calls}")
             self.sets = made if self.sets is None else self.sets.unionByName(made)
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """Those of ``pairs`` (a, b) whose sets are similar."""
-        self.ask(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+    def links(self, pairs: DataFrame, asked: bool = False) -> DataFrame:
+        """Those of ``pairs`` (a, b) whose sets are similar; ``asked`` says that all their sets are at hand."""
+        if not asked:
+            self.ask(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
         both = (pairs.join(self.sets.select(F.col("id").alias("b"), F.col("shingles").alias("b_shingles")), "b")
                 .join(self.sets.select(F.col("id").alias("a"), F.col("shingles").alias("a_shingles")), "a"))
         percent = self.percent
@@ -229,18 +235,21 @@ def _may_be_similar(percent: int) -> Column:
             & (_differing() <= MOST_DIFFERING))
 
 
-def _best_pairs(state: DataFrame, round_: int, percent: int) -> DataFrame:
+def _best_pairs(state: DataFrame, round_: int, percent: int, candidates: int) -> DataFrame:
     """For each member of a bucket of several components, the most promising of one other member of each of its buckets.
 
-    The other is drawn by a hash, so a document of many buckets meets many others.
+    The other is drawn by a hash, so a document of many buckets meets many others. These are dealt into as many classes as
+    ``candidates`` are wanted, and the most promising of each is taken.
     """
     drawn = F.struct(F.xxhash64("key", "id", F.lit(round_)).alias("draw"), F.col("id").alias("a"), F.col("n").alias("a_n"),
                      F.col("sketch").alias("a_sketch"), F.col("group").alias("a_group"))
     others = state.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.min(drawn).alias("other"))
     others = others.where("low <> high").select("key", "other.*")
     met = state.join(others, "key").where(_may_be_similar(percent)).select("id", "a", _differing().alias("differ"))
-    best = met.groupBy("id").agg(F.min(F.struct("differ", "a")).alias("best"))
-    return best.select(F.least("id", "best.a").alias("a"), F.greatest("id", "best.a").alias("b")).distinct()
+    class_ = F.pmod(F.xxhash64("a", F.lit(round_)), F.lit(candidates))
+    best = met.groupBy("id").agg(*(F.min(F.when(class_ == i, F.struct("differ", "a"))).alias(f"best_{i}") for i in range(candidates)))
+    best = best.select("id", F.explode(F.array(*(f"best_{i}.a" for i in range(candidates)))).alias("a")).where("a is not null")
+    return best.select(F.least("id", "a").alias("a"), F.greatest("id", "a").alias("b")).distinct()
 
 
 def _counted_shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -311,23 +320,25 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILAR_PERCENT) -> DataFram
     buckets = staging.table(keys.groupBy("key").agg(F.count("*").alias("many")).where("many > 1").select("key"), "buckets")
     members = staging.table(join_checked(keys, buckets, "key", "left_semi"), "members")
     confirmer = Confirmer(texts.select(F.col("doc_id").alias("id"), "text"), staging, percent)
-    links, found, round_ = None, None, 0
+    links, found, round_, growing = None, None, 0, ROUNDS > 0
     while members.limit(1).count():
-        last = round_ >= ROUNDS
+        last = round_ >= ROUNDS and not growing
         round_ += 1
         grouped = _grouped(nodes, found)
         if last:
             confirmer.ask(members.select("id").distinct())
             pairs = _all_pairs(confirmer.sets, grouped, percent, staging)
         else:
-            pairs = _best_pairs(members.join(grouped, "id"), round_, percent)
+            pairs = _best_pairs(members.join(grouped, "id"), round_, percent, CANDIDATES if round_ > 1 else 1)
         pairs = staging.table(pairs, f"pairs-{round_}")
-        new = confirmer.links(pairs)
-        if new.limit(1).count():
+        new = confirmer.links(pairs, asked=last)
+        linked = new.count()
+        growing = PAIRS_A_LINK * linked > pairs.count()
+        if linked:
             links = new if links is None else links.unionByName(new)
             found = components(links, staging, f"components-{round_}")
         elif not last:
-            round_ = ROUNDS                 # only the complete round is left
+            round_ = max(round_, ROUNDS)    # only the complete round is left
         if last:
             break
         mixed = members.join(_grouped(nodes, found), "id").groupBy("key").agg(

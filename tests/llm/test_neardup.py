@@ -74,3 +74,21 @@ def test_components_of_a_chain_and_a_star(spark):
     found = neardup.components(spark.createDataFrame(links, "a long, b long"), Staging(spark), "c").collect()
     assert {r.id: r.component_id for r in found} == {**{i: 0 for i in range(1, 41)}, **{i: 100 for i in range(101, 160)},
                                                      **{i: 50 for i in (54, 55, 60)}}
+
+
+def test_members_of_a_large_group_meet_few_others(spark, monkeypatch):
+    """Texts of which some pairs are just above the limit and most just below, so that rounds leave many out of their component."""
+    draw = random.Random(5)
+    base = [f"w{draw.randrange(3000)}" for _ in range(150)]
+    rows = [(i, " ".join(f"x{draw.randrange(10**6)}" if draw.random() < 0.029 else w for w in base)) for i in range(240)]
+    left, made = [], neardup._all_pairs
+
+    def counted(*args):
+        pairs = made(*args)
+        left.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(neardup, "_all_pairs", counted)
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert found == brute_force(rows)
+    assert sum(left) < 1500
