@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from loglens.session import ship_package
 
 # Texts are worked on in runs of about so many characters, so that a task's memory doesn't follow its batch.
 RUN_CHARS = 2_000_000
+# Of Spark's own batches, where workers hold much else; Spark's default is 10,000 rows, or 64 MB.
+BATCH_BYTES = "2m"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -36,6 +40,29 @@ def runs(batches: Iterator[pd.DataFrame], text: str = "text", chars: int = RUN_C
             start = stop
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Have Spark send texts to the workers in batches of at most about ``BATCH_BYTES``, unless the session says otherwise.
+
+    A batch is held several times over: in the executor's buffers, in the worker's, and as strings there.
+    """
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def give_back() -> None:
+    """Give memory that this process has freed back to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidied(made: Iterator) -> Iterator:
+    """All that ``made`` gives in a worker, which waits for its next task without the memory that it took."""
+    yield from made
+    give_back()
+
+
 def lower_ascii(text) -> Column:
     """``text`` with A-Z lower-cased and nothing else; pure ASCII takes the faster way."""
     text = F.col(text) if isinstance(text, str) else text

@@ -29,7 +29,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from loglens.llm.common import mix64, on_executors, runs
+from loglens.llm.common import mix64, on_executors, runs, small_batches, tidied
 from loglens.session import Staging, join_checked
 
 WORDS_PER_SHINGLE = 2
@@ -45,8 +45,10 @@ ROUNDS = 3
 PAIRS_A_LINK = 100
 # Candidates of a document that the rounds after the first compare with it.
 CANDIDATES = 4
-CACHED_WORDS = 500_000
+# Words whose hashes a worker keeps, about two hundred bytes each, and characters of texts that it takes apart at a time.
+CACHED_WORDS = 100_000
 LONGEST_CACHED = 64
+RUN_CHARS = 250_000
 
 # Classes of shingles whose frequencies order a prefix: an array of four megabytes.
 RARITY_BITS = 20
@@ -124,7 +126,7 @@ def sketches(mins: np.ndarray) -> np.ndarray:
 def _signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     import xxhash
     hashes = WordHashes()
-    for rows in runs(batches):
+    for rows in runs(batches, chars=RUN_CHARS):
         sets = shingle_sets(rows["text"].tolist(), hashes)
         digests = np.array([np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), ">i8") for s in sets]).astype(np.int64)
         full = [i for i, s in enumerate(sets) if len(s)]
@@ -143,7 +145,7 @@ def _signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hashes = WordHashes()
-    for rows in runs(batches):
+    for rows in runs(batches, chars=RUN_CHARS):
         sets = shingle_sets(rows["text"].tolist(), hashes)
         yield pd.DataFrame({"id": rows["id"].array, "shingles": [s.tobytes() for s in sets]})
 
@@ -172,7 +174,7 @@ class Confirmer:
             ids = ids.join(self.sets.select("id"), "id", "left_anti")
         ids = self.staging.table(ids, f"asked-{self.calls}")
         if self.sets is None or ids.limit(1).count():
-            made = join_checked(self.docs, ids, "id", "left_semi").mapInPandas(_sets, "id long, shingles binary")
+            made = join_checked(self.docs, ids, "id", "left_semi").mapInPandas(lambda batches: tidied(_sets(batches)), "id long, shingles binary")
             made = self.staging.table(made, f"sets-{self.calls}")
             self.sets = made if self.sets is None else self.sets.unionByName(made)
 
@@ -183,7 +185,7 @@ class Confirmer:
         both = (pairs.join(self.sets.select(F.col("id").alias("b"), F.col("shingles").alias("b_shingles")), "b")
                 .join(self.sets.select(F.col("id").alias("a"), F.col("shingles").alias("a_shingles")), "a"))
         percent = self.percent
-        return self.staging.table(both.mapInPandas(lambda batches: _similar(batches, percent), "a long, b long"), f"links-{self.calls}")
+        return self.staging.table(both.mapInPandas(lambda batches: tidied(_similar(batches, percent)), "a long, b long"), f"links-{self.calls}")
 
 
 def components(links: DataFrame, staging: Staging, name: str) -> DataFrame:
@@ -268,7 +270,7 @@ def _summed(parts: pd.DataFrame) -> pd.DataFrame:
 def rarity(sets: DataFrame) -> np.ndarray:
     """How many shingles of ``sets`` fall into each of 2 ** RARITY_BITS classes: an array of fixed size."""
     kind = "part int, counts binary"
-    parts = sets.mapInPandas(_counted_shingles, kind).groupBy("part").applyInPandas(_summed, kind).collect()
+    parts = sets.mapInPandas(lambda batches: tidied(_counted_shingles(batches)), kind).groupBy("part").applyInPandas(_summed, kind).collect()
     return np.concatenate([np.frombuffer(r["counts"], "<i4") for r in sorted(parts, key=lambda r: r["part"])] or [np.zeros(1 << RARITY_BITS, "<i4")])
 
 
@@ -291,7 +293,7 @@ def _all_pairs(sets: DataFrame, grouped: DataFrame, percent: int, staging: Stagi
     its most frequent component are compared with the others only.
     """
     counts = sets.sparkSession.sparkContext.broadcast(rarity(sets))
-    prefixes = sets.mapInPandas(lambda batches: _prefixes(batches, counts, percent), "key long, id long, place int, before long")
+    prefixes = sets.mapInPandas(lambda batches: tidied(_prefixes(batches, counts, percent)), "key long, id long, place int, before long")
     rows = staging.table(prefixes.join(grouped, "id"), "prefixes")
     frequent = (rows.groupBy("key", "group").agg(F.count("*").alias("many")).groupBy("key")
                 .agg(F.count("*").alias("kinds"), F.max(F.struct("many", "group")).alias("most")).where("kinds > 1")
@@ -308,8 +310,9 @@ def _all_pairs(sets: DataFrame, grouped: DataFrame, percent: int, staging: Stagi
 def near_duplicates(docs: DataFrame, percent: int = SIMILAR_PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each of ``docs`` (doc_id, text)."""
     staging = Staging(docs.sparkSession)
+    small_batches(docs.sparkSession)
     texts = on_executors(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    signatures = staging.table(texts.mapInPandas(_signatures, SIGNATURES), "signatures")
+    signatures = staging.table(texts.mapInPandas(lambda batches: tidied(_signatures(batches)), SIGNATURES), "signatures")
     nodes = staging.table(
         signatures.where("n_shingles > 0 and doc_id is not null").groupBy("set_high", "set_low").agg(
             F.min("doc_id").alias("id"), F.count("*").alias("copies"), F.first("n_shingles").alias("n"),

@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from loglens.llm.common import on_executors, runs
+from loglens.llm.common import on_executors, runs, tidied
 from loglens.session import Staging
 
 CAPACITY = 4096
@@ -190,7 +190,7 @@ def _packed(batches: Iterator[pd.DataFrame], capacity: int, open_bins: int) -> I
 def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """Pieces of at most ``capacity`` tokens of ``docs`` (doc_id, text)."""
     texts = on_executors(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return texts.mapInPandas(lambda batches: pieces_of(batches, path, capacity, end_id), PIECES)
+    return texts.mapInPandas(lambda batches: tidied(pieces_of(batches, path, capacity, end_id)), PIECES)
 
 
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS,
@@ -204,7 +204,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = OP
                                          F.lit(0).cast("long").alias("offset"))
     dealt = (numbered.where(part).withColumn("bucket", F.pmod(F.xxhash64("_row"), F.lit(tasks)))
              .repartition(tasks, "bucket").sortWithinPartitions("bucket", F.desc("length"), "_row").drop("_row"))
-    packed = dealt.mapInPandas(lambda batches: _packed(batches, capacity, open_bins), PACKED)
+    packed = dealt.mapInPandas(lambda batches: tidied(_packed(batches, capacity, open_bins)), PACKED)
     return whole.unionByName(packed)
 
 

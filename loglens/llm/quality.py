@@ -23,7 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from loglens.llm.common import on_executors, runs
+from loglens.llm.common import on_executors, runs, small_batches, tidied
 from loglens.session import Staging, join_checked
 
 ORDER = 5
@@ -123,7 +123,7 @@ def train(trusted: DataFrame, order: int = ORDER, staging: Staging | None = None
     """The model of ``trusted`` (text): a row for every gram and context of up to ``order`` characters."""
     staging = staging or Staging(trusted.sparkSession)
     texts = on_executors(trusted).select(F.col("text").cast("string"))
-    grams = (texts.mapInPandas(lambda batches: _counted(batches, order), "gram string, n long")
+    grams = (texts.mapInPandas(lambda batches: tidied(_counted(batches, order)), "gram string, n long")
              .groupBy("gram").agg(F.sum("n").alias("n")))
     return _model(staging.table(grams, f"counts-{order}"), order, staging)
 
@@ -211,7 +211,7 @@ class Scorer:
     def __init__(self, model: DataFrame, staging: Staging, order: int = ORDER, shard_rows: int = SHARD_ROWS):
         self.staging, self.order = staging, order
         shards = self.shards = -(-model.count() // shard_rows) or 1
-        keyed = on_executors(model).mapInPandas(lambda batches: _keyed(batches, order, shards),
+        keyed = on_executors(model).mapInPandas(lambda batches: tidied(_keyed(batches, order, shards)),
                                                 "slot int, key long, shard long, log2 float")
         keyed = staging.table(keyed, "keyed") if shards > 1 else keyed
         send = model.sparkSession.sparkContext.broadcast
@@ -222,7 +222,7 @@ class Scorer:
         scored, order, shards = docs.withColumn(to, F.lit(0.0)), self.order, self.shards
         for shard, rows in enumerate(self.rows):
             def bits(batches: Iterator[pd.Series], rows=rows, shard=shard) -> Iterator[pd.Series]:
-                return _bits(batches, rows, order, shard, shards)
+                return tidied(_bits(batches, rows, order, shard, shards))
 
             of = F.pandas_udf(bits, "double", F.PandasUDFType.SCALAR_ITER)
             scored = scored.withColumn(to, F.col(to) + of(F.coalesce(F.col(text).cast("string"), F.lit(""))))
@@ -238,6 +238,7 @@ def judged(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, order
     Trusted are the documents whose ``labels`` (doc_id, quality) say 1.
     """
     staging = Staging(docs.sparkSession)
+    small_batches(docs.sparkSession)
     sure = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
     trusted = join_checked(docs.select("doc_id", "text", "lang").where("text <> ''"), sure, "doc_id", "left_semi")
     held = F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT_ONE_IN)) == 0

@@ -27,7 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from loglens.llm.common import on_executors, runs
+from loglens.llm.common import on_executors, runs, tidied
 
 FALSE_DISCOVERY = 0.01
 # p-values are counted in bins of a tenth of a decimal order.
@@ -228,7 +228,7 @@ def reported_bins(docs: DataFrame, rate: float = FALSE_DISCOVERY) -> dict[tuple[
     What comes to the driver is a count for each class, form and bin, whatever the input.
     """
     texts = on_executors(docs).select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    counts = (texts.mapInPandas(_counted, "length_class int, form int, bin int, n long")
+    counts = (texts.mapInPandas(lambda batches: tidied(_counted(batches)), "length_class int, form int, bin int, n long")
               .groupBy("length_class", "form", "bin").agg(F.sum("n").alias("n")).collect())
     seen: dict[tuple[int, int], dict[int, int]] = {}
     for row in counts:
@@ -267,7 +267,7 @@ def scan(docs: DataFrame, rate: float = FALSE_DISCOVERY) -> DataFrame:
     """Spans of secrets in each of ``docs`` (doc_id, text)."""
     cuts = reported_bins(docs, rate)
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return texts.mapInPandas(lambda batches: _scanned(batches, cuts), SPANS)
+    return texts.mapInPandas(lambda batches: tidied(_scanned(batches, cuts)), SPANS)
 
 
 def redact(docs: DataFrame, rate: float = FALSE_DISCOVERY, text: str = "text") -> DataFrame:

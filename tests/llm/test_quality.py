@@ -82,3 +82,21 @@ def test_without_trusted_documents(spark):
     labels = spark.createDataFrame([(1, 0)], "doc_id long, quality int")
     assert {r.doc_id: (r.perplexity, r.keep) for r in quality.classify(docs, labels).collect()} == {1: (None, True), 2: (None, False)}
     assert quality.classify(docs.limit(0), labels).collect() == []
+
+
+def test_texts_come_in_small_batches_and_workers_give_memory_back(spark, monkeypatch):
+    from loglens.llm import common
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.createDataFrame([(i, "a b " * 500, "x") for i in range(40)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(40)], "doc_id long, quality int")
+    spark.conf.unset(size)
+    quality.classify(docs, labels)
+    assert spark.conf.get(size) == common.BATCH_BYTES
+    sizes = docs.repartition(1).mapInPandas(lambda batches: (b[["doc_id"]].head(1).assign(n=len(b)) for b in batches), "doc_id long, n long")
+    spark.conf.set(size, "20k")
+    quality.classify(docs, labels)                          # what the session says stays
+    assert spark.conf.get(size) == "20k" and max(r.n for r in sizes.collect()) < 20
+    spark.conf.unset(size)
+    given = []
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    assert list(common.tidied(iter([1, 2]))) == [1, 2] and given == [1]
