@@ -157,7 +157,8 @@ def _write_batch(spark: SparkSession, store: LogTable, staging: Staging, root: s
         "relpath", "seconds", counted.alias("expected"), F.coalesce(F.col("token") <= counted, F.lit(False)).alias("mentions")), "facts")
     placed = with_scope(facts).where(is_relevant(F.col("mentions")))
     placed = staging.table(placed.select("relpath", "seconds", "expected", *fields), "small")
-    found = join_salted(small, placed, ["relpath", "seconds"], "relpath")
+    tasks = _output_tasks(current)
+    found = join_salted(as_listed(scan_whole(whole, wanted).coalesce(tasks)), placed, ["relpath", "seconds"], "relpath")
     lines = (member_lines(found, "expected", *fields).where(F.col("line_no") <= F.col("expected"))
              .withColumn("message", F.col("value")).select(*carried))
     considered, expected = facts.select("relpath"), [placed.select("relpath", "expected")]
@@ -175,17 +176,20 @@ def _write_batch(spark: SparkSession, store: LogTable, staging: Staging, root: s
 
     # Members: staged once, so a pass over their chunks, one over their lines
     if logs is not None:
-        named = join_checked(members, staging.table(logs, "logs"), ["relpath", "archive"], "left_semi")
+        logs = staging.table(logs, "logs")
+        named = join_checked(members, logs, ["relpath", "archive"], "left_semi")
         about = with_scope(member_stats(named)).where(is_relevant(F.col("mentions")))
         about = staging.table(about.select("archive", "relpath", "expected", *fields), "about")
-        chunks = join_salted(named, about, ["archive", "relpath"], "chunk_no")
+        few = join_checked(members.coalesce(tasks), logs, ["relpath", "archive"], "left_semi")
+        chunks = join_salted(few, about, ["archive", "relpath"], "chunk_no")
         unpacked = member_lines(chunks, "expected", *fields).where(F.col("line_no") <= F.col("expected"))
         lines = lines.unionByName(unpacked.withColumn("message", F.col("value")).select(*carried))
         considered = considered.union(logs.select("relpath"))
         expected.append(about.select("relpath", "expected"))
 
-    # Scans of many small files have many small tasks; written as they are, each would leave a small file.
-    documents = as_documents(with_ingest_time(lines, millis)).coalesce(_output_tasks(current))
+    # Scans of many small files have many small partitions; written as they are, each would leave a small file. They are
+    # brought together before the joins: behind them a task would open the joined tables once for each partition.
+    documents = as_documents(with_ingest_time(lines, millis)).coalesce(tasks)
     store.write("lines", batch, documents)
     written = spark.read.schema(S.LOG_LINES).parquet(store.batch_path("lines", batch))
     counts = reduce(DataFrame.unionByName, expected)

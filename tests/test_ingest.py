@@ -229,3 +229,16 @@ def test_names_that_readers_pass_over_and_archives_beside_their_content(spark, t
     store = LogTable(spark, table)
     assert {r.archive.removeprefix(f"{case}/") for r in store.errors().collect()} == {"broken.zip", "half.zip"}
     assert {(r.relpath.removeprefix(f"{case}/"), r.lines, r.ok) for r in store.report().where("lines = 0").collect()} == {("empty.log", 0, True)}
+
+
+def test_scans_are_brought_together_before_joined_tables_are_opened(spark, tree, monkeypatch):
+    """Behind the joins, each of a task's many scan partitions would count a joined table once more."""
+    root, table, add = tree
+    golden_tree(root, lambda _, path, content: add(path, content))
+    plans, write = [], LogTable.write
+    monkeypatch.setattr(LogTable, "write", lambda self, name, batch, rows: (
+        plans.append(rows._jdf.queryExecution().executedPlan().toString()) if name == "lines" else None, write(self, name, batch, rows))[1])
+    ingest(spark, root, table, now=LATER)
+    assert len(plans) == 1
+    for scan in plans[0].split("Scan text ")[:-1]:         # above each scan, the last coalescing stands below the last join
+        assert scan.rindex("Coalesce") > scan.rindex("HashJoin")
