@@ -45,6 +45,9 @@ ROUNDS = 3
 PAIRS_A_LINK = 100
 # Candidates of a document that the rounds after the first compare with it.
 CANDIDATES = 4
+# Rows of ids, keys or pairs that a task hands on: tables that get ever smaller from round to round don't leave a file in each
+# of as many tasks as the first.
+TASK_ROWS = 100_000
 # Words whose hashes a worker keeps, about two hundred bytes each, and characters of texts that it takes apart at a time.
 CACHED_WORDS = 100_000
 LONGEST_CACHED = 64
@@ -177,6 +180,7 @@ class Confirmer:
             made = join_checked(self.docs, ids, "id", "left_semi").mapInPandas(lambda batches: tidied(_sets(batches)), "id long, shingles binary")
             made = self.staging.table(made, f"sets-{self.calls}")
             self.sets = made if self.sets is None else self.sets.unionByName(made)
+        self.staging.drop(f"asked-{self.calls}")
 
     def links(self, pairs: DataFrame, asked: bool = False) -> DataFrame:
         """Those of ``pairs`` (a, b) whose sets are similar; ``asked`` says that all their sets are at hand."""
@@ -188,6 +192,11 @@ class Confirmer:
         return self.staging.table(both.mapInPandas(lambda batches: tidied(_similar(batches, percent)), "a long, b long"), f"links-{self.calls}")
 
 
+def in_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, which has about ``rows`` rows, in no more tasks than these call for, but enough for all cores."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, rows // TASK_ROWS + 1))
+
+
 def components(links: DataFrame, staging: Staging, name: str) -> DataFrame:
     """(id, component_id) of all ids of ``links`` (a, b) that aren't their component's smallest.
 
@@ -208,17 +217,42 @@ def components(links: DataFrame, staging: Staging, name: str) -> DataFrame:
     def digest(edges: DataFrame):
         return edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
 
-    edges, step = staging.table(links.where("a < b").select("a", "b").distinct(), f"{name}-0"), 0
+    rows = links.count()
+    edges, step = staging.table(in_tasks(links.where("a < b").select("a", "b").distinct(), rows), f"{name}-0"), 0
     seen = digest(edges)
     while seen[0]:
         step += 1
-        edges = staging.table(small(large(edges)).distinct(), f"{name}-{step}")
+        rows = 2 * seen[0]
+        moved = in_tasks(small(in_tasks(large(edges), rows)), rows).distinct()
+        edges = staging.table(in_tasks(moved, rows), f"{name}-{step}")
+        staging.drop(f"{name}-{step - 1}")
         before, seen = seen, digest(edges)
         if before == seen:
             break
     return edges.select(F.col("b").alias("id"), F.col("a").alias("component_id"))
 
 
+def grown(found: DataFrame | None, links: DataFrame, staging: Staging, name: str) -> DataFrame:
+    """(id, component_id) of all ids that aren't their component's smallest, once ``links`` (a, b) joined those ``found`` so far.
+
+    Only components that a link joins are looked at again, each as one node: its smallest id.
+    """
+    if found is not None:
+        rows = links.count()
+        for end in ("a", "b"):
+            known = found.select(F.col("id").alias(end), "component_id")
+            links = links.join(known, end, "left").withColumn(end, F.coalesce("component_id", end)).drop("component_id")
+        links = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        links = staging.table(in_tasks(links, rows), f"{name}-joined")
+    moved = components(links, staging, name)
+    if found is None:
+        return moved
+    into = moved.select(F.col("id").alias("component_id"), F.col("component_id").alias("into"))
+    again = join_checked(found, into, "component_id", "left").select("id", F.coalesce("into", "component_id").alias("component_id"))
+    again = again.unionByName(moved)
+    return staging.table(in_tasks(again, again.count()), f"{name}-all")
+
+
 def _grouped(nodes: DataFrame, found: DataFrame | None) -> DataFrame:
     """(id, n, sketch, group): the component that each node belongs to so far."""
     known = nodes.select("id", "n", "sketch")
@@ -323,8 +357,8 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILAR_PERCENT) -> DataFram
     buckets = staging.table(keys.groupBy("key").agg(F.count("*").alias("many")).where("many > 1").select("key"), "buckets")
     members = staging.table(join_checked(keys, buckets, "key", "left_semi"), "members")
     confirmer = Confirmer(texts.select(F.col("doc_id").alias("id"), "text"), staging, percent)
-    links, found, round_, growing = None, None, 0, ROUNDS > 0
-    while members.limit(1).count():
+    found, holds_found, round_, growing = None, 0, 0, ROUNDS > 0
+    while size := members.count():
         last = round_ >= ROUNDS and not growing
         round_ += 1
         grouped = _grouped(nodes, found)
@@ -332,21 +366,26 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILAR_PERCENT) -> DataFram
             confirmer.ask(members.select("id").distinct())
             pairs = _all_pairs(confirmer.sets, grouped, percent, staging)
         else:
-            pairs = _best_pairs(members.join(grouped, "id"), round_, percent, CANDIDATES if round_ > 1 else 1)
-        pairs = staging.table(pairs, f"pairs-{round_}")
+            pairs = _best_pairs(in_tasks(members.join(grouped, "id"), size), round_, percent, CANDIDATES if round_ > 1 else 1)
+            pairs = in_tasks(pairs, size)
+        pairs = staging.table(pairs, f"round-{round_}/pairs")
         new = confirmer.links(pairs, asked=last)
         linked = new.count()
         growing = PAIRS_A_LINK * linked > pairs.count()
         if linked:
-            links = new if links is None else links.unionByName(new)
-            found = components(links, staging, f"components-{round_}")
+            found, holds_found = grown(found, new, staging, f"round-{round_}/components"), round_
         elif not last:
             round_ = max(round_, ROUNDS)    # only the complete round is left
         if last:
             break
         mixed = members.join(_grouped(nodes, found), "id").groupBy("key").agg(
             F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("key")
-        members = staging.table(members.join(mixed, "key", "left_semi"), f"members-{round_}")
+        members = staging.table(in_tasks(members.join(mixed, "key", "left_semi"), size), f"round-{round_}/members")
+        for done in set(range(1, round_)) - {holds_found}:
+            staging.drop(f"round-{done}")
+    for done in ("buckets", "members", "prefixes", *(f"sets-{i + 1}" for i in range(confirmer.calls)),
+                 *(f"round-{i + 1}" for i in range(round_) if i + 1 != holds_found)):
+        staging.drop(done)
     groups = nodes.select("set_high", "set_low", "id", "copies")
     groups = (groups.join(found, "id", "left") if found is not None else groups.withColumn("component_id", F.lit(None).cast("long")))
     groups = groups.where("copies > 1 or component_id is not null").select(

@@ -68,9 +68,9 @@ class Staging:
         df.write.mode("errorifexists").parquet(where)
         return self.spark.read.schema(df.schema).parquet(where)
 
-    def drop(self) -> None:
-        """Delete this object's own tables. Call it when nothing reads them any more."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+    def drop(self, name: str = "") -> None:
+        """Delete this object's own tables, or the one of ``name``, or those below it. Call it when nothing reads them any more."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

@@ -76,6 +76,37 @@ def test_components_of_a_chain_and_a_star(spark):
                                                      **{i: 50 for i in (54, 55, 60)}}
 
 
+def test_components_grow_by_new_links(spark):
+    from loglens.session import Staging
+    draw, staging, found, links = random.Random(8), Staging(spark), None, []
+    for step in range(3):
+        new = [tuple(sorted(draw.sample(range(60), 2))) for _ in range(12)] + ([(0, 1)] if step else [])
+        links += new
+        found = neardup.grown(found, spark.createDataFrame(new, "a long, b long"), staging, f"c{step}")
+        least = {i: i for i in range(60)}
+        for _ in range(60):
+            for x, y in links:
+                least[x] = least[y] = min(least[x], least[y])
+        assert sorted(tuple(r) for r in found.select("id", "component_id").collect()) == sorted((i, c) for i, c in least.items() if c != i)
+
+
+def test_tables_of_rounds_are_deleted(spark, monkeypatch):
+    """A disk holds what one round reads and writes, not all tables of all rounds."""
+    import glob
+    from loglens.session import Staging
+    made, kept = [], Staging.table
+    monkeypatch.setattr(Staging, "table", lambda self, df, name: made.append(self.path) or kept(self, df, name))
+    draw = random.Random(5)
+    base = [f"w{draw.randrange(3000)}" for _ in range(150)]
+    rows = [(i, " ".join(f"x{draw.randrange(10**6)}" if draw.random() < 0.029 else w for w in base)) for i in range(60)]
+    out = neardup.near_duplicates(spark.createDataFrame(rows, SCHEMA))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out.collect()} == brute_force(rows)
+    left = glob.glob(f"{made[0].removeprefix('file:')}/**/*.parquet", recursive=True)
+    tables = {f.removeprefix(f"{made[0].removeprefix('file:')}/").rsplit("/", 1)[0].split("/")[0] for f in left}
+    assert len(made) > 8 and "nodes" in tables and not tables & {"buckets", "members", "asked-1", "sets-1"}
+    assert sum(t.startswith("round-") for t in tables) == 1
+
+
 def test_members_of_a_large_group_meet_few_others(spark, monkeypatch):
     """Texts of which some pairs are just above the limit and most just below, so that rounds leave many out of their component."""
     draw = random.Random(5)
