@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks.tables import table
-from loglens.session import shared_dir
+from loglens.session import give_back, shared_dir
 from loglens.sources.listing import list_files, open_store, qualify
 
 
@@ -59,6 +59,7 @@ def _pack_batches(batches):
     for batch in batches:
         rows = [_pack(d, t.encode()) for d, t in zip(batch["doc_id"], batch["text"])]
         yield pd.DataFrame({"relpath": [r[0] for r in rows], "content": [r[1] for r in rows]})
+    give_back()
 
 
 def _spoil_batches(batches):
@@ -66,6 +67,7 @@ def _spoil_batches(batches):
         data = [gzip.compress(t.encode() + (b"\n\xff\xfe\n" + t.encode() if d % 3 == 0 else b""))
                 for d, t in zip(batch["doc_id"], batch["text"])]
         yield pd.DataFrame({"relpath": [f"{d}.log.gz" for d in batch["doc_id"]], "content": data})
+    give_back()
 
 
 def _made(spark: SparkSession, sf_dir: str, make) -> DataFrame:

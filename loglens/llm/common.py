@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from loglens.session import ship_package
+from loglens.session import give_back, ship_package
 
 # Texts are worked on in runs of about so many characters, so that a task's memory doesn't follow its batch.
 RUN_CHARS = 2_000_000
@@ -49,14 +47,6 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
-def give_back() -> None:
-    """Give memory that this process has freed back to the system, where the C library can."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim:
-        trim(0)
-
-
 def tidied(made: Iterator) -> Iterator:
     """All that ``made`` gives in a worker, which waits for its next task without the memory that it took."""
     yield from made

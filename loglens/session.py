@@ -1,5 +1,6 @@
 """Session settings, shared staging space and joins that check sizes before broadcasting."""
 
+import ctypes
 import shutil
 import tempfile
 import uuid
@@ -37,6 +38,15 @@ def ship_package(spark: SparkSession) -> None:
         context._loglens_shipped = True
 
 
+def give_back() -> None:
+    """Give memory that this process has freed back to the system, where the C library can."""
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder the session names for checkpoints. On a cluster one must be named; only a local master gets its own."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from loglens import schema as S
 from loglens.functions.paths import plain_uri, strip_all_archive_exts
-from loglens.session import ship_package
+from loglens.session import give_back, ship_package
 from loglens.sources.lines import content_lines
 from loglens.sources.listing import open_store
 
@@ -27,7 +27,7 @@ CHUNK_BYTES = 8 << 20
 SPOOL_BYTES = 64 << 20
 # Files up to this size are opened by reading them.
 SMALL_BYTES = 64 << 10
-_BATCH_BYTES = 32 << 20
+_BATCH_BYTES = 4 << 20
 
 
 def skip_unpacked(archives: DataFrame, existing: DataFrame) -> DataFrame:
@@ -220,7 +220,9 @@ def _chunks(stream, chunk_bytes):
 
 
 def _framed(rows, columns, content=None):
-    """Rows, the bytes of whose ``content`` column count, in data frames of about ``_BATCH_BYTES``."""
+    """Rows, the bytes of whose ``content`` column count, in data frames of about ``_BATCH_BYTES``.
+
+    A frame is held several times over on its way out. Behind the last one the worker gives back what it took."""
     held, size, at = [], 0, None if content is None else columns.index(content)
     for row in rows:
         held.append(row)
@@ -230,6 +232,8 @@ def _framed(rows, columns, content=None):
             held, size = [], 0
     if held:
         yield pd.DataFrame(held, columns=columns)
+        held = []
+    give_back()
 
 
 def _expand_batches(batches, chunk_bytes):

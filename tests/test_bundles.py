@@ -74,3 +74,12 @@ def test_many_small_files_make_few_frames(tmp_path, put, monkeypatch):
     for name, call in calls.items():
         frames = list(call())
         assert 4 <= len(frames) <= 5 and sum(map(len, frames)) == 200, name
+
+
+def test_frames_are_a_few_megabytes_and_memory_is_given_back(monkeypatch):
+    """A frame is held several times over, by the worker and on its way out; a worker that waits holds none of it."""
+    given = []
+    monkeypatch.setattr(archives, "give_back", lambda: given.append(True))
+    frames = list(archives._framed(((i, b"x" * (1 << 20)) for i in range(24)), ["n", "content"], "content"))
+    assert [n for f in frames for n in f["n"]] == list(range(24))
+    assert max(f["content"].str.len().sum() for f in frames) <= 5 << 20 and given == [True]
