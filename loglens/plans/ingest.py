@@ -158,7 +158,7 @@ def _write_batch(spark: SparkSession, store: LogTable, staging: Staging, root: s
     placed = with_scope(facts).where(is_relevant(F.col("mentions")))
     placed = staging.table(placed.select("relpath", "seconds", "expected", *fields), "small")
     tasks = _output_tasks(current)
-    found = join_salted(as_listed(scan_whole(whole, wanted).coalesce(tasks)), placed, ["relpath", "seconds"], "relpath")
+    found = join_checked(as_listed(scan_whole(whole, wanted).coalesce(tasks)), placed, ["relpath", "seconds"])    # a row is a file
     lines = (member_lines(found, "expected", *fields).where(F.col("line_no") <= F.col("expected"))
              .withColumn("message", F.col("value")).select(*carried))
     considered, expected = facts.select("relpath"), [placed.select("relpath", "expected")]

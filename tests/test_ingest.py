@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 import pytest
 
 from bundles import COMMANDS, LOOSE, NODE, golden_tree, tar, zipped
-from loglens import schema as S
+from loglens import schema as S, session
 from loglens.plans.ingest import ingest
 from loglens.plans.occurrence import occurrences
 from loglens.sources.lines import read_lines
@@ -242,3 +242,18 @@ def test_scans_are_brought_together_before_joined_tables_are_opened(spark, tree,
     assert len(plans) == 1
     for scan in plans[0].split("Scan text ")[:-1]:         # above each scan, the last coalescing stands below the last join
         assert scan.rindex("Coalesce") > scan.rindex("HashJoin")
+
+
+def test_fields_of_files_beyond_the_broadcast_limit_are_not_copied(spark, tree, monkeypatch):
+    """A file is one row on either side: a salt would copy its fields, spread nothing and have the text shuffled again."""
+    root, table, add = tree
+    golden_tree(root, lambda _, path, content: add(path, content))
+    ingest(spark, root, table, now=LATER)
+    for function, limit in ((session.is_small, (0,)), (session.join_checked, ("inner", 0)), (session.join_salted, (0,))):
+        monkeypatch.setattr(function, "__defaults__", limit)
+    plans, write = [], LogTable.write
+    monkeypatch.setattr(LogTable, "write", lambda self, name, batch, rows: (
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString()) if name == "lines" else None, write(self, name, batch, rows))[1])
+    ingest(spark, root, f"{table}-shuffled", now=LATER)
+    assert contents(spark, f"{table}-shuffled") == contents(spark, table) != []
+    assert len(plans) == 1 and "_salt" not in plans[0]
