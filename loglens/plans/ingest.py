@@ -2,36 +2,38 @@
 
 A run works through batches of cases. Each batch is one Spark plan over all files of its cases, commits by
 one ledger append, and is skipped when a later run resumes the same window. Small tables (listing, scopes,
-splits) are staged in the shared folder between the passes. A first pass notes of each file whether it counts and
-how many lines it must have, a second reads the lines of those that do; no text is shuffled, unless a batch has more
-directories or splits than may be broadcast.
+ranges) are staged in the shared folder between the passes. A first pass notes of each file whether it counts and
+how many lines it must have, a second reads the lines of those that do; their text is not shuffled. Tasks list the files and
+tasks open them, so the driver holds no list of them.
 """
 
 import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from loglens import schema as S
 from loglens.functions.fields import case_number
-from loglens.functions.paths import dir_name, is_archive, rel_path
+from loglens.functions.paths import dir_name
 from loglens.functions.predicates import in_window, is_log_name
 from loglens.operators.documents import CARRIED, as_documents, with_ingest_time
 from loglens.operators.relevance import is_relevant
 from loglens.operators.scope import SIDECAR_PATTERN, node_scopes, resolve_scope
-from loglens.session import Staging, is_small, join_checked, join_salted
-from loglens.sources.archives import archive_errors, direct_rows, good_members, member_lines, skip_unpacked
-from loglens.sources.lines import (WHOLE_BYTES, attach_splits, open_text, open_whole, place_splits, scan_text,
-                                   scan_whole, split_stats, with_facts)
-from loglens.sources.listing import case_paths, list_cases, list_tree, qualify, read_directly, root_path
+from loglens.session import Staging, is_small, join_checked
+from loglens.sources.archives import archive_errors, good_members, member_lines, skip_unpacked
+from loglens.sources.bundles import file_ranges, range_chunks
+from loglens.sources.lines import WHOLE_BYTES, with_facts
+from loglens.sources.listing import list_cases, list_tree, qualify, root_path
 from loglens.sources.parts import expand_in_parts
 from loglens.sources.tables import LogTable, ingest_report
 
 _DOC_FIELDS = CARRIED  # what a line takes over from its file
 
+# Rows of files or directories, with their paths and fields, that may be broadcast: some 25 MB, which the driver holds several times.
+FILE_ROWS = 50_000
+
 
 @dataclass(frozen=True)
 class IngestRun:
@@ -69,137 +71,111 @@ def ingest(spark: SparkSession, root: str, table: str, *, now: int | None = None
 
 
 def ingest_batch(spark: SparkSession, store: LogTable, root: str, cases: list[str], start: int, stop: int,
-                 only: DataFrame | None = None, text_paths: list[str] | None = None) -> str:
+                 only: DataFrame | None = None) -> str:
     """Write one batch, without committing it, and return its id.
 
-    ``only`` (``relpath``) limits it to some files, whose paths ``text_paths`` must cover; the listing of the
-    whole cases still decides which scopes they are in.
+    ``only`` (``relpath``) limits it to some files; the listing of the whole cases still decides which scopes they are in.
     """
     millis = int(round(time.time() * 1000))
     batch = f"{millis}-{uuid.uuid4().hex[:8]}"
     staging = Staging(spark)
     try:
-        _write_batch(spark, store, staging, root, cases, start, stop, millis, batch, only, text_paths)
+        _write_batch(spark, store, staging, root, cases, start, stop, millis, batch, only)
     finally:
         staging.drop()
     return batch
 
 
 def _write_batch(spark: SparkSession, store: LogTable, staging: Staging, root: str, cases: list[str], start: int, stop: int,
-                 millis: int, batch: str, only: DataFrame | None, text_paths: list[str] | None) -> None:
-    base, paths = root_path(spark, root), case_paths(root, cases)
+                 millis: int, batch: str, only: DataFrame | None) -> None:
+    base = root_path(spark, root)
     tree = staging.table(list_tree(spark, root, cases), "listed")
     listed = tree.where(~F.col("is_dir"))
     current = listed.where(in_window(start, stop))
     if only is not None:
-        current = join_checked(current, only, "relpath", "left_semi")
+        current = join_checked(current, only, "relpath", "left_semi", FILE_ROWS)
     fields = [f"`{c}`" for c in _DOC_FIELDS]
-    carried = ["relpath", "line_no", "message", *fields]
-    sidecar = F.col("relpath").rlike(SIDECAR_PATTERN)
-    direct = read_directly() | (F.col("length") == 0)
-    is_large = F.col("length") > WHOLE_BYTES
+    is_sidecar = F.col("relpath").rlike(SIDECAR_PATTERN)
+    plain = current.where(~F.col("is_archive") & is_log_name())
+    tasks, spare = _output_tasks(current), 4 * spark.sparkContext.defaultParallelism
 
-    # Members: those of archives, and files that Spark's readers would leave out or decode
     members, errors = _unpack(staging, tree, current)
-    in_archives = members.select("relpath", "archive").distinct() if members is not None else None
-    own = current.where(~F.col("is_archive") & is_log_name())
-    by_tasks = listed.where(~F.col("is_archive") & direct & sidecar).unionByName(own.where(direct & ~sidecar))
-    if not by_tasks.isEmpty():
-        read = staging.table(direct_rows(by_tasks), "direct")
-        members = read if members is None else members.unionByName(read)
-        own_direct = own.where(direct).select("relpath", F.col("relpath").alias("archive"))
-        logs = own_direct if in_archives is None else in_archives.where(is_log_name()).unionByName(own_direct)
-    else:
-        logs = in_archives.where(is_log_name()) if in_archives is not None else None
-    plain = own.where(~direct).select("relpath", F.unix_seconds("mtime").alias("seconds"), is_large.alias("large"))
-    plain = staging.table(plain, "plain")
-    any_large = not listed.where(is_large & (sidecar | is_log_name()) & ~direct & ~F.col("is_archive")).isEmpty()
+    names = members.select("relpath", "archive").distinct() if members is not None else None
 
     # Scopes
-    of_file = F.col("_metadata.file_path")
-    as_text = ~is_archive(of_file) & ~read_directly("_metadata.file_name")
-    large = F.col("_metadata.file_size") > WHOLE_BYTES
-    is_sidecar = of_file.rlike(SIDECAR_PATTERN) & as_text
-    whole = open_whole(spark, paths)
-    inside = scan_whole(whole, is_sidecar).select(rel_path("uri", base).alias("relpath"), "first_line", "content")
-    everything = listed.select("relpath")
+    asked = file_ranges(listed.where(~F.col("is_archive") & is_sidecar), max(WHOLE_BYTES, 1)).repartition(spare, "relpath", "part")
+    sidecars = member_lines(range_chunks(asked, max(WHOLE_BYTES, 1), gone=True), "part").select(
+        "relpath", F.col("part").cast("bigint").alias("block"), F.col("line_no").alias("mid"), "value")
+    everything, named = listed.select("relpath"), plain.select("relpath")
     if members is not None:
-        inside = inside.unionByName(members.where(sidecar).select("relpath", "first_line", "content"))
-    if in_archives is not None:
-        everything = everything.union(in_archives.select("relpath"))
-    sidecars = member_lines(inside).select(
-        "relpath", F.lit(0).cast("bigint").alias("block"), F.col("line_no").alias("mid"), "value")
-    if any_large:
-        sidecars = sidecars.unionByName(scan_text(open_text(spark, paths), is_sidecar & large).select(
-            rel_path("uri", base).alias("relpath"), "block", "mid", "value"))
+        inside = member_lines(members.where(is_sidecar))
+        sidecars = sidecars.unionByName(inside.select("relpath", F.lit(0).cast("bigint").alias("block"), F.col("line_no").alias("mid"), "value"))
+        everything, named = everything.union(names.select("relpath")), named.union(names.where(is_log_name()).select("relpath"))
     scopes = staging.table(node_scopes(everything, sidecars, base), "scopes")
-    named = plain.select("relpath") if logs is None else plain.select("relpath").union(logs.select("relpath"))
     dirs = named.select(dir_name("relpath").alias("dir")).distinct()
-    scoped = staging.table(resolve_scope(dirs, scopes), "scoped")
+    scoped = staging.table(resolve_scope(dirs, scopes, FILE_ROWS), "scoped")
 
     def with_scope(files: DataFrame) -> DataFrame:
-        return (join_salted(files.withColumn("dir", dir_name("relpath")), scoped, ["dir"], "relpath")
+        return (join_checked(files.withColumn("dir", dir_name("relpath")), scoped, ["dir"], rows=FILE_ROWS)
                 .withColumn("case", case_number(F.substring_index("relpath", "/", 1))))
 
-    def as_listed(files: DataFrame) -> DataFrame:
-        """Files that are listed and have not changed since: others are left to the next run."""
-        seen = files.withColumn("relpath", rel_path("uri", base)).withColumn("seconds", F.unix_seconds("mtime"))
-        return join_checked(seen, plain.select("relpath", "seconds"), ["relpath", "seconds"], "left_semi")
-
-    # Small files: one pass for the facts of each, one over the lines of those that count
-    fresh = F.unix_seconds(F.col("_metadata.file_modification_time"))
-    wanted = is_log_name(F.col("_metadata.file_name")) & as_text & (fresh >= start) & (fresh < stop)
-    if text_paths is not None:
-        whole, wanted = (open_whole(spark, text_paths), wanted) if text_paths else (whole, F.lit(False))
-    small = as_listed(scan_whole(whole, wanted))
-    counted = F.coalesce(F.col("bad") - 1, F.col("last"))
-    facts = staging.table(with_facts(small).select(
-        "relpath", "seconds", counted.alias("expected"), F.coalesce(F.col("token") <= counted, F.lit(False)).alias("mentions")), "facts")
-    placed = with_scope(facts).where(is_relevant(F.col("mentions")))
-    placed = staging.table(placed.select("relpath", "seconds", "expected", *fields), "small")
-    tasks = _output_tasks(current)
-    found = join_checked(as_listed(scan_whole(whole, wanted).coalesce(tasks)), placed, ["relpath", "seconds"])    # a row is a file
-    lines = (member_lines(found, "expected", *fields).where(F.col("line_no") <= F.col("expected"))
-             .withColumn("message", F.col("value")).select(*carried))
-    considered, expected = facts.select("relpath"), [placed.select("relpath", "expected")]
-
-    # Large files: one pass over the splits, one over the lines
-    if any_large and text_paths != []:
-        raw = scan_text(open_text(spark, paths if text_paths is None else text_paths), wanted & large)
-        splits = as_listed(staging.table(place_splits(split_stats(raw)), "splits"))
-        considered = considered.union(splits.select("relpath").distinct())
-        placed = with_scope(splits).where(is_relevant(F.col("mentions")))
-        placed = staging.table(placed.select("uri", "block", "base", "last_line", "relpath", *fields), "placed")
-        lines = lines.unionByName(attach_splits(raw, placed, "relpath", *_DOC_FIELDS)
-                                  .withColumn("message", F.col("value")).select(*carried))
-        expected.append(placed.groupBy("relpath").agg(F.max("last_line").alias("expected")))
+    asked = file_ranges(plain, max(WHOLE_BYTES, 1), F.unix_seconds("mtime").alias("seconds"))
+    lines, considered, expected = plain_lines(staging, asked, with_scope, tasks)
 
     # Members: staged once, so a pass over their chunks, one over their lines
-    if logs is not None:
-        logs = staging.table(logs, "logs")
-        named = join_checked(members, logs, ["relpath", "archive"], "left_semi")
-        about = with_scope(member_stats(named)).where(is_relevant(F.col("mentions")))
+    if members is not None:
+        logs = members.where(is_log_name())
+        about = with_scope(member_stats(logs)).where(is_relevant(F.col("mentions")))
         about = staging.table(about.select("archive", "relpath", "expected", *fields), "about")
-        few = join_checked(members.coalesce(tasks), logs, ["relpath", "archive"], "left_semi")
-        chunks = join_salted(few, about, ["archive", "relpath"], "chunk_no")
-        unpacked = member_lines(chunks, "expected", *fields).where(F.col("line_no") <= F.col("expected"))
-        lines = lines.unionByName(unpacked.withColumn("message", F.col("value")).select(*carried))
-        considered = considered.union(logs.select("relpath"))
-        expected.append(about.select("relpath", "expected"))
-
-    # Scans of many small files have many small partitions; written as they are, each would leave a small file. They are
-    # brought together before the joins: behind them a task would open the joined tables once for each partition.
+        lines = lines.unionByName(member_documents(logs.coalesce(tasks), about))
+        considered = considered.union(names.where(is_log_name()).select("relpath"))
+        expected = expected.union(about.select("relpath", "expected"))
+
     documents = as_documents(with_ingest_time(lines, millis)).coalesce(tasks)
     store.write("lines", batch, documents)
     written = spark.read.schema(S.LOG_LINES).parquet(store.batch_path("lines", batch))
-    counts = reduce(DataFrame.unionByName, expected)
-    files = (considered.join(counts, "relpath", "left").withColumn("expected", F.coalesce("expected", F.lit(0)))
+    files = (considered.join(expected, "relpath", "left").withColumn("expected", F.coalesce("expected", F.lit(0)))
              .withColumn("case", case_number(F.substring_index("relpath", "/", 1))))
     store.write("report", batch, ingest_report(written, with_ingest_time(files, millis)))
     store.write("errors", batch, errors if errors is not None
                 else spark.createDataFrame([], S.ARCHIVE_ERRORS).coalesce(1))
 
 
+def plain_lines(staging: Staging, ranges: DataFrame, with_scope: Callable[[DataFrame], DataFrame], tasks: int):
+    """Lines of the files of ``ranges`` (see ``file_ranges``) that count, the names of all of them, and how many lines each must have.
+
+    A pass over the files notes of each range how many lines it has, its first undecodable line and its first mention of the product,
+    which is a small table. A second reads the ranges of the files that count; what their lines take over goes through the tasks that
+    read, so text is neither shuffled nor joined.
+    """
+    size = max(WHOLE_BYTES, 1)
+    facts = with_facts(range_chunks(ranges.repartition(tasks, "relpath", "part"), size)).drop("content", "first_line").repartition("relpath")
+    stats = facts.groupBy(*ranges.columns).agg(F.max("last").alias("n"), F.min("bad").alias("bad"), F.min("token").alias("token"))
+    whole = Window.partitionBy("relpath")
+    before = whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    stats = stats.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    counted = F.coalesce(F.min(F.col("bad") + F.col("base")).over(whole) - 1, F.sum("n").over(whole))
+    mentions = F.coalesce(F.min(F.col("token") + F.col("base")).over(whole) <= F.col("expected"), F.lit(False))
+    stats = staging.table(stats.withColumn("expected", counted).withColumn("mentions", mentions).drop("n", "bad", "token"), "plain-stats")
+    placed = with_scope(stats).where(is_relevant(F.col("mentions")))
+    fields = [f"`{c}`" for c in _DOC_FIELDS]
+    kept = [c for c in ranges.columns if c in ("relpath", "source", "length", "part", "seconds")]
+    placed = staging.table(placed.select(*kept, "base", "expected", *fields), "plain-placed")
+    asked = placed.where("base < expected").repartition(tasks, "relpath", "part")
+    read = range_chunks(asked, size).withColumn("first_line", F.col("first_line") + F.col("base"))
+    lines = member_lines(read, "expected", *fields).where(F.col("line_no") <= F.col("expected"))
+    return (lines.select("relpath", "line_no", F.col("value").alias("message"), *fields), stats.where("part = 0").select("relpath"),
+            placed.where("part = 0").select("relpath", "expected"))
+
+
+def member_documents(members: DataFrame, about: DataFrame) -> DataFrame:
+    """Lines of the members in ``about``, with its fields. A member is one row of ``about``: beyond the limit none is copied."""
+    fields = [f"`{c}`" for c in _DOC_FIELDS]
+    chunks = join_checked(members, about, ["archive", "relpath"], rows=FILE_ROWS)
+    lines = member_lines(chunks, "expected", *fields).where(F.col("line_no") <= F.col("expected"))
+    return lines.select("relpath", "line_no", F.col("value").alias("message"), *fields)
+
+
 def _output_tasks(files: DataFrame, target_bytes: int = 128 << 20, unpacked: int = 8) -> int:
     """Tasks that each write documents of about ``target_bytes`` of text, but enough to keep all cores busy."""
     size = F.when(F.col("is_archive"), F.col("length") * unpacked).otherwise(F.col("length"))

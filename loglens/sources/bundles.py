@@ -8,7 +8,7 @@ A stream's offset is a time: a micro-batch holds the files that were last change
 So no list of files seen is kept, and a replayed micro-batch lists the same window again. As with the windows of batch ingest, a
 file that gets a time before its window's end only after that window was listed is missed; ``lag`` is there to allow for it.
 
-``file_lines`` reads files by byte ranges; what it gives for a file doesn't depend on the ranges.
+``file_lines`` and ``range_chunks`` read files by byte ranges; what they give for a file doesn't depend on the ranges.
 """
 
 import json
@@ -158,6 +158,51 @@ def _range_rows(batches, range_bytes):
                         yield row.relpath, row.mtime, row.part * range_bytes, line, piece
 
 
+def file_ranges(files: DataFrame, range_bytes: int, *carry) -> DataFrame:
+    """``(relpath, source, length, part, ..carry)``: the ranges to read ``files`` (``relpath``, ``uri``, ``length``) in. Small files have one."""
+    parts = F.greatest(F.ceil(F.col("length") / range_bytes), F.lit(1)).cast("int")
+    return files.select("relpath", plain_uri("uri").alias("source"), "length", *carry, F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+
+
+def range_chunks(ranges: DataFrame, range_bytes: int, gone: bool = False) -> DataFrame:
+    """``ranges`` with the bytes of the lines that begin in each, as chunks of ``(first_line, content)``; lines count from 1 in a range.
+
+    Files whose time is not that of a column ``seconds`` any more are left out, and with ``gone`` those that are no longer there. All
+    columns of ``ranges`` go along, so nothing has to be joined to the text. The first range of an empty file has an empty chunk.
+    """
+    ship_package(ranges.sparkSession)
+    made = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranges.schema)
+    read = partial(_chunk_batches, columns=ranges.columns, range_bytes=range_bytes, gone=gone)
+    return ranges.mapInPandas(read, f"{made}, first_line long, content binary")
+
+
+def _chunk_batches(batches, columns, range_bytes, gone):
+    yield from _framed(_chunk_rows(batches, columns, range_bytes, gone), [*columns, "first_line", "content"], "content")
+
+
+def _chunk_rows(batches, columns, range_bytes, gone):
+    source, part, length = (columns.index(c) for c in ("source", "part", "length"))
+    seconds = columns.index("seconds") if "seconds" in columns else None
+    for batch in batches:
+        for row in batch.itertuples(index=False, name=None):
+            if (gone or seconds is not None) and not _is_there(row[source], None if seconds is None else row[seconds]):
+                continue
+            with _open(row[source]) as stream:
+                stream.seek(0, 2)
+                size, begin, end = stream.tell(), row[part] * range_bytes, (row[part] + 1) * range_bytes
+                start, stop = _line_start(stream, begin, size), size if end >= row[length] else _line_start(stream, end, size)
+                if start < stop or begin == 0:
+                    for line, piece in _chunks(_Slice(stream, start, stop), CHUNK_BYTES):
+                        yield *row, line, piece
+
+
+def _is_there(source, seconds) -> bool:
+    from pyarrow import fs
+    store, path = open_store(source)
+    info = store.get_file_info(path)
+    return info.type == fs.FileType.File and (seconds is None or info.mtime_ns // 1_000_000_000 == seconds)
+
+
 def numbered_lines(lines: DataFrame) -> DataFrame:
     """``(relpath, line_no, value)`` of ``file_lines``: the lines of earlier ranges of a file are counted, not shuffled."""
     counts = lines.groupBy("relpath", "block").agg(F.max("pos").alias("n"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from loglens import schema as S
-from loglens.functions.paths import is_archive, rel_path
+from loglens.functions.paths import rel_path
 from loglens.plans.ingest import ingest_batch
 from loglens.sources.listing import CASE_GLOB, glob_escape, qualify, root_path
 from loglens.sources.tables import LogTable
@@ -30,16 +30,14 @@ def stream_ingest(spark: SparkSession, root: str, table: str, checkpoint: str,
 
     def step(batch: DataFrame, _: int) -> None:
         # At most max_files paths, which the file source holds on the driver anyway.
-        rows = batch.select("uri", rel_path("uri", base).alias("relpath"),
-                            is_archive(rel_path("uri", base)).alias("is_archive")).collect()
+        rows = batch.select(rel_path("uri", base).alias("relpath")).collect()
         if not rows:
             return
         session = batch.sparkSession
         cases = sorted({r["relpath"].split("/")[0] for r in rows})
-        texts = [f"{glob_escape(root.rstrip('/'))}/{glob_escape(r['relpath'])}" for r in rows if not r["is_archive"]]
         now = int(time.time())
         done = ingest_batch(session, store, root, cases, S.FIRST_WINDOW_START, now + 1,
-                            session.createDataFrame([(r["relpath"],) for r in rows], "relpath string"), texts)
+                            session.createDataFrame([(r["relpath"],) for r in rows], "relpath string"))
         store.ledger.append(S.FIRST_WINDOW_START, now + 1, f"stream:{where}", cases, done)
 
     return (found.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import pandas as pd
 
 from loglens.sources import archives, parts
-from loglens.sources.bundles import _range_batches, bundle_stream, bundle_tree, file_lines, numbered_lines
+from loglens.sources.bundles import _range_batches, bundle_stream, bundle_tree, file_lines, file_ranges, numbered_lines, range_chunks
 from loglens.sources.listing import list_tree
 
 ODD = {"1234567890/.h/.x": "a\nb", "1234567890/_u/_y.log": "", "1234567890/z.bz2": "no codec\n", "1234567890/" + "d/" * 40 + "é +%20=.gz": "deep",
@@ -83,3 +83,23 @@ def test_frames_are_a_few_megabytes_and_memory_is_given_back(monkeypatch):
     frames = list(archives._framed(((i, b"x" * (1 << 20)) for i in range(24)), ["n", "content"], "content"))
     assert [n for f in frames for n in f["n"]] == list(range(24))
     assert max(f["content"].str.len().sum() for f in frames) <= 5 << 20 and given == [True]
+
+
+@pytest.mark.parametrize("range_bytes", [3, 1 << 20])
+def test_ranges_of_files_that_are_still_as_listed(spark, tmp_path, put, range_bytes):
+    """Columns of a file go along with its bytes; files that have changed since or are gone are left out."""
+    texts = {"a": "1\n22\n\n4444\n5", "empty": "", "changed": "x\n", "gone": "y\n"}
+    for name, text in texts.items():
+        put(tmp_path, f"1234567890/{name}", text, 1000)
+    files = spark.createDataFrame([r.asDict() for r in bundle_tree(spark, str(tmp_path)).where("NOT is_dir").collect()],
+                                  "relpath string, uri string, mtime timestamp, length long, is_archive boolean")
+    put(tmp_path, "1234567890/changed", "later\n", 2000)
+    (tmp_path / "1234567890" / "gone").unlink()
+    ranges = file_ranges(files, range_bytes, F.unix_seconds("mtime").alias("seconds"), F.lit("n").alias("node"))
+    got = {}
+    for r in sorted(range_chunks(ranges, range_bytes).collect(), key=lambda r: (r.relpath, r.part, r.first_line)):
+        assert r.node == "n" and r.seconds == 1000
+        got.setdefault(r.relpath, []).append(bytes(r.content))
+    assert {k: b"".join(v).decode() for k, v in got.items()} == {f"1234567890/{k}": texts[k] for k in ("a", "empty")}
+    there = range_chunks(ranges.drop("seconds"), range_bytes, gone=True).where("part = 0").select("relpath").distinct().collect()
+    assert {r.relpath for r in there} == {f"1234567890/{k}" for k in ("a", "empty", "changed")}

@@ -257,3 +257,15 @@ def test_fields_of_files_beyond_the_broadcast_limit_are_not_copied(spark, tree,
     ingest(spark, root, f"{table}-shuffled", now=LATER)
     assert contents(spark, f"{table}-shuffled") == contents(spark, table) != []
     assert len(plans) == 1 and "_salt" not in plans[0]
+
+
+def test_the_driver_holds_no_list_of_files(spark, tree, monkeypatch):
+    """Tasks list the files and tasks open them: no plan is made from the paths of a tree."""
+    root, table, add = tree
+    golden_tree(root, lambda _, path, content: add(path, content))
+    read, write, keep = [], LogTable.write, session.Staging.table
+    monkeypatch.setattr(LogTable, "write", lambda self, name, batch, rows: (read.extend(rows.inputFiles()), write(self, name, batch, rows))[1])
+    monkeypatch.setattr(session.Staging, "table", lambda self, rows, name: (read.extend(rows.inputFiles()), keep(self, rows, name))[1])
+    ingest(spark, root, table, now=LATER)
+    assert len(contents(spark, table)) == 7
+    assert read and not [path for path in read if root in path]
