@@ -269,3 +269,19 @@ def test_the_driver_holds_no_list_of_files(spark, tree, monkeypatch):
     ingest(spark, root, table, now=LATER)
     assert len(contents(spark, table)) == 7
     assert read and not [path for path in read if root in path]
+
+
+def test_members_beyond_the_broadcast_limit_are_not_copied(spark, tree, monkeypatch):
+    """Rows of files and directories hold paths and fields: the driver is not to hold many of them, nor are they to be multiplied."""
+    root, table, add = tree
+    add("1234567890/up.zip", zipped({"g2/n2/t/lumberjack.log": b"m\n", "g2/n2/t/messages": b"hello\n", "loose.log": b"no token\n"}))
+    add("1234567890/n/t/lumberjack.log", "m\n")
+    add("1234567890/n/t/pack.tar", tar({"in/x.log": b"1\n2\n"}))
+    ingest(spark, root, table, now=LATER)
+    monkeypatch.setattr("loglens.plans.ingest.FILE_ROWS", 0)
+    plans, write = [], LogTable.write
+    monkeypatch.setattr(LogTable, "write", lambda self, name, batch, rows: (
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString()) if name == "lines" else None, write(self, name, batch, rows))[1])
+    ingest(spark, root, f"{table}-shuffled", now=LATER)
+    assert contents(spark, f"{table}-shuffled") == contents(spark, table) and len(contents(spark, table)) == 5
+    assert len(plans) == 1 and "_salt" not in plans[0] and "broadcast" not in plans[0]
