@@ -114,3 +114,52 @@ def test_state_is_written_once_a_directory():
     out = pd.concat(case.handleInputRows(("c",), iter([pd.DataFrame([marker, *files], columns=columns)]), None))
     assert len(out) == 100 and set(out[out["dir"] == "c/n"]["node_name"]) == {"n"} and len(case.waiting) == 50
     assert case.dirs.written == 2
+
+
+COLUMNS = ["kind", "relpath", "dir", "uri", "mtime", "length", "is_archive", *S.SCOPE_FIELDS]
+
+
+def file_row(path, length=1):
+    return ("file", path, path.rsplit("/", 1)[0], "u", pd.Timestamp(0), length, False, *[None] * 5, -1, -1)
+
+
+def case_with(monkeypatch, **limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(f"loglens.streaming.scopes.{name}", value)
+    case = CaseScopes(60, False)
+    case.scopes, case.dirs, case.waiting, case.packs = KeptState(), KeptState(), KeptState(), KeptState()
+    clock = iter(range(1, 1000))
+    monkeypatch.setattr("loglens.streaming.scopes.time.time", lambda: next(clock))
+
+    def send(*rows):
+        out = pd.concat(case.handleInputRows(("c",), iter([pd.DataFrame(list(rows), columns=COLUMNS)]), None))
+        return sorted((r.relpath, r.node_name, r.length) for r in out.itertuples() if r.kind == "read")
+    return case, send
+
+
+MARKER = ("marker", None, "c/n", None, pd.Timestamp(0), 0, False, "n", "g", "t", "k", None, -1, -1)
+
+
+def test_many_waiting_files_cost_few_rows_of_state(monkeypatch):
+    """A row for each of millions of files would take a call each to write, to change and to delete."""
+    case, send = case_with(monkeypatch)
+    paths = [f"c/{'n' if i % 2 else 'o'}/{i}.log" for i in range(25_000)]
+    assert len(send(*map(file_row, paths))) == len(paths)
+    assert case.waiting.written + case.packs.written == 3 and case.dirs.written == 2
+    assert send(MARKER) == sorted((p, "n", 1) for p in paths if p.startswith("c/n/"))
+    assert case.waiting.written + case.packs.written == 6 and sum(len(files) for _, files in case._waits()) == 12_500
+    assert send(("marker", None, "c/o", *MARKER[3:])) == sorted((p, "n", 1) for p in paths if p.startswith("c/o/"))
+    assert not case.waiting and not case.packs
+
+
+def test_a_file_that_comes_again_waits_once(monkeypatch):
+    """In packs, beside them, and in the batch of the marker: only the latest is read, and packs are put together as they grow."""
+    case, send = case_with(monkeypatch, PACK_FROM=3, PACK_ROWS=4, FOLD_FROM=20)
+    paths = [f"c/n/{i}.log" for i in range(10)]
+    for length in range(1, 6):
+        send(*[file_row(p, length) for p in paths])
+        assert sum(k[2] for k in case.packs) <= 50
+    send(file_row(paths[0], 77), file_row("c/o/x.log"))
+    assert sum(k[2] for k in case.packs) < 50 and any(k[1] for k in case.packs)         # 50 came in packs
+    assert send(MARKER, file_row(paths[1], 99)) == sorted([(paths[0], "n", 77), (paths[1], "n", 99), *[(p, "n", 5) for p in paths[2:]]])
+    assert [f[0] for _, files in case._waits() for f in files] == ["c/o/x.log"]
